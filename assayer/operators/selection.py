@@ -89,7 +89,7 @@ def _range_counts(codes: DataFrame, low: int, high: int) -> tuple[int, list[int]
     counts = [0] * _RANGES
     found = (
         codes.where(F.col("code").between(low, high))
-        .groupBy(F.expr(f"CAST((code - {low}L) DIV {width}L AS INT)").alias("range"))
+        .groupBy(F.expr(f"(code - {low}L) DIV {width}L").alias("range"))
         .count()
         .collect()
     )
