@@ -56,39 +56,40 @@ def chosen_probability(scores: Column, chosen: Column) -> Column:
 
 
 def sequence_confidence(step_scores: Column, chosen_ids: Column) -> Column:
-    """Mean chosen-token probability over the steps of a sequence, 4 places; 0 without steps."""
+    """Mean chosen-token probability over the steps of a sequence; 0 without steps."""
     # As many steps as both arrays have: a null of the longer one adds nothing.
     probabilities = F.filter(
         F.zip_with(step_scores, chosen_ids, chosen_probability), lambda p: p.isNotNull()
     )
     steps = F.size(probabilities)
     mean = F.aggregate(probabilities, F.lit(0.0), lambda acc, p: acc + p) / steps
-    return F.when(steps > 0, round_exact(mean, 4)).otherwise(0.0)
+    return F.when(steps > 0, mean).otherwise(0.0)
 
 
-def round_exact(x: Column, digits: int) -> Column:
-    """Round the exact binary value of a double, ties to the even digit.
+def round_exact(column: str, digits: int) -> Column:
+    """Round the exact binary value of a double column, ties to the even digit.
 
     ``F.round`` and ``F.bround`` round the shortest decimal form instead and differ
     on values such as 0.03125 or 0.00015. The value is compared with the midpoint of
     its two candidates in pieces short enough for every product and sum to be exact.
-    Meant for report rows; magnitudes of 2**17 and more, where a double has fewer
-    spare digits, fall back to ``F.bround``.
+    Magnitudes of 2**17 and more, where a double has fewer spare digits, fall back to
+    ``F.bround``. Takes a column name, because the value occurs many times.
     """
-    scale = 10**digits
-    a = F.abs(x)
-    below = F.floor(a * scale).cast("double")
-    high = F.rint(a * 2.0**20) / 2.0**20
-    rest = a - high
-    middle = F.rint(rest * 2.0**46) / 2.0**46
-    low = rest - middle
+    x, scale, twice = f"`{column}`", f"{10**digits}D", f"{2 * 10**digits}D"
+    below = f"CAST(floor(abs({x}) * {scale}) AS DOUBLE)"
+    # abs(x) = high + middle + low
+    high = f"rint(abs({x}) * {2.0**20}D) / {2.0**20}D"
+    middle = f"rint((abs({x}) - {high}) * {2.0**46}D) / {2.0**46}D"
+    low = f"(abs({x}) - {high} - {middle})"
     past_midpoint = (
-        (high * (2.0 * scale) - (2.0 * below + 1.0)) + middle * (2.0 * scale)
-    ) + low * (2.0 * scale)
+        f"(({high} * {twice} - (2D * {below} + 1D)) + {middle} * {twice}) + {low} * {twice}"
+    )
     steps = (
-        F.when(past_midpoint > 0, below + 1.0)
-        .when(past_midpoint < 0, below)
-        .otherwise(below + below % 2)
+        f"CASE signum({past_midpoint}) WHEN 1D THEN {below} + 1D WHEN -1D THEN {below} "
+        f"ELSE {below} + {below} % 2D END"
+    )
+    return F.expr(
+        f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN {x} "
+        f"WHEN abs({x}) < {2**17}D THEN IF({x} < 0D, -1D, 1D) * ({steps}) / {scale} "
+        f"ELSE bround({x}, {digits}) END"
     )
-    rounded = F.when(x < 0, -steps / scale).otherwise(steps / scale)
-    return F.when(~is_finite(x), x).when(a < 2.0**17, rounded).otherwise(F.bround(x, digits))

@@ -130,145 +130,125 @@ def evaluation_cells(
 _INPUT_COLUMNS = ("label", "prediction", "confidence", "latency_ms", "flagged")
 
 
-def _known(label: str) -> Column:
-    return F.col(label).isin(*LABELS)
-
-
-def _brier_units() -> Column:
-    """A cell's summed Brier terms, times 4 and in confidence units.
-
-    Within a cell every row has the same gold label and prediction, which makes the
-    row's term a quadratic in its confidence c:
-
-    - right:                      (3 - 6c + 3c^2) / 2
-    - wrong:                      (1 + 3c^2) / 2
-    - no prediction:              (3 - 2c + 3c^2) / 4
-    - unknown gold, a prediction: (1 - 2c + 3c^2) / 2
-    - unknown gold, none:         (3 - 6c + 3c^2) / 4
-    """
-    one = F.col("n").cast("decimal(20,0)") * F.lit(CONFIDENCE_UNIT).cast("decimal(13,0)")
-    c, c2 = F.col("confidence_sum"), F.col("confidence_sq_sum")
-    predicted, known = F.col("prediction").isNotNull(), _known("label")
-    return (
-        F.when(predicted & (F.col("prediction") == F.col("label")), 6 * one - 12 * c + 6 * c2)
-        .when(predicted & known, 2 * one + 6 * c2)
-        .when(predicted, 2 * one - 4 * c + 6 * c2)
-        .when(known, 3 * one - 2 * c + 3 * c2)
-        .otherwise(3 * one - 6 * c + 3 * c2)
-        .cast("decimal(38,0)")
-    )
-
-
-def _count(condition: Column, name: str) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
+_VOCABULARY = ", ".join(f"'{label}'" for label in LABELS)
+_KNOWN = f"label IN ({_VOCABULARY})"
+_CORRECT = "coalesce(prediction = label, false)"
+
+# A cell's summed Brier terms, times 4 and in confidence units. Within a cell every row
+# has the same gold label and prediction, which makes the row's term a quadratic in its
+# confidence c:
+#   right:                      (3 - 6c + 3c^2) / 2
+#   wrong:                      (1 + 3c^2) / 2
+#   no prediction:              (3 - 2c + 3c^2) / 4
+#   unknown gold, a prediction: (1 - 2c + 3c^2) / 2
+#   unknown gold, none:         (3 - 6c + 3c^2) / 4
+_ONES = f"CAST(n AS DECIMAL(20,0)) * CAST({CONFIDENCE_UNIT} AS DECIMAL(13,0))"
+_BRIER_UNITS = f"""CAST(CASE
+    WHEN {_CORRECT} THEN 6 * {_ONES} - 12 * confidence_sum + 6 * confidence_sq_sum
+    WHEN prediction IS NOT NULL AND {_KNOWN} THEN 2 * {_ONES} + 6 * confidence_sq_sum
+    WHEN prediction IS NOT NULL THEN 2 * {_ONES} - 4 * confidence_sum + 6 * confidence_sq_sum
+    WHEN {_KNOWN} THEN 3 * {_ONES} - 2 * confidence_sum + 3 * confidence_sq_sum
+    ELSE 3 * {_ONES} - 6 * confidence_sum + 3 * confidence_sq_sum
+    END AS DECIMAL(38,0))"""
+
+# Summed over a bin, |accuracy - confidence| weighted by the bin's share of rows is
+# |correct rows - summed confidence| / all rows.
+_GAP = f"(IF({_CORRECT}, 1, 0) * {_ONES} - confidence_sum)"
+
+
+def _count(condition: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum(IF({condition}, n, 0)), 0)").alias(name)
+
+
+def _label_counts() -> list[Column]:
+    return [
+        column
+        for label in LABELS
+        for column in (
+            _count(f"label = '{label}' AND {_CORRECT}", f"tp_{label}"),
+            _count(f"coalesce(prediction = '{label}', false)", f"predicted_{label}"),
+            _count(f"label = '{label}'", f"gold_{label}"),
+        )
+    ]
 
 
-def _ratio(numerator: Column, denominator: Column) -> Column:
+def _quotient(numerator: str, denominator: str) -> str:
     """A quotient of doubles that is 0 where the denominator is 0 or missing."""
-    quotient = F.try_divide(numerator.cast("double"), denominator.cast("double"))
-    return F.coalesce(quotient, F.lit(0.0))
+    return f"coalesce(try_divide(double({numerator}), double({denominator})), 0D)"
 
 
-def _correct() -> Column:
-    return F.coalesce(F.col("prediction") == F.col("label"), F.lit(False))
+def _ratio(numerator: str, denominator: str, name: str) -> Column:
+    return F.expr(_quotient(numerator, denominator)).alias(name)
 
 
 def class_scores(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per vocabulary label: true and false positives, false negatives, precision,
     recall and F1. Unparseable predictions are false negatives of their gold label."""
-    counts = cells.groupBy(*by).agg(
-        *[
-            column
-            for label in LABELS
-            for column in (
-                _count((F.col("label") == label) & (F.col("prediction") == label), f"tp_{label}"),
-                _count(F.col("prediction") == label, f"predicted_{label}"),
-                _count(F.col("label") == label, f"gold_{label}"),
-            )
-        ]
+    per_label = ", ".join(
+        f"struct('{label}' AS label, tp_{label} AS true_positive, "
+        f"predicted_{label} - tp_{label} AS false_positive, "
+        f"gold_{label} - tp_{label} AS false_negative)"
+        for label in LABELS
     )
-    per_label = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("label"),
-                F.col(f"tp_{label}").alias("true_positive"),
-                (F.col(f"predicted_{label}") - F.col(f"tp_{label}")).alias("false_positive"),
-                (F.col(f"gold_{label}") - F.col(f"tp_{label}")).alias("false_negative"),
-            )
-            for label in LABELS
-        ]
-    )
-    tp, fp, fn = F.col("true_positive"), F.col("false_positive"), F.col("false_negative")
-    precision, recall = F.col("precision"), F.col("recall")
     return (
-        counts.select(*by, F.inline(per_label))
-        .withColumn("precision", _ratio(tp, tp + fp))
-        .withColumn("recall", _ratio(tp, tp + fn))
-        .withColumn("f1", _ratio(2 * precision * recall, precision + recall))
+        cells.groupBy(*by)
+        .agg(*_label_counts())
+        .select(*by, F.expr(f"inline(array({per_label}))"))
+        .withColumns(
+            {
+                "precision": _ratio("true_positive", "true_positive + false_positive", "p"),
+                "recall": _ratio("true_positive", "true_positive + false_negative", "r"),
+            }
+        )
+        .withColumn("f1", _ratio("2 * precision * recall", "precision + recall", "f1"))
     )
 
 
-def _f1(label: str) -> Column:
-    precision = _ratio(F.col(f"tp_{label}"), F.col(f"predicted_{label}"))
-    recall = _ratio(F.col(f"tp_{label}"), F.col(f"gold_{label}"))
-    return _ratio(2 * precision * recall, precision + recall)
-
-
 def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS) -> DataFrame:
     """All scalar metrics, unrounded, one row per ``by`` (exactly one without ``by``).
 
     ``bins`` must be the number the cells were made with. ``unknown_gold`` counts rows
     whose gold label is outside the vocabulary; they are scored as wrong.
     """
-    correct, prediction = _correct(), F.col("prediction")
-    known = _known("label")
-    # Summed over a bin, |accuracy - confidence| weighted by the bin's share of rows is
-    # |correct rows - summed confidence| / all rows.
-    gap = (
-        F.when(correct, F.col("n")).otherwise(F.lit(0)).cast("decimal(20,0)")
-        * F.lit(CONFIDENCE_UNIT).cast("decimal(13,0)")
-        - F.col("confidence_sum")
-    )
     totals = cells.groupBy(*by).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("examples"),
-        _count(correct, "correct"),
-        _count(prediction.isNull(), "invalid"),
-        _count(~known, "unknown_gold"),
-        F.coalesce(F.sum("flagged"), F.lit(0)).alias("flagged"),
-        F.sum(_brier_units()).alias("brier_units"),
-        F.sum("latency_sum").alias("latency_sum"),
-        F.sum("latency_special").alias("latency_special"),
-        *[F.sum(F.when(F.col("bin") == b, gap)).alias(f"gap_{b}") for b in range(bins)],
-        *[
-            column
+        _count("true", "examples"),
+        _count(_CORRECT, "correct"),
+        _count("prediction IS NULL", "invalid"),
+        _count(f"NOT {_KNOWN}", "unknown_gold"),
+        F.expr("coalesce(sum(flagged), 0)").alias("flagged"),
+        F.expr(f"double(sum({_BRIER_UNITS})) / {4.0 * CONFIDENCE_UNIT}D").alias("brier"),
+        F.expr(
+            f"coalesce(sum(latency_special), double(sum(latency_sum)) / {float(LATENCY_UNIT)}D)"
+        ).alias("latency"),
+        *[F.expr(f"sum(IF(bin = {b}, {_GAP}, 0))").alias(f"gap_{b}") for b in range(bins)],
+        *_label_counts(),
+    )
+    scored = totals.withColumns(
+        {
+            f"{name}_{label}": _ratio(f"tp_{label}", f"{of}_{label}", name)
             for label in LABELS
-            for column in (
-                _count((F.col("label") == label) & (prediction == label), f"tp_{label}"),
-                _count(prediction == label, f"predicted_{label}"),
-                _count(F.col("label") == label, f"gold_{label}"),
-            )
-        ],
+            for name, of in (("precision", "predicted"), ("recall", "gold"))
+        }
     )
-    n = F.col("examples")
-    gaps = sum((F.coalesce(F.abs(F.col(f"gap_{b}")), F.lit(0)) for b in range(bins)), F.lit(0))
-    macro_f1 = sum((_f1(label) for label in LABELS), F.lit(0.0)) / float(len(LABELS))
-    latency = F.coalesce(
-        F.col("latency_special"), F.col("latency_sum").cast("double") / float(LATENCY_UNIT)
+    f1 = " + ".join(
+        _quotient(
+            f"2 * precision_{label} * recall_{label}", f"precision_{label} + recall_{label}"
+        )
+        for label in LABELS
     )
-    return totals.select(
+    gap = " + ".join(f"abs(gap_{b})" for b in range(bins))
+    return scored.select(
         *by,
         "examples",
-        _ratio(F.col("correct"), n).alias("accuracy"),
-        macro_f1.alias("macro_f1"),
-        _ratio(gaps.cast("double") / float(CONFIDENCE_UNIT), n).alias(
-            "expected_calibration_error"
-        ),
-        _ratio(F.col("brier_units").cast("double") / float(4 * CONFIDENCE_UNIT), n).alias(
-            "brier_score"
+        _ratio("correct", "examples", "accuracy"),
+        F.expr(f"({f1}) / {float(len(LABELS))}D").alias("macro_f1"),
+        _ratio(
+            f"double({gap}) / {float(CONFIDENCE_UNIT)}D", "examples", "expected_calibration_error"
         ),
-        _ratio(F.col("invalid"), n).alias("invalid_label_rate"),
-        _ratio(F.col("flagged"), n).alias("hallucination_proxy_rate"),
-        _ratio(latency, n).alias("mean_latency_ms"),
+        _ratio("brier", "examples", "brier_score"),
+        _ratio("invalid", "examples", "invalid_label_rate"),
+        _ratio("flagged", "examples", "hallucination_proxy_rate"),
+        _ratio("latency", "examples", "mean_latency_ms"),
         "unknown_gold",
     )
 
@@ -278,7 +258,7 @@ def rounded(metric_rows: DataFrame) -> DataFrame:
     return metric_rows.withColumns(
         {
             name: round_exact(
-                F.col(name), LATENCY_DIGITS if name == "mean_latency_ms" else METRIC_DIGITS
+                name, LATENCY_DIGITS if name == "mean_latency_ms" else METRIC_DIGITS
             )
             for name in METRICS
         }
@@ -291,18 +271,19 @@ def _with_lift(metric_rows: DataFrame, baseline_accuracy: Column) -> DataFrame:
     The reported lift compares the accuracies as reported, that is rounded;
     ``exact_accuracy_lift`` compares the unrounded ones.
     """
-    accuracy, base = F.col("accuracy"), F.col("__base")
-    base4, accuracy4 = round_exact(base, METRIC_DIGITS), round_exact(accuracy, METRIC_DIGITS)
+    # Each step is a column of its own: nested in one expression they would multiply.
     return (
         metric_rows.withColumn("__base", baseline_accuracy)
-        .withColumn("baseline_accuracy", base4)
-        .withColumn(
-            "relative_accuracy_lift",
-            round_exact(_ratio(accuracy4 - F.col("baseline_accuracy"), F.col("baseline_accuracy")),
-                        METRIC_DIGITS),
+        .withColumns(
+            {
+                "baseline_accuracy": round_exact("__base", METRIC_DIGITS),
+                "__reported": round_exact("accuracy", METRIC_DIGITS),
+                "exact_accuracy_lift": _ratio("accuracy - __base", "__base", "lift"),
+            }
         )
-        .withColumn("exact_accuracy_lift", _ratio(accuracy - base, base))
-        .drop("__base")
+        .withColumn("__lift", _ratio("__reported - baseline_accuracy", "baseline_accuracy", "lift"))
+        .withColumn("relative_accuracy_lift", round_exact("__lift", METRIC_DIGITS))
+        .drop("__base", "__reported", "__lift")
     )
 
 
@@ -327,10 +308,10 @@ def with_baseline_run(
 
 def _confusion_counts(cells: DataFrame, by: Sequence[str], strict: bool) -> DataFrame:
     """One column ``<gold>_<prediction>`` per entry of the matrix."""
-    gold, prediction = F.col("label"), F.col("prediction")
+    gold = F.col("label")
     if strict:
         unknown = F.concat(F.lit("Label outside the vocabulary: "), gold)
-        gold = F.when(_known("label") | prediction.isNull(), gold).otherwise(
+        gold = F.when(F.expr(f"{_KNOWN} OR prediction IS NULL"), gold).otherwise(
             F.raise_error(unknown).cast("string")
         )
     return (
@@ -338,7 +319,7 @@ def _confusion_counts(cells: DataFrame, by: Sequence[str], strict: bool) -> Data
         .groupBy(*by)
         .agg(
             *[
-                _count((F.col("label") == g) & (prediction == p), f"{g}_{p}")
+                _count(f"coalesce(label = '{g}' AND prediction = '{p}', false)", f"{g}_{p}")
                 for g in LABELS
                 for p in LABELS
             ]
@@ -354,28 +335,20 @@ def confusion_matrix(
     Unparseable predictions have no cell. Rows with an unknown gold label have none
     either; with ``strict`` they fail the job when they carry a prediction.
     """
-    entries = [
-        F.struct(
-            F.lit(g).alias("label"), F.lit(p).alias("prediction"), F.col(f"{g}_{p}").alias("n")
-        )
-        for g in LABELS
-        for p in LABELS
-    ]
-    return _confusion_counts(cells, by, strict).select(*by, F.inline(F.array(*entries)))
+    entries = ", ".join(
+        f"struct('{g}' AS label, '{p}' AS prediction, {g}_{p} AS n)" for g in LABELS for p in LABELS
+    )
+    counts = _confusion_counts(cells, by, strict)
+    return counts.select(*by, F.expr(f"inline(array({entries}))"))
 
 
 def confusion_map(cells: DataFrame, by: Sequence[str] = (), strict: bool = False) -> DataFrame:
     """The confusion matrix as one ``MAP<gold, MAP<prediction, n>>`` per ``by``."""
-    rows = [
-        part
-        for g in LABELS
-        for part in (
-            F.lit(g),
-            F.create_map(*[x for p in LABELS for x in (F.lit(p), F.col(f"{g}_{p}"))]),
-        )
-    ]
+    rows = ", ".join(
+        f"'{g}', map(" + ", ".join(f"'{p}', {g}_{p}" for p in LABELS) + ")" for g in LABELS
+    )
     counts = _confusion_counts(cells, by, strict)
-    return counts.select(*by, F.create_map(*rows).alias("confusion_matrix"))
+    return counts.select(*by, F.expr(f"map({rows})").alias("confusion_matrix"))
 
 
 def label_distribution(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -387,17 +360,15 @@ def calibration_bins(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per non-empty confidence bin: rows, accuracy and mean confidence."""
     sums = cells.groupBy(*by, "bin").agg(
         F.sum("n").alias("n"),
-        _count(_correct(), "correct"),
-        F.sum("confidence_sum").alias("units"),
+        _count(_CORRECT, "correct"),
+        F.expr(f"double(sum(confidence_sum)) / {float(CONFIDENCE_UNIT)}D").alias("sum"),
     )
     return sums.select(
         *by,
         "bin",
         "n",
-        _ratio(F.col("correct"), F.col("n")).alias("accuracy"),
-        _ratio(F.col("units").cast("double") / float(CONFIDENCE_UNIT), F.col("n")).alias(
-            "confidence"
-        ),
+        _ratio("correct", "n", "accuracy"),
+        _ratio("sum", "n", "confidence"),
     )
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import normalize_label, require_label
+from ..functions.numeric import round_exact, sequence_confidence
 from ..functions.text import coalesce_text, format_prompt, parse_or_raw, parse_prediction, strip
+from ..functions.vocabulary import METRIC_DIGITS
 from .records import text_candidates
 
 # A scorer takes texts and returns a (completion, confidence) pair for each. Its
@@ -104,6 +106,18 @@ def service_predictions(
     )
 
 
+def with_sequence_confidence(
+    df: DataFrame, step_scores: str, chosen_ids: str, name: str = "confidence"
+) -> DataFrame:
+    """Add the confidence of generated sequences, rounded as it is stored.
+
+    ``step_scores`` holds one array of scores per generated step, ``chosen_ids`` the
+    0-based index of the token each step chose.
+    """
+    scored = df.withColumn(name, sequence_confidence(F.col(step_scores), F.col(chosen_ids)))
+    return scored.withColumn(name, round_exact(name, METRIC_DIGITS))
+
+
 def external_baseline(df: DataFrame, completion: str = "completion") -> DataFrame:
     """Prediction records from completions another system has produced.
 

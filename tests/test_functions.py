@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer import functions as fn
+from assayer.operators.scoring import with_sequence_confidence
 from assayer.functions.vocabulary import WHITESPACE
 
 from . import model
@@ -134,15 +135,15 @@ def test_round_exact_equals_python_round(spark):
     values += [rng.uniform(-1e5, 1e5) for _ in range(2000)]
     df = column(spark, values, "double")
     for digits in (2, 4):
-        assert mapped(df, fn.round_exact(F.col("v"), digits)) == [
+        assert mapped(df, fn.round_exact("v", digits)) == [
             round(v, digits) for v in values
         ]
 
 
 def test_round_exact_passes_special_values(spark):
     df = column(spark, [math.inf, -math.inf, None, 1e9 + 0.125], "double")
-    assert mapped(df, fn.round_exact(F.col("v"), 2)) == [math.inf, -math.inf, None, 1e9 + 0.12]
-    assert math.isnan(mapped(column(spark, [math.nan], "double"), fn.round_exact(F.col("v"), 2))[0])
+    assert mapped(df, fn.round_exact("v", 2)) == [math.inf, -math.inf, None, 1e9 + 0.12]
+    assert math.isnan(mapped(column(spark, [math.nan], "double"), fn.round_exact("v", 2))[0])
 
 
 def softmax(scores, k):
@@ -155,5 +156,5 @@ def test_sequence_confidence(spark):
     rows = [(0, steps, [1, 0, 2]), (1, [], []), (2, steps, [0]), (3, None, None)]
     df = spark.createDataFrame(rows, "i int, s array<array<double>>, c array<int>")
     expected = round(sum(softmax(s, k) for s, k in zip(steps, [1, 0, 2])) / 3, 4)
-    found = mapped(df, fn.sequence_confidence(F.col("s"), F.col("c")))
+    found = mapped(with_sequence_confidence(df, "s", "c"), F.col("confidence"))
     assert found == [expected, 0.0, round(softmax(steps[0], 0), 4), 0.0]

@@ -203,9 +203,11 @@ def nested_sequence_confidence(spark, sf_dir):
         F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice(F.col("embedding"), i * 16 + 1, F.lit(16))
     )
     chosen = F.array(*[F.col("label") for _ in range(4)])
-    return views.table(spark, sf_dir, "embeddings").select(
-        "vec_id", fn.sequence_confidence(four, chosen).alias("confidence")
+    rows = views.table(spark, sf_dir, "embeddings").select(
+        "vec_id", four.alias("scores"), chosen.alias("chosen")
     )
+    scored = sc.with_sequence_confidence(rows, "scores", "chosen")
+    return scored.select("vec_id", "confidence")
 
 
 @query
@@ -224,11 +226,14 @@ def brier_terms(spark, sf_dir):
 @query
 def rounded_metrics(spark, sf_dir):
     x = (F.col("l_extendedprice") * F.col("l_discount")) / 64
-    return views.table(spark, sf_dir, "lineitem").select(
+    rows = views.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", x.alias("x"), (x / 1024).alias("small")
+    )
+    return rows.select(
         "l_orderkey",
         "l_linenumber",
-        fn.round_exact(x / 1024, 4).alias("four"),
-        fn.round_exact(x, 2).alias("two"),
+        fn.round_exact("small", 4).alias("four"),
+        fn.round_exact("x", 2).alias("two"),
     )
 
 
