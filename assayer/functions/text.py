@@ -38,17 +38,15 @@ def parse_lowered(low: Column) -> Column:
     """:func:`parse_prediction` for a column that is already lower case."""
     # Most completions are a bare label, and most others contain no label at all;
     # both are settled by the first two branches, before any text is rewritten.
-    words = F.concat(
-        F.lit(" "), F.translate(low, WHITESPACE, " " * len(WHITESPACE)), F.lit(" ")
-    )
-    hits = {label: F.contains(words, F.lit(f" {label} ")) for label in LABELS}
-    only = F.when(sum((hit.cast("int") for hit in hits.values()), F.lit(0)) != 1, None)
-    for label, hit in hits.items():
-        only = only.when(hit, F.lit(label))
+    words = F.split(F.translate(low, WHITESPACE, " " * len(WHITESPACE)), " ")
+    present = F.array_intersect(F.array(*map(F.lit, LABELS)), words)
+    # Joined, a single label is itself and several are no label. The lookup refers to
+    # the words once, where a comparison would evaluate them again for its result.
+    single = F.create_map(*[F.lit(label) for label in LABELS for _ in range(2)])
     return (
         F.when(low.isin(*LABELS), low)
         .when(~_any_contained(low, LABELS), None)
-        .otherwise(only)
+        .otherwise(F.try_element_at(single, F.array_join(present, "")))
     )
 
 
