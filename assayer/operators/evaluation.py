@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clamp_confidence, confidence_bin, is_finite, round_exact
+from ..functions.numeric import clamp_confidence, confidence_bin, round_exact
 from ..functions.text import has_unsupported_token, parse_lowered
 from ..functions.vocabulary import DEFAULT_BINS, LABELS, LATENCY_DIGITS, METRIC_DIGITS
 
@@ -26,6 +26,8 @@ LATENCY_UNIT = 10**9
 # Whole-number sums are added up in two BIGINT halves, which is several times faster
 # than a DECIMAL sum and has room for some 10**12 rows in one cell.
 _HALF_BITS = 20
+# Latencies from here on (about 100 days), NaN and infinity do not fit the units.
+_LARGE_LATENCY = 9.0e9
 
 METRICS = (
     "accuracy",
@@ -86,14 +88,14 @@ def evaluation_cells(
     """Reduce predictions to cells per ``by``, label, prediction and confidence bin.
 
     Columns: ``n``, ``flagged``, ``confidence_sum`` and ``confidence_sq_sum`` (units of
-    1e-12), ``latency_sum`` (units of 1e-9 ms), and ``latency_special``, the sum of the
-    latencies that are NaN or infinite, if any. Cells are additive: cells of parts of a
-    set add up to the cells of the set.
+    1e-12), ``latency_sum`` (units of 1e-9 ms), and ``latency_special``, the sum in ms of
+    the latencies too large for these units, NaN or infinite, if any. Cells are additive:
+    cells of parts of a set add up to the cells of the set.
     """
     inputs = evaluation_inputs(df, by)
     names = [c for c in inputs.columns if c not in _INPUT_COLUMNS]
     c, latency = F.col("confidence"), F.col("latency_ms")
-    finite = is_finite(latency)
+    ordinary = F.abs(latency) < _LARGE_LATENCY
     staged = inputs.select(
         *names,
         "label",
@@ -102,10 +104,8 @@ def evaluation_cells(
         F.col("flagged").cast("bigint").alias("flagged"),
         _units(c, CONFIDENCE_UNIT).alias("c_units"),
         _units(c * c, CONFIDENCE_UNIT).alias("c2_units"),
-        F.when(finite, _units(F.when(finite, latency), LATENCY_UNIT))
-        .otherwise(F.lit(0).cast("bigint"))
-        .alias("ms_units"),
-        F.when(~finite, latency).alias("ms_special"),
+        _units(F.when(ordinary, latency).otherwise(0.0), LATENCY_UNIT).alias("ms_units"),
+        F.when(~ordinary, latency).alias("ms_special"),
     )
     keys = [*names, "label", "prediction", "bin"]
     sums = staged.groupBy(*keys).agg(
@@ -218,7 +218,7 @@ def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS)
         F.expr("coalesce(sum(flagged), 0)").alias("flagged"),
         F.expr(f"double(sum({_BRIER_UNITS})) / {4.0 * CONFIDENCE_UNIT}D").alias("brier"),
         F.expr(
-            f"coalesce(sum(latency_special), double(sum(latency_sum)) / {float(LATENCY_UNIT)}D)"
+            f"double(sum(latency_sum)) / {float(LATENCY_UNIT)}D + coalesce(sum(latency_special), 0D)"
         ).alias("latency"),
         *[F.expr(f"sum(IF(bin = {b}, {_GAP}, 0))").alias(f"gap_{b}") for b in range(bins)],
         *_label_counts(),

@@ -10,36 +10,66 @@ from ..session import written
 # monotonically_increasing_id() keeps the partition in the bits above this one and
 # the row's number within its partition in the bits below.
 _ROW_BITS = 33
+# Most files whose offsets are broadcast; at some 100 bytes each, 100 MB.
+_MANY_FILES = 1_000_000
 
 
-def with_position(df: DataFrame, order_by: list[str], name: str = "position") -> DataFrame:
+def _with_offsets(df: DataFrame, part: str, row: str, name: str) -> DataFrame:
+    """Add ``row`` plus the number of rows in all earlier values of ``part`` as ``name``.
+
+    ``part`` has one value per partition or file, and so has the table of offsets.
+    """
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        df.groupBy(part)
+        .agg(F.count("*").alias("n"))
+        .select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
+    )
+    return (
+        df.join(F.broadcast(offsets), part)
+        .withColumn(name, F.col("__offset") + F.col(row))
+        .drop("__offset")
+    )
+
+
+def with_position(
+    df: DataFrame, order_by: list[str], name: str = "position", partitions: int | None = None
+) -> DataFrame:
     """Add the 0-based position of each row in ``order_by`` order, which must be unique.
 
     The rows are range-partitioned and sorted in parallel and written once with their
     partition and their place in it; a second pass over that one narrow column counts
-    the rows per partition, and a table with one row per partition supplies the offset.
+    the rows per partition. ``partitions`` defaults to ``spark.sql.shuffle.partitions``.
     """
-    if "__place" in df.columns:
-        raise ValueError("column name __place is reserved")
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = written(
+    ranged = (
         df.repartitionByRange(partitions, *order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("__place", F.monotonically_increasing_id()),
-        "placed",
+        if partitions
+        else df.repartitionByRange(*order_by)
     )
-    part = F.shiftright("__place", _ROW_BITS)
-    # One row per partition: the window and the broadcast stay that small.
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(part.alias("__part"))
-        .agg(F.count("*").alias("n"))
-        .select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
+    placed = written(
+        ranged.sortWithinPartitions(*order_by).withColumn(
+            "__place", F.monotonically_increasing_id()
+        ),
+        "placed",
     )
-    row = F.col("__place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.withColumn("__part", part)
-        .join(F.broadcast(offsets), "__part")
-        .withColumn(name, F.col("__offset") + row)
-        .drop("__part", "__place", "__offset")
+    split = placed.withColumns(
+        {
+            "__part": F.shiftright("__place", _ROW_BITS),
+            "__row": F.col("__place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+        }
     )
+    return _with_offsets(split, "__part", "__row", name).drop("__part", "__row", "__place")
+
+
+def with_source_position(
+    df: DataFrame, file: str = "file", row: str = "row", name: str = "position"
+) -> DataFrame:
+    """Add the 0-based position of rows that know their file and their row within it.
+
+    Files count in path order. Nothing but the row counts of the files is shuffled. The
+    offsets are broadcast while there is a proven bound on the number of files; beyond
+    it the rows are numbered by sorting.
+    """
+    if df.select(file).distinct().limit(_MANY_FILES + 1).count() > _MANY_FILES:
+        return with_position(df, [file, row], name)
+    return _with_offsets(df, file, row, name)

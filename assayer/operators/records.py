@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import label_from_code, normalize_label, rejected_label, require_label
 from ..functions.text import coalesce_text, format_prompt
 from ..functions.vocabulary import EXAMPLE_ID_PREFIX, SOURCE_ID_PREFIX
-from .positions import with_position
+from .positions import with_position, with_source_position
 
 
 def text_candidates(df: DataFrame, text_field: str = "text") -> list[Column]:
@@ -107,6 +107,12 @@ def number_records(
     return numbered.withColumn("id", F.concat(F.lit(prefix), F.col("position"))).drop("position")
 
 
+def number_source_records(df: DataFrame, prefix: str = SOURCE_ID_PREFIX) -> DataFrame:
+    """``number_records`` by the columns ``file`` and ``row`` of a source, without sorting."""
+    numbered = with_source_position(df)
+    return numbered.withColumn("id", F.concat(F.lit(prefix), F.col("position"))).drop("position")
+
+
 def fill_missing_ids(
     df: DataFrame, order_by: list[str], prefix: str = EXAMPLE_ID_PREFIX
 ) -> DataFrame:

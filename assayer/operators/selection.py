@@ -8,11 +8,12 @@ sorts, shuffles or collects the rows themselves.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.vocabulary import DEFAULT_SEED, DEFAULT_TEST_SIZE
 from ..session import written
@@ -64,14 +65,28 @@ class _Order:
     """
 
     code: Column
+    # A column that sorts like the code but is cheaper to compare, and its value of a code.
+    sort_key: Column
+    key_of: Callable[[int], int | str]
     content_code: Column
     digest: Column
 
     @staticmethod
-    def of(df: DataFrame, code: Column) -> _Order:
+    def by(df: DataFrame, code: Column, sort_key: Column, key_of: Callable) -> _Order:
         row = F.struct(*[F.col(c) for c in sorted(df.columns)])
         digest = F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
-        return _Order(code, _content_code(df), digest)
+        return _Order(code, sort_key, key_of, _content_code(df), digest)
+
+    @staticmethod
+    def by_hash(df: DataFrame, digest: Column) -> _Order:
+        # The first 15 hex digits are a 60-bit number that sorts like the whole digest.
+        prefix = F.substring(digest, 1, 15)
+        code = F.conv(prefix, 16, 10).cast("bigint")
+        return _Order.by(df, code, prefix, lambda value: f"{value:015x}")
+
+    @staticmethod
+    def by_integer(df: DataFrame, column: str) -> _Order:
+        return _Order.by(df, F.col(column).cast("bigint"), F.col(column), int)
 
 
 @dataclass(frozen=True)
@@ -150,7 +165,8 @@ def _threshold(
         .first()
     )
     taken = rank - (row["upto"] - row["copies"])
-    return _Threshold(tuple(row[n] for n in names), taken, row["copies"])
+    values = (order.key_of(row["code"]), row["content_code"], row["digest"])
+    return _Threshold(values, taken, row["copies"])
 
 
 def _compare(order: _Order, threshold: _Threshold) -> tuple[Column, Column]:
@@ -159,7 +175,7 @@ def _compare(order: _Order, threshold: _Threshold) -> tuple[Column, Column]:
     The content is only hashed on rows whose code equals the threshold's.
     """
     before, same = F.lit(False), F.lit(True)
-    for field, value in zip((order.code, order.content_code, order.digest), threshold.values):
+    for field, value in zip((order.sort_key, order.content_code, order.digest), threshold.values):
         before = before | (same & (field < value))
         same = same & (field == value)
     return before, same
@@ -212,9 +228,7 @@ def train_test_split(
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must be between 0 and 1")
     _checked_cap(max_train)
-    # The first 15 hex digits are a 60-bit number that sorts like the whole digest.
-    prefix = F.substring(permutation_hash(id_col, seed), 1, 15)
-    order = _Order.of(df, F.conv(prefix, 16, 10).cast("bigint"))
+    order = _Order.by_hash(df, permutation_hash(id_col, seed))
     first = _range_counts(df.select(order.code.alias("code")), *_HASH_CODES)
     total = sum(first[1])
     n_train = int(total * (1 - test_size))
@@ -237,26 +251,28 @@ def train_test_split(
     return train, test
 
 
-def exactly_first_rows(df: DataFrame, order_by: str, n: int) -> DataFrame:
+def exactly_first_rows(df: DataFrame, order_by: str | Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows by ``order_by``, or all if there are fewer; 0 means none.
 
-    For a large ``n``, ``order_by`` must be an integer column; the result is then a
-    range filter on it, which reaches the table scan.
+    For a large ``n`` and a single integer column the result is a range filter on it,
+    which reaches the table scan. Other orders, which must then be unique, are numbered.
     """
+    columns = [order_by] if isinstance(order_by, str) else list(order_by)
     if _checked_cap(n) <= _SMALL_LIMIT:
-        return df.orderBy(order_by).limit(n)
-    code = F.col(order_by).cast("bigint")
-    bounds = tuple(df.agg(F.min(code), F.max(code)).first())
+        return df.orderBy(*columns).limit(n)
+    if len(columns) > 1 or not isinstance(df.schema[columns[0]].dataType, IntegralType):
+        return with_position(df, columns, "__at").where(F.col("__at") < n).drop("__at")
+    order = _Order.by_integer(df, columns[0])
+    bounds = tuple(df.agg(F.min(order.code), F.max(order.code)).first())
     if None in bounds:
         return df
-    order = _Order.of(df, code)
-    first = _range_counts(df.select(code.alias("code")), *bounds)
+    first = _range_counts(df.select(order.code.alias("code")), *bounds)
     if n >= sum(first[1]):
         return df
     threshold = _threshold(df, order, bounds, first, n)
-    return _first(df.where(F.col(order_by) <= threshold.values[0]), order, threshold)
+    return _first(df.where(order.sort_key <= threshold.values[0]), order, threshold)
 
 
-def first_rows(df: DataFrame, order_by: str, n: int | None) -> DataFrame:
+def first_rows(df: DataFrame, order_by: str | Sequence[str], n: int | None) -> DataFrame:
     """The first ``n`` rows by ``order_by``; 0 or None keeps all rows."""
     return exactly_first_rows(df, order_by, n) if _checked_cap(n) else df

@@ -7,8 +7,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from ..functions.vocabulary import DEFAULT_SEED, DEFAULT_TEST_SIZE, SOURCE_ID_PREFIX
-from ..operators.records import labeled_texts, number_records, preference_pairs
+from ..operators.records import (
+    labeled_texts,
+    number_records,
+    number_source_records,
+    preference_pairs,
+)
 from ..operators.selection import train_test_split
+from ..session import written
 from ..sources.files import write_jsonl
 
 
@@ -20,7 +26,7 @@ class Dataset(NamedTuple):
 
 def build_dataset(
     source: DataFrame,
-    order_by: list[str],
+    order_by: list[str] | None = None,
     text_field: str = "sentence",
     label_field: str = "label",
     test_size: float = DEFAULT_TEST_SIZE,
@@ -30,11 +36,19 @@ def build_dataset(
 ) -> Dataset:
     """Number, clean, label, split and cap a source of texts with integer label codes.
 
-    Ids number the source rows, blank ones included, in ``order_by`` order. Preference
-    pairs are made of the train rows only.
+    Ids number the source rows, blank ones included, in ``order_by`` order, or by the
+    ``file`` and ``row`` columns of :func:`assayer.sources.read_labeled`. Preference pairs
+    are made of the train rows only. The clean records are written once to the shared
+    folder, so that the passes of the split read their ids only.
     """
-    numbered = number_records(source.select(*order_by, text_field, label_field), order_by, prefix)
-    records = labeled_texts(numbered, text_field, label_field, codes=True)
+    if order_by is None:
+        numbered = number_source_records(
+            source.select("file", "row", text_field, label_field), prefix
+        )
+    else:
+        columns = dict.fromkeys([*order_by, text_field, label_field])
+        numbered = number_records(source.select(*columns), order_by, prefix)
+    records = written(labeled_texts(numbered, text_field, label_field, codes=True), "records")
     train, test = train_test_split(records, "id", test_size, seed, max_train)
     return Dataset(train, test, preference_pairs(train))
 

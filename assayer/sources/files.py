@@ -11,9 +11,28 @@ from pyspark.sql.types import StructType
 from pyspark.sql import types as T
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """JSON lines with a declared schema. Blank lines are skipped; a broken one fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+# Columns that order the rows of JSON lines as they stand in their files.
+JSONL_ORDER = ["file", "block", "line"]
+
+
+def read_jsonl(
+    spark: SparkSession, path: str, schema: str | StructType, source_order: bool = False
+) -> DataFrame:
+    """JSON lines with a declared schema. Blank lines are skipped; a broken one fails the job.
+
+    ``source_order`` adds the columns ``file``, ``block`` and ``line``, which sort the
+    rows as they stand in the files.
+    """
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    if not source_order:
+        return rows
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # A block is read in order by one task, so this number grows with its lines.
+        F.monotonically_increasing_id().alias("line"),
+    )
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -201,6 +201,10 @@ def test_runs_and_gates(spark):
 def test_special_latencies_propagate(spark):
     rows = [("positive", "positive", 0.5, math.inf), ("positive", "positive", 0.5, 1.0)]
     assert evaluate(frame(spark, rows)).first()["mean_latency_ms"] == math.inf
+    rows[0] = ("positive", "positive", 0.5, 3e15)
+    assert evaluate(frame(spark, rows)).first()["mean_latency_ms"] == 1.5e15 + 0.5
+    rows[0] = ("positive", "positive", 0.5, math.nan)
+    assert math.isnan(evaluate(frame(spark, rows)).first()["mean_latency_ms"])
 
 
 def test_missing_columns_take_defaults(spark):

@@ -95,3 +95,21 @@ def test_missing_ids_take_their_position(spark):
     )
     found = {r["key"]: r["id"] for r in rec.fill_missing_ids(df, ["key"]).collect()}
     assert found == {i: f"n{i}" if i % 3 == 0 else f"ex-{i}" for i in range(50)}
+
+
+def test_source_numbering_follows_files(spark, tmp_path, monkeypatch):
+    from assayer.operators import positions
+    from assayer.sources import read_labeled
+
+    path = str(tmp_path / "t")
+    spark.range(500).selectExpr("string(id) AS sentence", "int(id % 3) AS label").repartitionByRange(
+        4, "sentence"
+    ).write.parquet(path)
+    df = read_labeled(spark, path, path)
+    order = [tuple(r) for r in df.select("file", "row", "sentence").collect()]
+    expected = {s: f"fpb-{i}" for i, (_, _, s) in enumerate(sorted(order))}
+    found = {r["sentence"]: r["id"] for r in rec.number_source_records(df).collect()}
+    assert found == expected
+    monkeypatch.setattr(positions, "_MANY_FILES", 2)
+    found = {r["sentence"]: r["id"] for r in rec.number_source_records(df).collect()}
+    assert found == expected

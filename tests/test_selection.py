@@ -89,6 +89,15 @@ def test_first_rows(spark, narrow):
     assert sel.exactly_first_rows(df.limit(0), "key", 10).count() == 0
 
 
+def test_first_rows_by_other_orders(spark, narrow):
+    df = spark.range(300).selectExpr("id % 3 AS a", "string(id) AS b")
+    rows = sorted((r["a"], r["b"]) for r in df.collect())
+    for n in (2, 150, 400):
+        assert sorted(map(tuple, sel.first_rows(df, ["a", "b"], n).collect())) == rows[:n]
+    names = sorted(b for _, b in rows)
+    assert sorted(r["b"] for r in sel.first_rows(df, "b", 120).collect()) == names[:120]
+
+
 def test_first_rows_with_a_hot_key(spark, narrow):
     df = spark.range(900).select(
         F.when(F.col("id") < 300, F.col("id")).otherwise(300).alias("key"), F.lit("t").alias("text")

@@ -54,7 +54,7 @@ def test_mirror_is_read_when_the_primary_is_missing(spark, tmp_path):
 def test_dataset_files(spark, tmp_path):
     source(spark, str(tmp_path / "table"))
     df = read_labeled(spark, str(tmp_path / "table"), str(tmp_path / "none"))
-    dataset = build_dataset(df, ["file", "row"], max_train=20)
+    dataset = build_dataset(df, max_train=20)
     write_dataset(dataset, str(tmp_path / "data"))
     read = {name: read_jsonl(spark, str(tmp_path / "data" / name), schema).collect()
             for name, schema in [("train", LABELED), ("test", LABELED), ("preferences", PREFERENCE)]}

@@ -296,6 +296,8 @@ FROM (SELECT id, {prompt("text")} AS prompt, {normalize("spelled")} AS label FRO
 FROM (SELECT id, {prompt("text")} AS prompt, {normalize("spelled")} AS label FROM kept)""",
     "numbered_records": """SELECT o_orderkey, o_totalprice,
   'fpb-'||(row_number() OVER (ORDER BY o_orderkey) - 1) AS id FROM orders""",
+    "numbered_source_rows": """SELECT 'fpb-'||(row_number() OVER (ORDER BY doc_id) - 1) AS id,
+  text, lang FROM documents""",
     "filled_ids": """SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'u-'||conv_id||'-'||turn
   ELSE 'ex-'||(row_number() OVER (ORDER BY conv_id, turn) - 1) END AS id FROM conversations""",
     "clamped_confidences": f"""WITH {LINES} SELECT round(conf, 9) AS confidence,

@@ -156,6 +156,14 @@ def numbered_records(spark, sf_dir):
     return rec.number_records(source, ["o_orderkey"])
 
 
+@query
+def numbered_source_rows(spark, sf_dir):
+    path = f"{sf_dir}/documents.parquet"
+    return rec.number_source_records(read_labeled(spark, path, path, "text", "lang")).select(
+        "id", "text", "lang"
+    )
+
+
 @query
 def filled_ids(spark, sf_dir):
     turns = views.table(spark, sf_dir, "conversations")
