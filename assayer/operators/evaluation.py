@@ -90,7 +90,8 @@ def evaluation_cells(
     Columns: ``n``, ``flagged``, ``confidence_sum`` and ``confidence_sq_sum`` (units of
     1e-12), ``latency_sum`` (units of 1e-9 ms), and ``latency_special``, the sum in ms of
     the latencies too large for these units, NaN or infinite, if any. Cells are additive:
-    cells of parts of a set add up to the cells of the set.
+    cells of parts of a set add up to the cells of the set. With ``bins=0`` they have no
+    bins, and what is derived from them does without reading confidences where it can.
     """
     inputs = evaluation_inputs(df, by)
     names = [c for c in inputs.columns if c not in _INPUT_COLUMNS]
@@ -100,7 +101,7 @@ def evaluation_cells(
         *names,
         "label",
         "prediction",
-        confidence_bin(c, bins).alias("bin"),
+        (confidence_bin(c, bins) if bins else F.lit(0)).alias("bin"),
         F.col("flagged").cast("bigint").alias("flagged"),
         _units(c, CONFIDENCE_UNIT).alias("c_units"),
         _units(c * c, CONFIDENCE_UNIT).alias("c2_units"),
@@ -207,8 +208,9 @@ def class_scores(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS) -> DataFrame:
     """All scalar metrics, unrounded, one row per ``by`` (exactly one without ``by``).
 
-    ``bins`` must be the number the cells were made with. ``unknown_gold`` counts rows
-    whose gold label is outside the vocabulary; they are scored as wrong.
+    ``bins`` must be the number the cells were made with; without bins there is no
+    calibration error. ``unknown_gold`` counts rows whose gold label is outside the
+    vocabulary; they are scored as wrong.
     """
     totals = cells.groupBy(*by).agg(
         _count("true", "examples"),
@@ -237,14 +239,13 @@ def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS)
         for label in LABELS
     )
     gap = " + ".join(f"abs(gap_{b})" for b in range(bins))
+    calibration = _quotient(f"double({gap}) / {float(CONFIDENCE_UNIT)}D", "examples")
     return scored.select(
         *by,
         "examples",
         _ratio("correct", "examples", "accuracy"),
         F.expr(f"({f1}) / {float(len(LABELS))}D").alias("macro_f1"),
-        _ratio(
-            f"double({gap}) / {float(CONFIDENCE_UNIT)}D", "examples", "expected_calibration_error"
-        ),
+        F.expr(calibration if bins else "double(NULL)").alias("expected_calibration_error"),
         _ratio("brier", "examples", "brier_score"),
         _ratio("invalid", "examples", "invalid_label_rate"),
         _ratio("flagged", "examples", "hallucination_proxy_rate"),
@@ -297,13 +298,15 @@ def with_baseline_run(
 ) -> DataFrame:
     """Compare each run's metric row with that of the run named ``baseline``.
 
-    ``within`` restricts the comparison to runs of, say, one experiment. The window
-    holds one row per run, whatever the number of predictions. Without a baseline
-    run the lift is 0.
+    ``within`` restricts the comparison to runs of, say, one experiment. Without a
+    baseline run the lift is 0. Uses the rows twice, so their cells should be a table.
     """
-    is_baseline = F.col(run) == F.lit(baseline)
-    accuracy = F.max(F.when(is_baseline, F.col("accuracy"))).over(Window.partitionBy(*within))
-    return _with_lift(metric_rows, F.coalesce(accuracy, F.lit(0.0)))
+    base = metric_rows.where(F.col(run) == F.lit(baseline))
+    if within:
+        bases = base.select(*within, F.col("accuracy").alias("__own_base"))
+        joined = metric_rows.join(bases, list(within), "left")
+        return _with_lift(joined, F.coalesce("__own_base", F.lit(0.0))).drop("__own_base")
+    return _with_lift(metric_rows, F.coalesce(base.select("accuracy").scalar(), F.lit(0.0)))
 
 
 def _confusion_counts(cells: DataFrame, by: Sequence[str], strict: bool) -> DataFrame:

@@ -44,10 +44,13 @@ def evaluate_runs(
     within: Sequence[str] = (),
     bins: int = DEFAULT_BINS,
 ) -> DataFrame:
-    """Metrics of every run in one pass, each with its lift over the run ``baseline``."""
+    """Metrics of every run, each with its lift over the run ``baseline``.
+
+    Reads the predictions once: the cells of all runs are written to the shared folder.
+    """
     by = [*within, run]
-    rows = metrics(evaluation_cells(predictions, by, bins), by, bins)
-    return with_baseline_run(rows, run, baseline, within)
+    cells = written(evaluation_cells(predictions, by, bins), "cells")
+    return with_baseline_run(metrics(cells, by, bins), run, baseline, within)
 
 
 def report(

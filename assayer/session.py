@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import os
 import tempfile
 import uuid
 
@@ -20,6 +19,8 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Texts may be long: keep the batches that go to Python scorers small.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
@@ -45,9 +46,13 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="assayer-")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/assayer-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """An unused path in the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """An unused path in the shared folder, below a folder of this application's own."""
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -59,3 +64,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete the tables this application has written to the shared folder.
+
+    For the end of a job: frames that still read from them cannot be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

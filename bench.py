@@ -11,6 +11,7 @@ import os
 import time
 
 from assayer import build_session
+from assayer.session import remove_written
 from workloads.queries import QUERIES
 
 HEADLINE = (
@@ -66,6 +67,7 @@ def main() -> None:
             timed.append(time.perf_counter() - started)
         seconds[name] = round(min(timed), 3)
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    remove_written(spark)
     spark.stop()
     print(
         json.dumps(

@@ -194,6 +194,12 @@ def test_runs_and_gates(spark):
         "lift_reached": True, "format_valid": True, "calibration_improved": True,
         "enough_runs": False,
     }
+    twice = df.withColumn("exp", F.lit("a")).union(
+        df.where("run != 'base'").withColumn("exp", F.lit("b"))
+    )
+    within = {(r["exp"], r["run"]): r for r in evaluate_runs(twice, "run", "base", ["exp"]).collect()}
+    assert len(within) == 5 and within["a", "sft"]["relative_accuracy_lift"] == 1.0003
+    assert within["b", "sft"]["relative_accuracy_lift"] == 0.0
     missing = {r["run"]: r for r in evaluate_runs(df, "run", "none").collect()}
     assert all(r["relative_accuracy_lift"] == 0.0 for r in missing.values())
 
@@ -251,6 +257,14 @@ def test_failure_examples(spark):
     assert ev.failure_examples(df, "id", 1).first()["id"] == "r1"
 
 
+def test_cells_without_bins(spark):
+    df = frame(spark, PREDICTIONS)
+    row = ev.metrics(ev.evaluation_cells(df, bins=0), bins=0).first()
+    expected = {k: v for k, v in model.evaluate(PREDICTIONS).items() if k != "ece"}
+    check(row, expected)
+    assert row["expected_calibration_error"] is None
+
+
 def test_calibration_bins(spark):
     cells = ev.evaluation_cells(frame(spark, PREDICTIONS))
     found = {r["bin"]: (r["n"], r["accuracy"], round(r["confidence"], 12))

@@ -303,8 +303,8 @@ def batch_envelopes(spark, sf_dir):
 # --- evaluation ---
 
 
-def _cells(spark, sf_dir, by: Sequence[str] = ()):
-    return ev.evaluation_cells(views.predictions(spark, sf_dir, *by), by)
+def _cells(spark, sf_dir, by: Sequence[str] = (), bins: int = 10):
+    return ev.evaluation_cells(views.predictions(spark, sf_dir, *by), by, bins)
 
 
 @query
@@ -319,22 +319,22 @@ def evaluation_cells(spark, sf_dir):
 
 @query
 def example_count(spark, sf_dir):
-    return ev.metrics(_cells(spark, sf_dir)).select("examples")
+    return ev.metrics(_cells(spark, sf_dir, bins=0), bins=0).select("examples")
 
 
 @query
 def accuracy(spark, sf_dir):
-    return ev.metrics(_cells(spark, sf_dir)).select(*nine("accuracy"))
+    return ev.metrics(_cells(spark, sf_dir, bins=0), bins=0).select(*nine("accuracy"))
 
 
 @query
 def macro_f1(spark, sf_dir):
-    return ev.metrics(_cells(spark, sf_dir)).select(*nine("macro_f1"))
+    return ev.metrics(_cells(spark, sf_dir, bins=0), bins=0).select(*nine("macro_f1"))
 
 
 @query
 def class_scores(spark, sf_dir):
-    return ev.class_scores(_cells(spark, sf_dir)).select(
+    return ev.class_scores(_cells(spark, sf_dir, bins=0)).select(
         "label", "true_positive", "false_positive", "false_negative",
         *nine("precision", "recall", "f1"),
     )
@@ -360,23 +360,23 @@ def calibration_bins(spark, sf_dir):
 
 @query
 def brier_score(spark, sf_dir):
-    return ev.metrics(_cells(spark, sf_dir)).select(*nine("brier_score"))
+    return ev.metrics(_cells(spark, sf_dir, bins=0), bins=0).select(*nine("brier_score"))
 
 
 @query
 def confusion_matrix(spark, sf_dir):
-    return ev.confusion_matrix(_cells(spark, sf_dir))
+    return ev.confusion_matrix(_cells(spark, sf_dir, bins=0))
 
 
 @query
 def label_distribution(spark, sf_dir):
     rows = views.dirty(spark, sf_dir).select(F.col("spelled").alias("label"))
-    return ev.label_distribution(ev.evaluation_cells(rows))
+    return ev.label_distribution(ev.evaluation_cells(rows, bins=0))
 
 
 @query
 def rates_and_latency(spark, sf_dir):
-    return ev.metrics(_cells(spark, sf_dir)).select(
+    return ev.metrics(_cells(spark, sf_dir, bins=0), bins=0).select(
         *nine("invalid_label_rate", "hallucination_proxy_rate", "mean_latency_ms")
     )
 
@@ -411,7 +411,7 @@ def supplier_comparison(spark, sf_dir):
 
 @query
 def run_confusions(spark, sf_dir):
-    return ev.confusion_matrix(ev.evaluation_cells(views.runs(spark, sf_dir), ["run"]), ["run"])
+    return ev.confusion_matrix(ev.evaluation_cells(views.runs(spark, sf_dir), ["run"], bins=0), ["run"])
 
 
 @query
@@ -429,7 +429,7 @@ def failure_examples(spark, sf_dir):
 
 @query
 def dominant_confusions(spark, sf_dir):
-    ranked = ev.dominant_confusions(_cells(spark, sf_dir, ["l_linenumber"]), ["l_linenumber"], 2)
+    ranked = ev.dominant_confusions(_cells(spark, sf_dir, ["l_linenumber"], bins=0), ["l_linenumber"], 2)
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
