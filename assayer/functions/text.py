@@ -34,25 +34,35 @@ def _any_contained(text: Column, needles: tuple[str, ...]) -> Column:
     return found
 
 
-def parse_lowered(low: Column) -> Column:
-    """:func:`parse_prediction` for a column that is already lower case."""
-    # Most completions are a bare label, and most others contain no label at all;
-    # both are settled by the first two branches, before any text is rewritten.
+def _single_label(low: Column) -> Column:
+    """The label that is the only one among the words of a lower-cased text.
+
+    Mentions the text once: in a filter, or where a text is itself computed, every
+    further mention may be evaluated again.
+    """
     words = F.split(F.translate(low, WHITESPACE, " " * len(WHITESPACE)), " ")
     present = F.array_intersect(F.array(*map(F.lit, LABELS)), words)
-    # Joined, a single label is itself and several are no label. The lookup refers to
-    # the words once, where a comparison would evaluate them again for its result.
-    single = F.create_map(*[F.lit(label) for label in LABELS for _ in range(2)])
+    # Joined, a single label is itself and several are no label.
+    labels = F.create_map(*[F.lit(label) for label in LABELS for _ in range(2)])
+    return F.try_element_at(labels, F.array_join(present, ""))
+
+
+def parse_lowered(low: Column) -> Column:
+    """:func:`parse_prediction` for a lower-cased column of its own.
+
+    Most completions are a bare label, and most others contain no label at all; both
+    are settled before any text is rewritten.
+    """
     return (
         F.when(low.isin(*LABELS), low)
         .when(~_any_contained(low, LABELS), None)
-        .otherwise(F.try_element_at(single, F.array_join(present, "")))
+        .otherwise(_single_label(low))
     )
 
 
 def parse_prediction(raw: Column) -> Column:
     """The one vocabulary label that occurs as a whole word, else null."""
-    return parse_lowered(F.lower(raw))
+    return _single_label(F.lower(raw))
 
 
 def parse_or_raw(raw: Column) -> Column:
@@ -67,4 +77,6 @@ def has_unsupported_token(low: Column) -> Column:
 
 def unsupported_flag(raw: Column) -> Column:
     """True for completions that are unparseable or carry an unsupported token."""
-    return parse_prediction(raw).isNull() | has_unsupported_token(F.lower(raw))
+    # One pattern, to mention the text once; the tokens are plain words.
+    token = F.coalesce(F.lower(raw).rlike("|".join(UNSUPPORTED_TOKENS)), F.lit(False))
+    return parse_prediction(raw).isNull() | token

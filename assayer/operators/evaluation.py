@@ -16,7 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clamp_confidence, confidence_bin, round_exact
-from ..functions.text import has_unsupported_token, parse_lowered
+from ..functions.text import (
+    has_unsupported_token,
+    parse_lowered,
+    parse_prediction,
+    unsupported_flag,
+)
 from ..functions.vocabulary import DEFAULT_BINS, LABELS, LATENCY_DIGITS, METRIC_DIGITS
 
 # Sums of confidences count units of 1e-12, sums of latencies units of 1e-9 ms.
@@ -387,14 +392,8 @@ def dominant_confusions(
 
 def failure_examples(df: DataFrame, order_by: str = "id", n: int | None = None) -> DataFrame:
     """Input rows whose prediction is unparseable or flagged; the first ``n`` if given."""
-    raw = F.lower(F.coalesce(F.col("prediction"), F.lit("")))
-    parsed = parse_lowered(F.col("__raw"))
-    failed = (
-        df.withColumn("__raw", raw)
-        .withColumn("invalid", parsed.isNull())
-        .where(F.col("invalid") | has_unsupported_token(F.col("__raw")))
-        .drop("__raw")
-    )
+    raw = F.col("prediction")
+    failed = df.where(unsupported_flag(raw)).withColumn("invalid", parse_prediction(raw).isNull())
     return failed if n is None else failed.orderBy(order_by).limit(n)
 
 

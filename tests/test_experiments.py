@@ -6,7 +6,7 @@ from pyspark.sql import Row
 from assayer.operators import experiments as ex
 from assayer.sources import log_runs, read_runs, write_csv
 
-# The reference grid's four lists.
+# The four lists of the standard grid.
 MODELS = ["meta-llama/Meta-Llama-3-8B-Instruct", "Qwen/Qwen2.5-7B-Instruct"]
 RATES = [0.00005, 0.0001, 0.0002, 0.0003]
 RANKS = [8, 16, 32]
