@@ -47,17 +47,26 @@ def _single_label(low: Column) -> Column:
     return F.try_element_at(labels, F.array_join(present, ""))
 
 
-def parse_lowered(low: Column) -> Column:
-    """:func:`parse_prediction` for a lower-cased column of its own.
+def label_words(low: Column) -> Column:
+    """First of two steps that parse a lower-cased column: its words between blanks.
 
-    Most completions are a bare label, and most others contain no label at all; both
-    are settled before any text is rewritten.
+    Null for a bare label and for a text without any label, which need no such work.
     """
-    return (
-        F.when(low.isin(*LABELS), low)
-        .when(~_any_contained(low, LABELS), None)
-        .otherwise(_single_label(low))
-    )
+    words = F.translate(low, WHITESPACE, " " * len(WHITESPACE))
+    needed = ~low.isin(*LABELS) & _any_contained(low, LABELS)
+    return F.when(needed, F.concat(F.lit(" "), words, F.lit(" ")))
+
+
+def label_from_words(low: Column, words: Column) -> Column:
+    """Second step: the label of a lower-cased text, given its :func:`label_words`.
+
+    With the words in a column of their own this is :func:`parse_prediction` at less
+    than half its cost.
+    """
+    found = [F.contains(words, F.lit(f" {label} ")) for label in LABELS]
+    count = sum((hit.cast("int") for hit in found), F.lit(0))
+    which = F.when(found[0], LABELS[0]).when(found[1], LABELS[1]).otherwise(LABELS[2])
+    return F.when(low.isin(*LABELS), low).when(count == 1, which)
 
 
 def parse_prediction(raw: Column) -> Column:

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.numeric import clamp_confidence, confidence_bin, round_exact
 from ..functions.text import (
     has_unsupported_token,
-    parse_lowered,
+    label_from_words,
+    label_words,
     parse_prediction,
     unsupported_flag,
 )
@@ -57,14 +58,20 @@ def evaluation_inputs(df: DataFrame, keep: Sequence[str | Column] = ()) -> DataF
 
     kept = [F.col(k) if isinstance(k, str) else k for k in keep]
     names = df.select(*kept).columns
-    staged = df.select(
-        *kept,
-        F.coalesce(F.lower(F.col("label").cast("string")), F.lit("none")).alias("label"),
-        F.lower(F.coalesce(column("prediction", "string"), F.lit(""))).alias("__raw"),
-        clamp_confidence(column("confidence", "double")).alias("confidence"),
-        F.coalesce(column("latency_ms", "double"), F.lit(0.0)).alias("latency_ms"),
-    ).withColumn("prediction", parse_lowered(F.col("__raw")))
-    flagged = F.col("prediction").isNull() | has_unsupported_token(F.col("__raw"))
+    # Each step is a projection of its own, so that what it computes is computed once.
+    raw = F.col("__raw")
+    staged = (
+        df.select(
+            *kept,
+            F.coalesce(F.lower(F.col("label").cast("string")), F.lit("none")).alias("label"),
+            F.lower(F.coalesce(column("prediction", "string"), F.lit(""))).alias("__raw"),
+            clamp_confidence(column("confidence", "double")).alias("confidence"),
+            F.coalesce(column("latency_ms", "double"), F.lit(0.0)).alias("latency_ms"),
+        )
+        .withColumn("__words", label_words(raw))
+        .withColumn("prediction", label_from_words(raw, F.col("__words")))
+    )
+    flagged = F.col("prediction").isNull() | has_unsupported_token(raw)
     return staged.select(
         *names, "label", "prediction", "confidence", "latency_ms", flagged.alias("flagged")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assayer import functions as fn
 from assayer.operators.scoring import with_sequence_confidence
-from assayer.functions.text import has_unsupported_token, parse_lowered
+from assayer.functions.text import has_unsupported_token, label_from_words, label_words
 from assayer.functions.vocabulary import WHITESPACE
 
 from . import model
@@ -61,12 +61,13 @@ def test_text_rules_on_adversarial_strings(spark):
     v = F.col("v")
     assert mapped(df, fn.strip(v)) == [t.strip() for t in texts]
     assert mapped(df, fn.parse_prediction(v)) == [model.parse(t) for t in texts]
-    low = df.withColumn("v", F.lower("v"))
-    assert mapped(low, parse_lowered(v)) == [model.parse(t) for t in texts]
+    low = df.withColumn("v", F.lower("v")).withColumn("words", label_words(F.col("v")))
+    parsed = label_from_words(v, F.col("words"))
+    assert mapped(low, parsed) == [model.parse(t) for t in texts]
     flags = [model.parse(t) is None or "buy" in t.lower() or "sell" in t.lower() for t in texts]
     assert mapped(df, fn.unsupported_flag(v)) == flags
     staged = F.col("parsed").isNull() | has_unsupported_token(v)
-    assert mapped(low.withColumn("parsed", parse_lowered(v)), staged) == flags
+    assert mapped(low.withColumn("parsed", parsed), staged) == flags
     assert mapped(df, fn.normalize_label(v)) == [model.normalize(t) for t in texts]
     assert mapped(df, fn.parse_or_raw(v)) == [model.parse(t) or t.strip() for t in texts]
 
