@@ -8,7 +8,7 @@ sorts, shuffles or collects the rows themselves.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +25,8 @@ _SMALL_RANGE = 1 << 18
 # Largest n for which every task keeping its own first n rows is the cheaper way.
 _SMALL_LIMIT = 1000
 # Hash codes are 60 bits wide, so that range arithmetic on them cannot overflow.
-_HASH_CODES = (0, (1 << 60) - 1)
+_HASH_DIGITS = 15
+_HASH_CODES = (0, 16**_HASH_DIGITS - 1)
 
 
 def permutation_hash(id_col: str, seed: int) -> Column:
@@ -57,6 +58,45 @@ def permute(df: DataFrame, id_col: str = "id", seed: int = DEFAULT_SEED) -> Data
     return with_position(keyed, order).drop(*order)
 
 
+@dataclass(frozen=True)
+class _Code:
+    """An integer sort code between ``low`` and ``high``, in an integer column."""
+
+    column: Column
+    low: int
+    high: int
+
+    def value(self, code: int) -> int | str:
+        return code
+
+    def range_of(self, name: str, low: int, width: int) -> Column:
+        """The number of a code's range, counting ranges of ``width`` from ``low``."""
+        return F.expr(f"({name} - {low}L) DIV {width}L")
+
+    def range_number(self, label: int | str, low: int, width: int) -> int:
+        return label
+
+
+class _HexCode(_Code):
+    """A hash code in a column of 15 hex digits, which sort like the number.
+
+    Ranges are made by powers of 16, so a range is a prefix and no digits are converted.
+    """
+
+    def value(self, code: int) -> int | str:
+        return f"{code:0{_HASH_DIGITS}x}"
+
+    def range_of(self, name: str, low: int, width: int) -> Column:
+        return F.substring(name, 1, len(self._prefix(low, width)))
+
+    def range_number(self, label: int | str, low: int, width: int) -> int:
+        return int(label, 16) - int(self._prefix(low, width), 16)
+
+    def _prefix(self, low: int, width: int) -> str:
+        dropped = (width.bit_length() - 1) // 4
+        return self.value(low)[: _HASH_DIGITS - dropped]
+
+
 @dataclass(frozen=True)
 class _Order:
     """Total order of rows: an integer code, then a hash code of the row's content, then
@@ -64,29 +104,15 @@ class _Order:
     not know which of them it takes, only how many.
     """
 
-    code: Column
-    # A column that sorts like the code but is cheaper to compare, and its value of a code.
-    sort_key: Column
-    key_of: Callable[[int], int | str]
-    content_code: Column
+    code: _Code
+    content_code: _Code
     digest: Column
 
     @staticmethod
-    def by(df: DataFrame, code: Column, sort_key: Column, key_of: Callable) -> _Order:
+    def by(df: DataFrame, code: _Code) -> _Order:
         row = F.struct(*[F.col(c) for c in sorted(df.columns)])
         digest = F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
-        return _Order(code, sort_key, key_of, _content_code(df), digest)
-
-    @staticmethod
-    def by_hash(df: DataFrame, digest: Column) -> _Order:
-        # The first 15 hex digits are a 60-bit number that sorts like the whole digest.
-        prefix = F.substring(digest, 1, 15)
-        code = F.conv(prefix, 16, 10).cast("bigint")
-        return _Order.by(df, code, prefix, lambda value: f"{value:015x}")
-
-    @staticmethod
-    def by_integer(df: DataFrame, column: str) -> _Order:
-        return _Order.by(df, F.col(column).cast("bigint"), F.col(column), int)
+        return _Order(code, _Code(_content_code(df), *_HASH_CODES), digest)
 
 
 @dataclass(frozen=True)
@@ -98,33 +124,33 @@ class _Threshold:
     copies: int
 
 
-def _range_counts(codes: DataFrame, low: int, high: int) -> tuple[int, list[int]]:
+def _range_counts(
+    rows: DataFrame, code: _Code, low: int, high: int
+) -> tuple[int, list[int]]:
     """Width of, and rows in, each of up to 4,096 equal ranges of ``code``."""
     width = -(-(high - low + 1) // _RANGES)
     counts = [0] * _RANGES
     found = (
-        codes.where(F.col("code").between(low, high))
-        .groupBy(F.expr(f"(code - {low}L) DIV {width}L").alias("range"))
+        rows.select(code.column.alias("code"))
+        .where(F.col("code").between(code.value(low), code.value(high)))
+        .groupBy(code.range_of("code", low, width).alias("range"))
         .count()
         .collect()
     )
     for row in found:
-        counts[row["range"]] = row["count"]
+        counts[code.range_number(row["range"], low, width)] = row["count"]
     return width, counts
 
 
 def _narrow(
-    low: int,
-    high: int,
-    rank: int,
-    count_ranges: Callable[[int, int], tuple[int, list[int]]],
-    first: tuple[int, list[int]] | None = None,
-) -> tuple[int, int, int, int]:
-    """Range of few rows, or of one code, that holds the ``rank``-th row.
-
-    Returns its bounds, the rank within it, and its number of rows.
+    rows: DataFrame, code: _Code, rank: int, first: tuple[int, list[int]] | None = None
+) -> tuple[DataFrame, int, int]:
+    """The rows of a small range, or of one code, that holds the ``rank``-th row.
+
+    Returns them with the rank among them, and their number.
     """
-    width, counts = first or count_ranges(low, high)
+    low, high = code.low, code.high
+    width, counts = first or _range_counts(rows, code, low, high)
     while True:
         i = 0
         while rank > counts[i]:
@@ -132,29 +158,22 @@ def _narrow(
             i += 1
         low, high = low + i * width, min(high, low + (i + 1) * width - 1)
         if counts[i] <= _SMALL_RANGE or low == high:
-            return low, high, rank, counts[i]
-        width, counts = count_ranges(low, high)
+            kept = rows.where(code.column.between(code.value(low), code.value(high)))
+            return kept, rank, counts[i]
+        width, counts = _range_counts(rows, code, low, high)
 
 
-def _threshold(
-    df: DataFrame, order: _Order, bounds: tuple[int, int], first: tuple[int, list[int]], k: int
-) -> _Threshold:
-    codes = df.select(order.code.alias("code"))
-    low, high, rank, n = _narrow(*bounds, k, lambda lo, hi: _range_counts(codes, lo, hi), first)
-    rows = df.where(order.code.between(low, high))
+def _threshold(df: DataFrame, order: _Order, first: tuple[int, list[int]], k: int) -> _Threshold:
+    rows, rank, n = _narrow(df, order.code, k, first)
     if n > _SMALL_RANGE:
         # One code, such as that of a missing id, on many rows: go on by content.
-        codes2 = rows.select(order.content_code.alias("code"))
-        low, high, rank, n = _narrow(
-            *_HASH_CODES, rank, lambda lo, hi: _range_counts(codes2, lo, hi)
-        )
-        rows = rows.where(order.content_code.between(low, high))
+        rows, rank, n = _narrow(rows, order.content_code, rank)
     # Copies are counted before the window, so a large group of them is one row here.
     names = ["code", "content_code", "digest"]
     row = (
         rows.select(
-            order.code.alias("code"),
-            order.content_code.alias("content_code"),
+            order.code.column.alias("code"),
+            order.content_code.column.alias("content_code"),
             order.digest.alias("digest"),
         )
         .groupBy(*names)
@@ -165,8 +184,7 @@ def _threshold(
         .first()
     )
     taken = rank - (row["upto"] - row["copies"])
-    values = (order.key_of(row["code"]), row["content_code"], row["digest"])
-    return _Threshold(values, taken, row["copies"])
+    return _Threshold(tuple(row[n] for n in names), taken, row["copies"])
 
 
 def _compare(order: _Order, threshold: _Threshold) -> tuple[Column, Column]:
@@ -174,8 +192,9 @@ def _compare(order: _Order, threshold: _Threshold) -> tuple[Column, Column]:
 
     The content is only hashed on rows whose code equals the threshold's.
     """
+    fields = (order.code.column, order.content_code.column, order.digest)
     before, same = F.lit(False), F.lit(True)
-    for field, value in zip((order.sort_key, order.content_code, order.digest), threshold.values):
+    for field, value in zip(fields, threshold.values):
         before = before | (same & (field < value))
         same = same & (field == value)
     return before, same
@@ -228,13 +247,14 @@ def train_test_split(
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must be between 0 and 1")
     _checked_cap(max_train)
-    order = _Order.by_hash(df, permutation_hash(id_col, seed))
-    first = _range_counts(df.select(order.code.alias("code")), *_HASH_CODES)
+    prefix = F.substring(permutation_hash(id_col, seed), 1, _HASH_DIGITS)
+    order = _Order.by(df, _HexCode(prefix, *_HASH_CODES))
+    first = _range_counts(df, order.code, *_HASH_CODES)
     total = sum(first[1])
     n_train = int(total * (1 - test_size))
     n_kept = min(max_train or n_train, n_train)
     cuts = {
-        k: _threshold(df, order, _HASH_CODES, first, k)
+        k: _threshold(df, order, first, k)
         for k in {n_train, n_kept}
         if 0 < k < total
     }
@@ -262,15 +282,16 @@ def exactly_first_rows(df: DataFrame, order_by: str | Sequence[str], n: int) ->
         return df.orderBy(*columns).limit(n)
     if len(columns) > 1 or not isinstance(df.schema[columns[0]].dataType, IntegralType):
         return with_position(df, columns, "__at").where(F.col("__at") < n).drop("__at")
-    order = _Order.by_integer(df, columns[0])
-    bounds = tuple(df.agg(F.min(order.code), F.max(order.code)).first())
-    if None in bounds:
+    key = F.col(columns[0])
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    if low is None:
         return df
-    first = _range_counts(df.select(order.code.alias("code")), *bounds)
+    order = _Order.by(df, _Code(key.cast("bigint"), low, high))
+    first = _range_counts(df, order.code, low, high)
     if n >= sum(first[1]):
         return df
-    threshold = _threshold(df, order, bounds, first, n)
-    return _first(df.where(order.sort_key <= threshold.values[0]), order, threshold)
+    threshold = _threshold(df, order, first, n)
+    return _first(df.where(key <= threshold.values[0]), order, threshold)
 
 
 def first_rows(df: DataFrame, order_by: str | Sequence[str], n: int | None) -> DataFrame:
