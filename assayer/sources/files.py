@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -57,14 +58,14 @@ def read_labeled(
     text_field: str = "sentence",
     label_field: str = "label",
 ) -> DataFrame:
-    """A labeled Parquet table, from the mirror when the primary location is missing.
+    """A labeled Parquet table, from the mirror when the primary one cannot be opened.
 
     Both have the same columns. Only those two, and the row's place in the source as
     ``file`` and ``row``, are read.
     """
     try:
         table = spark.read.parquet(primary)
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         table = spark.read.parquet(mirror)
     return table.select(
         F.col(text_field),

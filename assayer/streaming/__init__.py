@@ -1,3 +1,12 @@
 from .monitoring import prediction_shares, start_monitor, window_metrics, windowed_cells
+from .scoring import start_appending, start_scoring, stream_jsonl
 
-__all__ = ["prediction_shares", "start_monitor", "window_metrics", "windowed_cells"]
+__all__ = [
+    "prediction_shares",
+    "start_appending",
+    "start_monitor",
+    "start_scoring",
+    "stream_jsonl",
+    "window_metrics",
+    "windowed_cells",
+]

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.vocabulary import DEFAULT_BINS
 from ..operators.evaluation import evaluation_cells, metrics
+from .scoring import start_appending
 
 
 def windowed_cells(
@@ -30,14 +31,7 @@ def windowed_cells(
 
 def start_monitor(cells: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append the cells of closed windows to the Parquet table at ``path``."""
-    return (
-        cells.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start()
-    )
+    return start_appending(cells, path, checkpoint, **trigger)
 
 
 def window_metrics(cells: DataFrame, bins: int = DEFAULT_BINS) -> DataFrame:

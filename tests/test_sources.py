@@ -51,6 +51,14 @@ def test_mirror_is_read_when_the_primary_is_missing(spark, tmp_path):
     assert df.count() == 50 and df.columns == ["sentence", "label", "file", "row"]
 
 
+def test_mirror_is_read_when_the_primary_is_broken(spark, tmp_path):
+    source(spark, str(tmp_path / "mirror"))
+    (tmp_path / "primary").mkdir()
+    (tmp_path / "primary" / "part-0.parquet").write_bytes(b"no parquet in here")
+    df = read_labeled(spark, str(tmp_path / "primary"), str(tmp_path / "mirror"))
+    assert df.count() == 50
+
+
 def test_dataset_files(spark, tmp_path):
     source(spark, str(tmp_path / "table"))
     df = read_labeled(spark, str(tmp_path / "table"), str(tmp_path / "none"))

@@ -46,3 +46,25 @@ def test_prediction_shares(spark, sf_dir):
     sums = shares.groupBy("window").agg(F.sum("share").alias("s")).collect()
     assert all(abs(r["s"] - 1) < 1e-12 for r in sums)
     assert shares.agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_scoring_a_stream_of_files(spark, tmp_path):
+    from assayer.sources import LABELED, PREDICTION, write_jsonl
+    from assayer.streaming import start_scoring, stream_jsonl
+
+    from .test_scoring import rule_scorer
+
+    folder, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+
+    def arrive(ids):
+        rows = [(str(i), f"profit {i}" if i % 2 else f"loss {i}", "bullish") for i in ids]
+        write_jsonl(spark.createDataFrame(rows, LABELED), folder, "append")
+        records = stream_jsonl(spark, folder, files_per_batch=2)
+        start_scoring(records, rule_scorer, out, state, availableNow=True).awaitTermination()
+        return spark.read.schema(PREDICTION).parquet(out).collect()
+
+    assert len(arrive(range(10))) == 10
+    found = arrive(range(10, 25))
+    assert sorted(int(r["id"]) for r in found) == list(range(25))
+    assert all(r["prediction"] == ("positive" if int(r["id"]) % 2 else "negative") for r in found)
+    assert {r["label"] for r in found} == {"positive"}

@@ -233,6 +233,11 @@ RULE_TEXTS = f"""{LABELED}, rule_texts AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, replace(sentence, 'the', 'profit') AS text, label
   FROM labeled)"""
 
+TURNS = """turns AS (
+  SELECT conv_id||'-'||turn AS id, replace(text, 'the', 'profit') AS text,
+    CASE WHEN role = 'user' THEN 'positive' ELSE 'neutral' END AS label
+  FROM conversations)"""
+
 LINE_BATCHES = """line_batches AS (
   SELECT doc_id, CASE WHEN contains(text, chr(10)) THEN string_split(text, chr(10)) ELSE [] END AS lines
   FROM documents)"""
@@ -454,6 +459,10 @@ SELECT experiment, run_id, 'metric', key, CAST(NULL AS VARCHAR), value FROM ({SC
 SELECT day, pred AS prediction, count(*) AS n,
   round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY day) AS DOUBLE), 9) AS share
 FROM scored GROUP BY day, pred""",
+    "streamed_scores": f"""WITH {TURNS} SELECT id, label, {RULE} AS prediction,
+  0.9e0 AS confidence FROM turns""",
+    "streamed_preference_pairs": f"""WITH {TURNS} SELECT id, {prompt("text")} AS prompt,
+  label AS chosen, {REJECTED} AS rejected FROM turns WHERE {strip("text")} <> ''""",
     # A stream has written the days that ended before its watermark.
     "streamed_daily_metrics": daily(
         "date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"

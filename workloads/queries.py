@@ -33,7 +33,14 @@ from assayer.sources import (
     write_jsonl,
     write_report,
 )
-from assayer.streaming import prediction_shares, start_monitor, window_metrics, windowed_cells
+from assayer.streaming import (
+    prediction_shares,
+    start_appending,
+    start_monitor,
+    start_scoring,
+    window_metrics,
+    windowed_cells,
+)
 
 from . import views
 
@@ -664,11 +671,43 @@ def daily_prediction_shares(spark, sf_dir):
     return _by_day(prediction_shares(windowed_cells(rows, "ts")), "prediction", "n", *nine("share"))
 
 
+def _stream(spark, sf_dir, name):
+    schema = views.table(spark, sf_dir, name).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(sf_dir)
+
+
 @query
 def streamed_daily_metrics(spark, sf_dir):
-    schema = views.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = _stream(spark, sf_dir, "events")
     path, state = fresh_path(spark, "cells"), fresh_path(spark, "state")
     cells = windowed_cells(views.event_predictions(events), "ts")
     start_monitor(cells, path, state, availableNow=True).awaitTermination()
     return _window_report(spark.read.parquet(path))
+
+
+def _turns(rows):
+    """User turns as positive, all others as neutral texts."""
+    return rows.select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"),
+        F.replace(F.col("text"), F.lit("the"), F.lit("profit")).alias("text"),
+        F.when(F.col("role") == "user", "bullish").otherwise("mixed").alias("label"),
+    )
+
+
+@query
+def streamed_scores(spark, sf_dir):
+    turns = _turns(_stream(spark, sf_dir, "conversations"))
+    path, state = fresh_path(spark, "scores"), fresh_path(spark, "state")
+    query = start_scoring(turns, rule_scorer, path, state, prompts=False, availableNow=True)
+    query.awaitTermination()
+    return spark.read.parquet(path).drop("latency_ms")
+
+
+@query
+def streamed_preference_pairs(spark, sf_dir):
+    turns = _turns(_stream(spark, sf_dir, "conversations"))
+    path, state = fresh_path(spark, "pairs"), fresh_path(spark, "state")
+    query = start_appending(rec.preference_pairs(turns), path, state, availableNow=True)
+    query.awaitTermination()
+    return spark.read.parquet(path)
