@@ -16,7 +16,8 @@ from .records import text_candidates
 
 # A scorer takes texts and returns a (completion, confidence) pair for each. Its
 # factory runs on the executors, once per task; a factory that caches what it loads
-# (functools.cache) loads it once per Python worker.
+# (functools.cache) loads it once per Python worker. A factory from a module needs that
+# module on the executors (--py-files); one made inside a function is sent by value.
 Scorer = Callable[[Sequence[str]], Iterable[tuple[str, float]]]
 ScorerFactory = Callable[[], Scorer]
 

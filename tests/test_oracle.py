@@ -1,9 +1,12 @@
 """Every query against its SQL counterpart, on whole tables."""
 
 import math
+import subprocess
+import sys
 
 import duckdb
 import pytest
+from pyspark import cloudpickle
 
 import __spark_entry__ as entry
 
@@ -34,9 +37,8 @@ def table(columns, rows):
     return [columns[i] for i in order], body
 
 
-def kinds(types):
-    names = {"bigint": "int", "int": "int", "integer": "int", "string": "text", "varchar": "text"}
-    return [names.get(t.lower(), t.lower()) for t in types]
+SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+            "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
@@ -44,8 +46,9 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     result = duck.sql(entry.oracle_sql()[name])
     assert table(df.columns, df.collect()) == table(result.columns, result.fetchall())
-    spark_types = dict(zip(df.columns, kinds(t for _, t in df.dtypes)))
-    assert spark_types == dict(zip(result.columns, kinds(map(str, result.types))))
+    assert {c: SQL_TYPE[t] for c, t in df.dtypes} == dict(
+        zip(result.columns, map(str, result.types))
+    )
 
 
 def test_every_query_has_a_counterpart():
@@ -53,6 +56,15 @@ def test_every_query_has_a_counterpart():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_scorer_needs_no_module_on_executors(tmp_path):
+    from workloads.queries import _rule_factory
+
+    code = "import pickle, sys; f = pickle.load(sys.stdin.buffer); print(f()(['a Profit'])[0][0])"
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(_rule_factory()),
+                          cwd=tmp_path, capture_output=True, timeout=60)
+    assert done.stdout == b"positive\n", done.stderr
+
+
 def test_entry(spark):
     row = entry.entry(spark).first()
     assert row["examples"] == 6000 and "relative_accuracy_lift" in row.asDict()

@@ -513,18 +513,25 @@ def dataset_preferences(spark, sf_dir):
 # --- scoring ---
 
 
-def rule_scorer():
-    """The rule of the built-in rule predictions, as a scorer."""
+def _rule_factory():
+    """A factory of the rule of the built-in rule predictions as a scorer.
 
-    def score(texts):
-        return [("positive" if "profit" in t.lower() else "negative", 0.9) for t in texts]
+    Made inside a function, so that Spark ships it to executors by value: they need not
+    have this module.
+    """
 
-    return score
+    def factory():
+        def score(texts):
+            return [("positive" if "profit" in t.lower() else "negative", 0.9) for t in texts]
+
+        return score
+
+    return factory
 
 
 @query
 def scored_records(spark, sf_dir):
-    scored = sc.score_records(views.rule_texts(spark, sf_dir), rule_scorer, prompts=False)
+    scored = sc.score_records(views.rule_texts(spark, sf_dir), _rule_factory(), prompts=False)
     # Measured latencies differ from run to run.
     return scored.withColumn("latency_ms", F.col("latency_ms") >= 0)
 
@@ -699,7 +706,7 @@ def _turns(rows):
 def streamed_scores(spark, sf_dir):
     turns = _turns(_stream(spark, sf_dir, "conversations"))
     path, state = fresh_path(spark, "scores"), fresh_path(spark, "state")
-    query = start_scoring(turns, rule_scorer, path, state, prompts=False, availableNow=True)
+    query = start_scoring(turns, _rule_factory(), path, state, prompts=False, availableNow=True)
     query.awaitTermination()
     return spark.read.parquet(path).drop("latency_ms")
 
