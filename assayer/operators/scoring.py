@@ -24,8 +24,12 @@ ScorerFactory = Callable[[], Scorer]
 PREDICTION_COLUMNS = ("id", "label", "prediction", "confidence", "latency_ms")
 
 
-def _complete(df: DataFrame, factory: ScorerFactory, input_col: str) -> DataFrame:
+def _complete(
+    df: DataFrame, factory: ScorerFactory, input_col: str, partitions: int | None
+) -> DataFrame:
     """Replace ``input_col`` by the scorer's completion, confidence and latency."""
+    if partitions:
+        df = df.repartition(partitions)
     kept = [c for c in df.columns if c != input_col]
     schema = ", ".join(
         [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
@@ -52,14 +56,19 @@ def _complete(df: DataFrame, factory: ScorerFactory, input_col: str) -> DataFram
 
 
 def score_records(
-    df: DataFrame, factory: ScorerFactory, normalize_gold: bool = True, prompts: bool = True
+    df: DataFrame,
+    factory: ScorerFactory,
+    normalize_gold: bool = True,
+    prompts: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``(id, label, prediction, confidence, latency_ms)`` for labeled rows.
 
     The scorer sees prompts, or plain stripped texts with ``prompts=False``. Prompting,
     label checks and parsing stay in Spark; only the scorer itself runs in Python.
     Rows with blank text are scored too. Without ``normalize_gold`` the gold label
-    passes through unchanged.
+    passes through unchanged. ``partitions`` spreads the rows evenly over that many
+    tasks first, for models that cost more than moving the texts.
     """
     text = coalesce_text(*text_candidates(df))
     label = F.col("label").cast("string")
@@ -73,6 +82,7 @@ def score_records(
         ),
         factory,
         "input",
+        partitions,
     )
     prediction = parse_or_raw(F.col("completion")).alias("prediction")
     return scored.select("id", "label", prediction, "confidence", "latency_ms")
@@ -85,6 +95,7 @@ def service_predictions(
     model: str,
     keep: Sequence[str] = (),
     prompts: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``keep`` plus ``(label, raw, confidence, latency_ms, backend, model)`` per text.
 
@@ -95,6 +106,7 @@ def service_predictions(
         df.select(*keep, (format_prompt(text) if prompts else text).alias("input")),
         factory,
         "input",
+        partitions,
     )
     return scored.select(
         *keep,

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import label_array
-from ..functions.vocabulary import LABELS
 
 
 def fit_classifier(

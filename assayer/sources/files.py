@@ -9,7 +9,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql import types as T
 
 
 # Columns that order the rows of JSON lines as they stand in their files.

@@ -85,10 +85,10 @@ def test_coalesce_text(spark):
 
 
 def test_prompt(spark):
-    df = column(spark, [" Margins fell. \n"], "string")
+    df = column(spark, [" Costs rose. \n"], "string")
     assert mapped(df, fn.format_prompt(F.col("v"))) == [
         "Classify the financial sentiment as negative, neutral, or positive.\n"
-        "Text: Margins fell.\nLabel:"
+        "Text: Costs rose.\nLabel:"
     ]
 
 

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 from assayer.operators import records as rec
 
 ROWS = [
-    ("1", "Revenue beat expectations.", "positive"),
-    ("2", " Margins declined sharply. ", " Bearish "),
-    (None, "Outlook unchanged.", "mixed"),
+    ("1", "Orders grew in every region.", "positive"),
+    ("2", " Costs rose again. ", " Bearish "),
+    (None, "The plan stands.", "mixed"),
     ("4", "   ", "no such label"),
     ("5", "", "no such label"),
     ("6", None, None),
@@ -20,7 +20,7 @@ def frame(spark, rows=ROWS):
 
 def test_sft_records(spark):
     found = [r.asDict() for r in rec.sft_records(frame(spark)).collect()]
-    texts = ["Revenue beat expectations.", "Margins declined sharply.", "Outlook unchanged."]
+    texts = ["Orders grew in every region.", "Costs rose again.", "The plan stands."]
     labels = ["positive", "negative", "neutral"]
     assert found == [
         {"id": i, "prompt": PROMPT.format(t), "response": y,
@@ -34,7 +34,7 @@ def test_preference_pairs(spark):
     assert [(r["chosen"], r["rejected"]) for r in found] == [
         ("positive", "negative"), ("negative", "neutral"), ("neutral", "negative")
     ]
-    assert found[1]["prompt"] == PROMPT.format("Margins declined sharply.")
+    assert found[1]["prompt"] == PROMPT.format("Costs rose again.")
 
 
 def test_text_falls_through_to_sentence(spark):

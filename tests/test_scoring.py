@@ -35,6 +35,13 @@ def test_score_records_with_the_rule(spark):
     assert by_rule[0]["confidence"] == 0.9 and by_rule[0]["latency_ms"] == 1.0
 
 
+def test_scoring_spread_over_tasks(spark):
+    many = spark.range(400).selectExpr("string(id) AS id", "'profit' AS text", "'mixed' AS label")
+    scored = sc.score_records(many.coalesce(1), rule_scorer, partitions=4)
+    assert scored.count() == 400 and scored.rdd.getNumPartitions() == 4
+    assert {r["id"] for r in scored.collect()} == {str(i) for i in range(400)}
+
+
 def test_unparseable_completions_are_kept_raw(spark):
     def scorer():
         return lambda prompts: [(" strong buy \n", 1.0) for _ in prompts]
