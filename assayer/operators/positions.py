@@ -17,12 +17,14 @@ _MANY_FILES = 1_000_000
 def _with_offsets(df: DataFrame, part: str, row: str, name: str) -> DataFrame:
     """Add ``row`` plus the number of rows in all earlier values of ``part`` as ``name``.
 
-    ``part`` has one value per partition or file, and so has the table of offsets.
+    ``part`` has one value per partition or file, and so has the table of offsets. Rows
+    are counted by the last number in use, so that positions stay distinct even where
+    rows have been filtered out.
     """
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(part)
-        .agg(F.count("*").alias("n"))
+        .agg((F.max(row) + 1).alias("n"))
         .select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     )
     return (
@@ -66,7 +68,8 @@ def with_source_position(
 ) -> DataFrame:
     """Add the 0-based position of rows that know their file and their row within it.
 
-    Files count in path order. Nothing but the row counts of the files is shuffled. The
+    Files count in path order; the rows should be a whole source, or positions after
+    its missing rows may be lower than in the source. Nothing but the row counts of the files is shuffled. The
     offsets are broadcast while there is a proven bound on the number of files; beyond
     it the rows are numbered by sorting.
     """

@@ -271,21 +271,28 @@ def train_test_split(
     return train, test
 
 
+def _first_numbered(df: DataFrame, columns: list[str], n: int) -> DataFrame:
+    return with_position(df, columns, "__at").where(F.col("__at") < n).drop("__at")
+
+
 def exactly_first_rows(df: DataFrame, order_by: str | Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows by ``order_by``, or all if there are fewer; 0 means none.
 
-    For a large ``n`` and a single integer column the result is a range filter on it,
-    which reaches the table scan. Other orders, which must then be unique, are numbered.
+    For a large ``n`` and a single integer column without nulls the result is a range
+    filter on it, which reaches the table scan. Other orders, which must then be unique,
+    are numbered.
     """
     columns = [order_by] if isinstance(order_by, str) else list(order_by)
     if _checked_cap(n) <= _SMALL_LIMIT:
         return df.orderBy(*columns).limit(n)
     if len(columns) > 1 or not isinstance(df.schema[columns[0]].dataType, IntegralType):
-        return with_position(df, columns, "__at").where(F.col("__at") < n).drop("__at")
+        return _first_numbered(df, columns, n)
     key = F.col(columns[0])
     low, high = df.agg(F.min(key), F.max(key)).first()
     if low is None:
         return df
+    if high - low >= 1 << 63:
+        return _first_numbered(df, columns, n)  # differences would overflow
     order = _Order.by(df, _Code(key.cast("bigint"), low, high))
     first = _range_counts(df, order.code, low, high)
     if n >= sum(first[1]):

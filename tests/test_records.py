@@ -110,6 +110,9 @@ def test_source_numbering_follows_files(spark, tmp_path, monkeypatch):
     expected = {s: f"fpb-{i}" for i, (_, _, s) in enumerate(sorted(order))}
     found = {r["sentence"]: r["id"] for r in rec.number_source_records(df).collect()}
     assert found == expected
+    some = df.where("length(sentence) = 2 OR sentence > '3'")
+    ids = [r["id"] for r in rec.number_source_records(some).collect()]
+    assert len(set(ids)) == len(ids) == some.count()
     monkeypatch.setattr(positions, "_MANY_FILES", 2)
     found = {r["sentence"]: r["id"] for r in rec.number_source_records(df).collect()}
     assert found == expected

@@ -105,6 +105,13 @@ def test_first_rows_with_a_hot_key(spark, narrow):
     assert sel.first_rows(df, "key", 500).groupBy("key").count().where("key = 300").first()[1] == 200
 
 
+def test_first_rows_over_the_whole_bigint_range(spark, narrow):
+    keys = [-(2**63), -5, 0, 7, 8, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "key bigint")
+    assert sorted(r["key"] for r in sel.first_rows(df, "key", 5).collect()) == keys[:5]
+    assert sorted(r["key"] for r in sel.first_rows(df.where("key < 9"), "key", 4).collect()) == keys[:4]
+
+
 def test_first_rows_filter_reaches_the_scan(spark, tmp_path, narrow, capsys):
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     sel.first_rows(spark.read.parquet(str(tmp_path / "t")), "id", 600).explain("formatted")
