@@ -13,7 +13,7 @@ bw AS (SELECT item_id, {_NORMAL_WORDS} AS w FROM benchmark),
 win AS (
   SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS k
   FROM (SELECT item_id, unnest(CASE WHEN len(w) < 10 THEN [w]
-          ELSE list_transform(range(1, len(w) - 8), i -> w[i:i+9]) END) AS x
+          ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i+9]) END) AS x
         FROM bw WHERE len(w) > 0)),
 lens AS (SELECT DISTINCT n FROM win),
 places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lens),

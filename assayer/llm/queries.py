@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, packing, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.concat("base", "extra")).alias("spans"),
+    )
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan_benchmark(
@@ -36,3 +53,17 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "sequence_id",
+        F.col("offset").cast("long").alias("offset"),
+    )
