@@ -21,24 +21,32 @@ def texts_of(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame
     )
 
 
-def per_row(
-    df: DataFrame, make: Callable[[], Callable[..., dict]], schema: str | StructType
+def annotate(
+    df: DataFrame,
+    text_col: str,
+    make: Callable[[], Callable[[bytes], dict]],
+    added: str,
+    keep: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Map each row by a function of its columns' values, made once per task.
-
-    Strings arrive as UTF-8 bytes, so that a function decodes only what it must.
-    """
-    target = _arrow_schema(df, schema)
+    """The ``keep`` columns (all by default) and the ``added`` ones, which a function, made
+    once per task, finds from the text's UTF-8 bytes (null: empty)."""
+    names = df.columns if keep is None else list(keep)
+    fields = arrow_schema(added)
+    kept = df.select(*[F.col(f"`{n}`") for n in names]).schema
+    schema = StructType([*kept.fields, *StructType.fromDDL(added).fields])
+    at = df.columns.index(text_col)
+    places = [df.columns.index(n) for n in names]
 
     def run(batches: Batches) -> Batches:
         function = make()
         for batch in batches:
-            columns = [
-                (c.cast(pa.binary()) if pa.types.is_string(c.type) else c).to_pylist()
-                for c in batch.columns
-            ]
-            rows = [function(*values) for values in zip(*columns)]
-            yield pa.RecordBatch.from_pylist(rows, schema=target)
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            rows = [function(text or b"") for text in texts]
+            found = pa.RecordBatch.from_pylist(rows, schema=fields)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in places], *found.columns],
+                names=[*names, *fields.names],
+            )
 
     return df.mapInArrow(run, schema)
 
@@ -66,16 +74,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def _arrow_schema(df: DataFrame, schema: str | StructType) -> pa.Schema:
+def arrow_schema(schema: str) -> pa.Schema:
+    """Arrow's form of a schema in DDL; to be called on the driver."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    if isinstance(schema, str):
-        schema = StructType.fromDDL(schema)
-    return to_arrow_schema(schema)
-
-
-def arrow_schema(schema: str) -> pa.Schema:
-    return _arrow_schema(None, schema)
+    return to_arrow_schema(StructType.fromDDL(schema))
 
 
 def in_rows(rows: Iterable[dict], schema: pa.Schema, size: int = 1000) -> Batches:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import filter_rows, free_name, per_row, texts_of
+from .common import annotate, filter_rows, free_name, texts_of
 
 WINDOW = 10
 #: Characters of benchmark windows that are broadcast at once.
@@ -50,14 +50,14 @@ def benchmark_windows(
 ) -> DataFrame:
     """``key, items``: each distinct window, words joined by spaces, and the items that have it."""
 
-    def make() -> Callable[[str, bytes], dict]:
-        return lambda item, text: {"item": item, "keys": _windows(normal_words(text), window)}
+    def make() -> Callable[[bytes], dict]:
+        return lambda text: {"keys": list(_windows(normal_words(text), window))}
 
     items = texts_of(benchmark, item_col, text_col).select(
-        F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "text"
+        F.coalesce(F.col("id").cast("string"), F.lit("")).alias("item"), "text"
     )
     return (
-        per_row(items, make, "item string, keys array<string>")
+        annotate(items, "text", make, "keys array<string>", ["item"])
         .select(F.explode("keys").alias("key"), "item")
         .groupBy("key")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
@@ -162,17 +162,14 @@ def scan_benchmark(
 ) -> DataFrame:
     """``id, n_words, spans, items`` per document: hit runs of words and the items found."""
     blocks = list(_blocks(benchmark, item_col, item_text_col, window, block_chars))
-    texts = texts_of(docs, id_col, text_col)
-    kind = texts.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
+    added = "n_words long, spans array<struct<start:int,end:int>>, items array<string>"
 
-    def make() -> Callable[[object, bytes], dict]:
-        def scan(key: object, text: bytes) -> dict:
+    def make() -> Callable[[bytes], dict]:
+        def scan(text: bytes) -> dict:
             words = normal_words(text)
             found = [f for block in blocks for f in block.value.find(words)]
             runs = _runs(_hit_words(found, len(words))) if found else []
             return {
-                "id": key.decode() if isinstance(key, bytes) else key,
                 "n_words": len(words),
                 "spans": [{"start": a, "end": b} for a, b in runs],
                 "items": sorted({item for _, _, items in found for item in items}),
@@ -180,7 +177,7 @@ def scan_benchmark(
 
         return scan
 
-    return per_row(texts, make, schema)
+    return annotate(texts_of(docs, id_col, text_col), "text", make, added, ["id"])
 
 
 def decontaminate(

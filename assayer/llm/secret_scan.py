@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import Batches, arrow_schema, per_row, texts_of
+from .common import Batches, annotate, arrow_schema, texts_of
 
 # The patterns of the base kinds.
 KINDS = ("assign", "access", "hex", "random")
@@ -184,7 +184,7 @@ def _points(text: bytes) -> Callable[[int], int]:
 
 
 SCAN = (
-    "id {kind}, base array<struct<kind:string,start:long,end:long>>, candidates array<struct<"
+    "base array<struct<kind:string,start:long,end:long>>, candidates array<struct<"
     "start:long,end:long,encoding:string,p:double,z:double,band:int>>"
 )
 
@@ -193,14 +193,12 @@ def scan(
     docs: DataFrame, letters: Letters, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``id, base, candidates`` of each document, offsets in code points."""
-    texts = texts_of(docs, id_col, text_col)
 
-    def make() -> Callable[[object, bytes], dict]:
-        def one(key: object, text: bytes) -> dict:
+    def make() -> Callable[[bytes], dict]:
+        def one(text: bytes) -> dict:
             base = base_spans(text)
             points = _points(text)
             return {
-                "id": key.decode() if isinstance(key, bytes) else key,
                 "base": [{"kind": k, "start": points(a), "end": points(b)} for k, a, b in base],
                 "candidates": [
                     {**c, "start": points(c["start"]), "end": points(c["end"])}
@@ -210,7 +208,7 @@ def scan(
 
         return one
 
-    return per_row(texts, make, SCAN.format(kind=texts.schema["id"].dataType.simpleString()))
+    return annotate(texts_of(docs, id_col, text_col), "text", make, SCAN, ["id"])
 
 
 def thresholds(scanned: DataFrame, false_rate: float = FALSE_RATE) -> dict[int, float]:
