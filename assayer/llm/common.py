@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -91,3 +91,23 @@ def in_rows(rows: Iterable[dict], schema: pa.Schema, size: int = 1000) -> Batche
             held = []
     if held:
         yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def spans_text(spans: Column, kinds: Sequence[str]) -> Column:
+    """``kind:start:end`` of spans, by start, then by the order of the kinds."""
+    order = F.array(*map(F.lit, kinds))
+    keyed = F.transform(
+        spans,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            F.array_position(order, s["kind"]).alias("order"),
+            s["end"].alias("end"),
+            s["kind"].alias("kind"),
+        ),
+    )
+    return F.array_join(
+        F.transform(
+            F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        ),
+        ",",
+    )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secret_scan
+from . import decontaminate, packing, pii, quality, secret_scan
+from .common import spans_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,23 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
-def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+def _number(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    def number(kind: str) -> Column:
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
+def _span_digests(found: DataFrame, base_kinds: Sequence[str], kinds: Sequence[str]) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"),
-        number("assign").alias("n_assign"),
-        number("access").alias("n_access"),
-        number("hex").alias("n_hex"),
-        F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
-        secret_scan.spans_text(F.concat("base", "extra")).alias("spans"),
+        *map(_number, base_kinds),
+        F.sha2(spans_text(F.col("base"), kinds), 256).alias("base_sha256"),
+        spans_text(F.concat("base", "extra"), kinds).alias("spans"),
     )
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return _span_digests(found, secret_scan.KINDS[:3], secret_scan.KINDS)
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -72,3 +75,9 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         F.col("offset").cast("long").alias("offset"),
     )
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return _span_digests(found, pii.KINDS[:4], pii.KINDS)

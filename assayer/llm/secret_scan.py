@@ -252,26 +252,6 @@ def discovered(limits: dict[int, float]) -> Column:
     )
 
 
-def spans_text(spans: Column) -> Column:
-    """``kind:start:end`` of spans, by start, then by the order of the kinds."""
-    order = F.array(*map(F.lit, KINDS))
-    keyed = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"),
-            F.array_position(order, s["kind"]).alias("order"),
-            s["end"].alias("end"),
-            s["kind"].alias("kind"),
-        ),
-    )
-    return F.array_join(
-        F.transform(
-            F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
-        ),
-        ",",
-    )
-
-
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, base, extra``: spans of the patterns, and those that the tests discover."""
     letters = Letters.of(letter_counts(docs, text_col))
