@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, quality, secret_scan
+from . import decontaminate, packing, pii, quality, secret_scan, simhash, substring, suffix_index
 from .common import spans_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,18 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(found, secret_scan.KINDS[:3], secret_scan.KINDS)
 
 
+@query
+def op2_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_index.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 @query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -77,7 +89,23 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     return _span_digests(found, pii.KINDS[:4], pii.KINDS)
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        simhash.digits(F.col("fingerprint")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
