@@ -6,7 +6,43 @@ _NORMAL_WORDS = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+_TURNS = r"""
+SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+"""
+_ESCAPED = r"replace(replace(replace({}, '\', '\\'), '<', '\l'), '#', '\h')"
+
 ORACLE = {
+    "op5_chat": f"""
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(length({_ESCAPED.format("text")}) + length(replace({_ESCAPED.format("role")}, '>', '\\g'))
+    + 17) AS BIGINT) AS formatted_chars
+FROM ({_TURNS}) GROUP BY conv_id
+""",
+    "op7_substrings": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+firsts AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM win JOIN firsts USING (k) WHERE doc_id > least),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
     "op4_decontaminate": f"""
 WITH dw AS (SELECT doc_id, {_NORMAL_WORDS} AS w FROM documents),
 bw AS (SELECT item_id, {_NORMAL_WORDS} AS w FROM benchmark),

@@ -7,7 +7,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, quality, secret_scan, simhash, substring, suffix_index
+from . import (
+    chat,
+    decontaminate,
+    html_wrappers,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+    substring,
+    suffix_index,
+)
 from .common import spans_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +86,17 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    escaped = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_log(chat.message_log(turns.union(escaped))))
+
+
 @query
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -101,6 +123,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(found, pii.KINDS[:4], pii.KINDS)
 
 
+@query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
