@@ -11,8 +11,10 @@ all levels for suffixes that begin in a smaller document.
 
 Only suffixes that can match are indexed. First, each string of ``LENGTH`` bytes names its least
 ``GRAM``-byte substring by hash, its anchor; equal strings have equal anchors, so one whose
-anchor is in no other document needs no entry. Whole copies of a document are found by
-one hash of the text and need no entries either.
+anchor is in no other document needs no entry. Consecutive strings with one anchor make a
+stretch; if a smaller document has the whole stretch, or the whole text, its strings are
+repeats that need no entries either. Only ends of passages and their first occurrences
+are left.
 
 Defined results: a null or empty text has no bytes; rows with the same id do not remove each
 other's bytes; a null id counts as greater than any other; an empty table gives an empty
@@ -49,7 +51,7 @@ from .windows import (
 LENGTH = 50
 GRAM = 16
 #: Expected entries per byte of text, for the numbers of ranges only.
-_ANCHORS, _SUFFIXES = 0.06, 0.2
+_ANCHORS, _SUFFIXES = 0.06, 0.1
 
 _CODES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 
@@ -139,6 +141,17 @@ class _Suffixes:
         self.run_doc = self.doc[self.first]
         self.run_inside = self.inside[self.first]
 
+    def stretches(self) -> np.ndarray:
+        """Hash of all bytes of each run's strings, from sums of codes by powers of a base."""
+        base = 0x9E3779B97F4A7C15
+        n = len(self.codes)
+        up = np.cumprod(np.full(n, base, np.uint64))
+        down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(self.codes * up, dtype=np.uint64)])
+        sizes = self.counts + self.length - 1
+        hashes = (sums[self.first + sizes] - sums[self.first]) * down[self.first]
+        return mixed(hashes + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
     def strings(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, hash and document of each string in the given runs."""
         wanted = np.repeat(runs, self.counts)
@@ -172,52 +185,59 @@ def remove_repeats(
     batches = write_batches(docs, id_col, text_col)
     total = batches.agg(F.sum("bytes")).first()[0] or 0
     bits = min(64, 34 + math.ceil(math.log2(total + 2) / 2))
-    # The ranges of anchors, then those of whole texts, then those of suffixes.
+    # The ranges of anchors, of stretches, of whole texts, and then of suffixes.
     anchor_ranges = ranges_for(batches, _ANCHORS)
     text_ranges = ranges_for(batches, 1 / length / 8)
     suffix_ranges = ranges_for(batches, _SUFFIXES)
-    texts_from, suffixes_from = anchor_ranges, anchor_ranges + text_ranges
+    stretches_from = anchor_ranges
+    texts_from = stretches_from + anchor_ranges
+    suffixes_from = texts_from + text_ranges
 
-    def is_copy(batch: Batch, answers: Answers) -> np.ndarray:
-        found, _, place, here = _copies(batch)
-        return here | answers.of(found, texts_from, text_ranges)[place]
+    def parts(batch: Batch):
+        own = _Suffixes(batch, length, gram, bits)
+        inside = own.run_inside
+        docs = own.run_doc[inside]
+        return own, inside, docs, own.anchor[inside], distinct(own.stretches()[inside], docs)
 
     def first_question(batch: Batch, _: Answers) -> list[Asked]:
-        own = _Suffixes(batch, length, gram, bits)
-        anchors = np.unique(own.anchor[own.run_inside])
-        texts, first, _, _ = _copies(batch)
+        _, _, _, anchors, (stretches, stretch_docs, _) = parts(batch)
+        anchors = np.unique(anchors)
+        texts, text_docs, _, _ = _copies(batch)
         return [
             (anchors, np.zeros(len(anchors), np.int64), 0, anchor_ranges),
-            (texts, first, texts_from, text_ranges),
+            (stretches, stretch_docs, stretches_from, anchor_ranges),
+            (texts, text_docs, texts_from, text_ranges),
         ]
 
     def first_answer(number: int, keys: list, ids: list) -> list[np.ndarray]:
-        return _elsewhere(keys) if number < texts_from else seen_before(keys, ids)
+        return _elsewhere(keys) if number < stretches_from else seen_before(keys, ids)
 
     def indexed(batch: Batch, answers: Answers):
-        """The strings that need an entry: their anchor is in another document."""
-        own = _Suffixes(batch, length, gram, bits)
-        copy = is_copy(batch, answers)
-        inside = own.run_inside
-        anchors, first, place = distinct(own.anchor[inside], own.run_doc[inside])
+        """The strings that are known to be repeats, and those that need an entry."""
+        own, inside, docs, anchors, (stretches, first, at) = parts(batch)
+        texts, _, text_at, copy = _copies(batch)
+        copy |= answers.of(texts, texts_from, text_ranges)[text_at]
+        known = batch.ids[docs] > batch.ids[first[at]]
+        known |= answers.of(stretches, stretches_from, anchor_ranges)[at]
+        anchors, first, place = distinct(anchors, docs)
         last = np.full(len(anchors), -1)
-        np.maximum.at(last, place, own.run_doc[inside])
-        shared = answers.of(anchors, 0, anchor_ranges) | (last > first)
-        runs = np.zeros(len(inside), bool)
-        runs[inside] = shared[place]
-        runs &= ~copy[own.run_doc]
+        np.maximum.at(last, place, docs)
+        shared = (answers.of(anchors, 0, anchor_ranges) | (last > first))[place]
+        repeats, runs = np.zeros((2, len(inside)), bool)
+        repeats[inside] = known
+        runs[inside] = shared & ~known & ~copy[docs]
         starts, keys, docs = own.strings(runs)
-        return own, copy, starts, docs, distinct(keys, docs)
+        hits = np.repeat(repeats, own.counts)
+        return own, copy, hits, starts, docs, distinct(keys, docs)
 
     def second_question(batch: Batch, answers: Answers) -> list[Asked]:
         *_, (found, first, _) = indexed(batch, answers)
         return [(found, first, suffixes_from, suffix_ranges)]
 
     def finish(batch: Batch, answers: Answers) -> list[dict]:
-        own, copy, starts, docs, (found, first, place) = indexed(batch, answers)
+        own, copy, hits, starts, docs, (found, first, place) = indexed(batch, answers)
         before = answers.of(found, suffixes_from, suffix_ranges)[place]
         before |= batch.ids[docs] > batch.ids[first[place]]
-        hits = np.zeros(max(0, len(own.data) - length + 1), bool)
         hits[starts[before]] = True
         gone = covered(hits, length) if len(hits) else np.zeros(len(own.data), bool)
         rows = []

@@ -1,6 +1,6 @@
 """Which windows of a document also start in another, over any number of documents.
 
-Documents are written once in batches of about a megabyte, compressed. A batch sends the
+Documents are written once in batches of about half a megabyte, compressed. A batch sends the
 sorted hashes of its distinct windows to ranges of the hash space; a range's task
 compares the batches and answers each with one bit per hash; and each batch meets its
 answers again, where they become places in its texts. A common window is sent once by
@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from ..session import written
 from .common import Batches, arrow_schema
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 #: So that a document's number within its batch is one byte.
 BATCH_DOCS = 256
 #: Hashes that one range's task compares, at about 40 bytes each.
-RANGE_KEYS = 2_000_000
+RANGE_KEYS = 1_000_000
 #: Stands for a null id: greater than any other.
 NO_ID = (1 << 63) - 1
 
