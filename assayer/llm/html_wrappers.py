@@ -34,7 +34,9 @@ from .common import Batches, annotate, arrow_schema, in_rows
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "ruby s samp small span strike strong sub sup time tt u var wbr audio button canvas embed "
+    "iframe img input link map meta noscript object script select style svg template textarea "
+    "video".split()
 )
 _RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 _NOISE_TAGS = frozenset(
