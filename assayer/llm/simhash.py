@@ -188,7 +188,8 @@ def drop_near(
     own = F.col(f"`{id_col}`")
 
     def among(ids: DataFrame) -> DataFrame:
-        return docs.join(ids.select(key), own == F.col(key), "left_semi")
+        # The same plan at every size: the ids grow with the documents, so no broadcast.
+        return docs.join(ids.select(key).hint("merge"), own == F.col(key), "left_semi")
 
     if keepers.where("rows > 1").isEmpty():
         kept = among(keepers)

@@ -49,9 +49,9 @@ from .windows import (
 )
 
 LENGTH = 50
-GRAM = 24
+GRAM = 16
 #: Expected entries per byte of text, for the numbers of ranges only.
-_ANCHORS, _SUFFIXES = 0.07, 0.07
+_ANCHORS, _SUFFIXES = 0.06, 0.1
 
 _CODES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 
