@@ -56,12 +56,18 @@ def chosen_probability(scores: Column, chosen: Column) -> Column:
 
 
 def sequence_confidence(step_scores: Column, chosen_ids: Column) -> Column:
-    """Mean chosen-token probability over the steps of a sequence; 0 without steps."""
-    # As many steps as both arrays have: a null of the longer one adds nothing.
-    probabilities = F.filter(
-        F.zip_with(step_scores, chosen_ids, chosen_probability), lambda p: p.isNotNull()
+    """Mean chosen-token probability over the steps of a sequence; 0 without steps.
+
+    There are as many steps as both arrays have. A step whose token id is outside its
+    scores, or whose chosen score is missing, fails the job.
+    """
+    steps = F.least(F.size(step_scores), F.size(chosen_ids))
+    outside = F.raise_error(F.lit("chosen token outside the scores")).cast("double")
+    probabilities = F.zip_with(
+        F.slice(step_scores, F.lit(1), F.greatest(steps, F.lit(0))),
+        F.slice(chosen_ids, F.lit(1), F.greatest(steps, F.lit(0))),
+        lambda scores, chosen: F.coalesce(chosen_probability(scores, chosen), outside),
     )
-    steps = F.size(probabilities)
     mean = F.aggregate(probabilities, F.lit(0.0), lambda acc, p: acc + p) / steps
     return F.when(steps > 0, mean).otherwise(0.0)
 
@@ -70,26 +76,29 @@ def round_exact(column: str, digits: int) -> Column:
     """Round the exact binary value of a double column, ties to the even digit.
 
     ``F.round`` and ``F.bround`` round the shortest decimal form instead and differ
-    on values such as 0.03125 or 0.00015. The value is compared with the midpoint of
-    its two candidates in pieces short enough for every product and sum to be exact.
-    Magnitudes of 2**17 and more, where a double has fewer spare digits, fall back to
-    ``F.bround``. Takes a column name, because the value occurs many times.
+    on values such as 0.03125 or 0.00015. The whole part is set aside, which is exact,
+    and the rest is compared with the midpoint of its two candidates in pieces short
+    enough for every product and sum to be exact. From ``2**53`` units of the last digit on,
+    doubles are further apart than these, so a value is its own nearest result.
+    Takes a column name, because the value occurs many times.
     """
     x, scale, twice = f"`{column}`", f"{10**digits}D", f"{2 * 10**digits}D"
-    below = f"CAST(floor(abs({x}) * {scale}) AS DOUBLE)"
-    # abs(x) = high + middle + low
-    high = f"rint(abs({x}) * {2.0**20}D) / {2.0**20}D"
-    middle = f"rint((abs({x}) - {high}) * {2.0**46}D) / {2.0**46}D"
-    low = f"(abs({x}) - {high} - {middle})"
+    whole = f"CAST(floor(abs({x})) AS DOUBLE)"
+    rest = f"(abs({x}) - {whole})"
+    below = f"CAST(floor({rest} * {scale}) AS DOUBLE)"
+    # rest = high + middle + low
+    high = f"rint({rest} * {2.0**20}D) / {2.0**20}D"
+    middle = f"rint(({rest} - {high}) * {2.0**46}D) / {2.0**46}D"
+    low = f"({rest} - {high} - {middle})"
     past_midpoint = (
         f"(({high} * {twice} - (2D * {below} + 1D)) + {middle} * {twice}) + {low} * {twice}"
     )
+    # The even one of the candidates, whole part included.
     steps = (
         f"CASE signum({past_midpoint}) WHEN 1D THEN {below} + 1D WHEN -1D THEN {below} "
-        f"ELSE {below} + {below} % 2D END"
+        f"ELSE {below} + ({whole} * {scale} + {below}) % 2D END"
     )
     return F.expr(
-        f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN {x} "
-        f"WHEN abs({x}) < {2**17}D THEN IF({x} < 0D, -1D, 1D) * ({steps}) / {scale} "
-        f"ELSE bround({x}, {digits}) END"
+        f"CASE WHEN isnan({x}) OR abs({x}) * {scale} >= {2.0**53}D THEN {x} "
+        f"ELSE IF({x} < 0D, -1D, 1D) * ({whole} * {scale} + ({steps})) / {scale} END"
     )

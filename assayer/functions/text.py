@@ -71,7 +71,9 @@ def label_from_words(low: Column, words: Column) -> Column:
 
 def parse_prediction(raw: Column) -> Column:
     """The one vocabulary label that occurs as a whole word, else null."""
-    return _single_label(F.lower(raw))
+    low = F.lower(raw)
+    # Bare labels and texts without any need no splitting.
+    return F.when(low.isin(*LABELS), low).when(_any_contained(low, LABELS), _single_label(low))
 
 
 def parse_or_raw(raw: Column) -> Column:

@@ -29,9 +29,10 @@ from ..functions.vocabulary import DEFAULT_BINS, LABELS, LATENCY_DIGITS, METRIC_
 CONFIDENCE_UNIT = 10**12
 LATENCY_UNIT = 10**9
 
-# Whole-number sums are added up in two BIGINT halves, which is several times faster
-# than a DECIMAL sum and has room for some 10**12 rows in one cell.
-_HALF_BITS = 20
+# Whole-number sums are added up in BIGINT parts of 21 bits, which is several times faster
+# than a DECIMAL sum. A part is below 2**21, so a cell has room for 2**42 rows, some
+# 4 * 10**12. Confidences need two parts, latencies three.
+_PART_BITS = 21
 # Latencies from here on (about 100 days), NaN and infinity do not fit the units.
 _LARGE_LATENCY = 9.0e9
 
@@ -77,17 +78,20 @@ def evaluation_inputs(df: DataFrame, keep: Sequence[str | Column] = ()) -> DataF
     )
 
 
-def _halves(units: Column, name: str) -> list[Column]:
-    low = units.bitwiseAND(F.lit((1 << _HALF_BITS) - 1))
-    return [
-        F.sum(F.shiftright(units, _HALF_BITS)).alias(f"{name}_high"),
-        F.sum(low).alias(f"{name}_low"),
-    ]
+def _parts(units: Column, name: str, parts: int) -> list[Column]:
+    """Sums of the parts of whole numbers, lowest first; the highest has their sign."""
+    mask = F.lit((1 << _PART_BITS) - 1)
+    shifted = [F.shiftright(units, _PART_BITS * i) if i else units for i in range(parts)]
+    own = [part.bitwiseAND(mask) for part in shifted[:-1]] + shifted[-1:]
+    return [F.sum(part).alias(f"{name}_{i}") for i, part in enumerate(own)]
 
 
-def _whole(name: str) -> Column:
-    high = F.col(f"{name}_high").cast("decimal(20,0)") * F.lit(1 << _HALF_BITS)
-    return (high + F.col(f"{name}_low").cast("decimal(20,0)")).cast("decimal(28,0)").alias(name)
+def _whole(name: str, parts: int, kind: str) -> Column:
+    total = F.col(f"{name}_0").cast("decimal(20,0)")
+    for i in range(1, parts):
+        unit = F.lit(1 << _PART_BITS * i).cast("decimal(13,0)")
+        total = total + F.col(f"{name}_{i}").cast("decimal(20,0)") * unit
+    return total.cast(kind).alias(name)
 
 
 def _units(x: Column, unit: int) -> Column:
@@ -124,18 +128,18 @@ def evaluation_cells(
     sums = staged.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.sum("flagged").alias("flagged"),
-        *_halves(F.col("c_units"), "confidence_sum"),
-        *_halves(F.col("c2_units"), "confidence_sq_sum"),
-        *_halves(F.col("ms_units"), "latency_sum"),
+        *_parts(F.col("c_units"), "confidence_sum", 2),
+        *_parts(F.col("c2_units"), "confidence_sq_sum", 2),
+        *_parts(F.col("ms_units"), "latency_sum", 3),
         F.sum("ms_special").alias("latency_special"),
     )
     return sums.select(
         *keys,
         "n",
         "flagged",
-        _whole("confidence_sum"),
-        _whole("confidence_sq_sum"),
-        _whole("latency_sum"),
+        _whole("confidence_sum", 2, "decimal(28,0)"),
+        _whole("confidence_sq_sum", 2, "decimal(28,0)"),
+        _whole("latency_sum", 3, "decimal(38,0)"),
         "latency_special",
     )
 

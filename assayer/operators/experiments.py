@@ -26,34 +26,52 @@ def _leaves(schema: T.StructType, parent: Column | None, prefix: str) -> list[tu
 
 
 def flatten(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Nested structs as dotted columns; only string, number and boolean leaves stay."""
+    """Nested structs as dotted columns; only string, number and boolean leaves stay.
+
+    A map's keys differ from row to row, so maps have no columns; see ``flatten_params``.
+    """
     nested = df.drop(*keep)
     return df.select(*keep, *[c.alias(name) for name, c in _leaves(nested.schema, None, "")])
 
 
-def _map_entries(name: str) -> Column:
-    def entry(e: Column) -> Column:
-        key = F.concat(F.lit(f"{name}."), e["key"])
-        return F.struct(key.alias("key"), e["value"].cast("string").alias("value"))
-
-    found = F.transform(F.map_entries(F.col(f"`{name}`")), entry)
-    return F.coalesce(found, F.array().cast("array<struct<key:string,value:string>>"))
+_ENTRIES = "array<struct<key:string,value:string>>"
+
+
+def _entries(column: Column, kind: T.DataType, key: Column) -> Column | None:
+    """Entries ``(key, value)`` of all scalars in a column, through structs and maps alike."""
+    if isinstance(kind, _SCALAR):
+        return F.array(F.struct(key.alias("key"), column.cast("string").alias("value")))
+    if isinstance(kind, T.StructType):
+        parts = [
+            _entries(column.getField(f.name), f.dataType, F.concat(key, F.lit(f".{f.name}")))
+            for f in kind.fields
+        ]
+        parts = [p for p in parts if p is not None]
+        return F.concat(*parts) if parts else None
+    if isinstance(kind, T.MapType):
+        probe = _entries(column, kind.valueType, key)
+        if probe is None:
+            return None
+        nested = F.transform(
+            F.map_entries(column),
+            lambda e: _entries(
+                e["value"], kind.valueType, F.concat(key, F.lit("."), e["key"].cast("string"))
+            ),
+        )
+        return F.coalesce(F.flatten(nested), F.array().cast(_ENTRIES))
+    return None
 
 
 def flatten_params(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Nested parameters as rows ``(*keep, key, value)`` with dotted keys.
 
-    Lists and nulls are dropped. Entries of string-keyed maps of scalars become keys too.
+    Structs and maps are followed to any depth; lists and nulls are dropped.
     """
-    nested = df.drop(*keep).schema
-    entries = [
-        F.array(F.struct(F.lit(name).alias("key"), column.cast("string").alias("value")))
-        for name, column in _leaves(nested, None, "")
+    found = [
+        _entries(F.col(f"`{field.name}`"), field.dataType, F.lit(field.name))
+        for field in df.drop(*keep).schema.fields
     ]
-    for field in nested.fields:
-        kind = field.dataType
-        if isinstance(kind, T.MapType) and isinstance(kind.valueType, _SCALAR):
-            entries.append(_map_entries(field.name))
+    entries = [e for e in found if e is not None]
     if not entries:
         raise ValueError("no scalar parameters to flatten")
     return df.select(*keep, F.inline(F.concat(*entries))).where(F.col("value").isNotNull())

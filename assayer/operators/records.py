@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.labels import label_from_code, normalize_label, rejected_label, require_label
 from ..functions.text import coalesce_text, format_prompt
@@ -20,9 +21,11 @@ def text_candidates(df: DataFrame, text_field: str = "text") -> list[Column]:
     return found
 
 
-def _label_of(label_field: str, codes: bool) -> Column:
+def gold_label(df: DataFrame, label_field: str = "label", codes: bool = False) -> Column:
+    """The vocabulary label of a column of codes, if it holds integers, or of spellings."""
     value = F.col(label_field)
-    return label_from_code(value) if codes else normalize_label(value)
+    integers = isinstance(df.schema[label_field].dataType, IntegralType)
+    return label_from_code(value) if codes or integers else normalize_label(value)
 
 
 def _record_id(df: DataFrame) -> Column:
@@ -34,13 +37,13 @@ def labeled_texts(
 ) -> DataFrame:
     """``(id, text, label)`` with stripped non-blank texts and normalized labels.
 
-    ``codes`` says that the label column holds integer codes. An unsupported label
-    fails the job; on a blank row it does not, because blank rows are dropped before
+    A label column of integers holds codes, as does any other with ``codes``. An unsupported
+    label fails the job; on a blank row it does not, because blank rows are dropped before
     their labels are looked at. The blank test guards the label check itself, so the
     order in which the optimizer runs filter and projection does not matter.
     """
     text = coalesce_text(*text_candidates(df, text_field))
-    checked = require_label(_label_of(label_field, codes), F.col(label_field))
+    checked = require_label(gold_label(df, label_field, codes), F.col(label_field))
     return (
         df.select(_record_id(df).alias("id"), text.alias("text"), F.col(label_field))
         .select("id", "text", F.when(F.length("text") > 0, checked).alias("label"))
@@ -60,7 +63,7 @@ def quarantine_labels(
     rows = df.select(
         _record_id(df).alias("id"),
         text.alias("text"),
-        _label_of(label_field, codes).alias("label"),
+        gold_label(df, label_field, codes).alias("label"),
         F.col(label_field).cast("string").alias("original"),
     ).where(F.length("text") > 0)
     accepted = rows.where(F.col("label").isNotNull()).drop("original")

@@ -8,11 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import normalize_label, require_label
+from ..functions.labels import require_label
 from ..functions.numeric import round_exact, sequence_confidence
 from ..functions.text import coalesce_text, format_prompt, parse_or_raw, parse_prediction, strip
 from ..functions.vocabulary import METRIC_DIGITS
-from .records import text_candidates
+from .records import gold_label, text_candidates
 
 # A scorer takes texts and returns a (completion, confidence) pair for each. Its
 # factory runs on the executors, once per task; a factory that caches what it loads
@@ -72,10 +72,11 @@ def score_records(
     """
     text = coalesce_text(*text_candidates(df))
     label = F.col("label").cast("string")
+    gold = gold_label(df) if normalize_gold else None
     scored = _complete(
         df.select(
             F.col("id").cast("string").alias("id"),
-            (require_label(normalize_label(label), label) if normalize_gold else label).alias(
+            (require_label(gold, label) if normalize_gold else label).alias(
                 "label"
             ),
             (format_prompt(text) if prompts else text).alias("input"),

@@ -8,7 +8,7 @@ sorts, shuffles or collects the rows themselves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -272,33 +272,116 @@ def train_test_split(
 
 
 def _first_numbered(df: DataFrame, columns: list[str], n: int) -> DataFrame:
-    return with_position(df, columns, "__at").where(F.col("__at") < n).drop("__at")
+    ordered = df.withColumn("__content", _content_code(df))
+    placed = with_position(ordered, [*columns, "__content"], "__at")
+    return placed.where(F.col("__at") < n).drop("__at", "__content")
 
 
 def exactly_first_rows(df: DataFrame, order_by: str | Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows by ``order_by``, or all if there are fewer; 0 means none.
 
-    For a large ``n`` and a single integer column without nulls the result is a range
-    filter on it, which reaches the table scan. Other orders, which must then be unique,
-    are numbered.
+    One order at every ``n``: missing keys first, and equal keys by a hash of the row's
+    content. For a large ``n`` and a single integer column the result is a range filter on
+    it, which reaches the table scan. Other orders are numbered.
     """
     columns = [order_by] if isinstance(order_by, str) else list(order_by)
     if _checked_cap(n) <= _SMALL_LIMIT:
-        return df.orderBy(*columns).limit(n)
+        return df.orderBy(*columns, _content_code(df)).limit(n)
     if len(columns) > 1 or not isinstance(df.schema[columns[0]].dataType, IntegralType):
         return _first_numbered(df, columns, n)
     key = F.col(columns[0])
-    low, high = df.agg(F.min(key), F.max(key)).first()
+    low, high, missing = df.agg(F.min(key), F.max(key), F.count_if(key.isNull())).first()
+    without, known = df.where(key.isNull()), df.where(key.isNotNull())
+    if n <= missing:
+        order = _Order.by(df, _Code(F.lit(0).cast("bigint"), 0, 0))
+        first = _range_counts(without, order.code, 0, 0)
+        return _first(without, order, _threshold(without, order, first, n))
     if low is None:
         return df
     if high - low >= 1 << 63:
         return _first_numbered(df, columns, n)  # differences would overflow
     order = _Order.by(df, _Code(key.cast("bigint"), low, high))
-    first = _range_counts(df, order.code, low, high)
-    if n >= sum(first[1]):
+    first = _range_counts(known, order.code, low, high)
+    if n - missing >= sum(first[1]):
         return df
-    threshold = _threshold(df, order, first, n)
-    return _first(df.where(key <= threshold.values[0]), order, threshold)
+    threshold = _threshold(known, order, first, n - missing)
+    found = _first(known.where(key <= threshold.values[0]), order, threshold)
+    return without.union(found) if missing else found
+
+
+def quota_sample(
+    df: DataFrame,
+    column: str,
+    quotas: Mapping[str, int],
+    id_col: str = "id",
+    seed: int = DEFAULT_SEED,
+) -> DataFrame:
+    """The first rows of each group in a seeded order: as many as its quota, or all it has.
+
+    One pass counts all groups by ranges of the hash; the result is a filter per group.
+    """
+    prefix = F.substring(permutation_hash(id_col, seed), 1, _HASH_DIGITS)
+    order = _Order.by(df, _HexCode(prefix, *_HASH_CODES))
+    low, high = _HASH_CODES
+    width = -(-(high - low + 1) // _RANGES)
+    counts = {value: [0] * _RANGES for value in quotas}
+    found = (
+        df.where(F.col(column).isin(*quotas))
+        .select(F.col(column).alias("group"), order.code.column.alias("code"))
+        .groupBy("group", order.code.range_of("code", low, width).alias("range"))
+        .count()
+        .collect()
+    )
+    for row in found:
+        counts[row["group"]][order.code.range_number(row["range"], low, width)] = row["count"]
+    kept = df.limit(0)
+    for value, n in quotas.items():
+        rows = df.where(F.col(column) == F.lit(value))
+        if _checked_cap(n) >= sum(counts[value]):
+            kept = kept.union(rows)
+        elif n:
+            threshold = _threshold(rows, order, (width, counts[value]), n)
+            kept = kept.union(_first(rows, order, threshold))
+    return kept
+
+
+def weighted_mixture(
+    df: DataFrame,
+    column: str,
+    weights: Mapping[str, float],
+    n: int,
+    id_col: str = "id",
+    seed: int = DEFAULT_SEED,
+) -> DataFrame:
+    """``n`` rows whose sources in ``column`` have shares by weight.
+
+    What is left after rounding down goes to the largest remainders, in the order given.
+    """
+    if not weights or min(weights.values()) < 0 or not sum(weights.values()):
+        raise ValueError("weights must not be negative, nor all zero")
+    total = sum(weights.values())
+    shares = {source: _checked_cap(n) * w / total for source, w in weights.items()}
+    quotas = {source: int(share) for source, share in shares.items()}
+    by_rest = sorted(shares, key=lambda source: quotas[source] - shares[source])
+    for source in by_rest[: n - sum(quotas.values())]:
+        quotas[source] += 1
+    return quota_sample(df, column, quotas, id_col, seed)
+
+
+def balanced_sample(
+    df: DataFrame,
+    column: str,
+    classes: Sequence[str],
+    n: int | None = None,
+    id_col: str = "id",
+    seed: int = DEFAULT_SEED,
+) -> DataFrame:
+    """The same number of rows of each class: ``n``, or as many as the rarest has."""
+    if n is None:
+        rows = df.where(F.col(column).isin(*classes)).groupBy(column).count().collect()
+        counts = {r[0]: r[1] for r in rows}
+        n = min(counts.get(c, 0) for c in classes)
+    return quota_sample(df, column, dict.fromkeys(classes, n), id_col, seed)
 
 
 def first_rows(df: DataFrame, order_by: str | Sequence[str], n: int | None) -> DataFrame:

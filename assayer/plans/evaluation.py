@@ -34,7 +34,7 @@ def evaluate(
     row = metrics(evaluation_cells(predictions, bins=bins), bins=bins)
     if baseline is None:
         return row
-    return with_baseline(row, metrics(evaluation_cells(baseline, bins=bins), bins=bins))
+    return with_baseline(row, metrics(evaluation_cells(baseline, bins=0), bins=0))
 
 
 def evaluate_runs(
@@ -59,18 +59,19 @@ def report(
     """The full evaluation report as one row with nested confusion matrix and distribution.
 
     Reads the predictions once: their cells are written to the shared folder and all
-    parts of the report are derived from them.
+    parts of the report are derived from them. ``unknown_gold`` counts the rows that the
+    confusion matrix leaves out because their gold label is outside the vocabulary.
     """
     cells = written(evaluation_cells(predictions), "cells")
     row = metrics(cells)
     if baseline is not None:
-        row = with_baseline(row, metrics(evaluation_cells(baseline))).drop("exact_accuracy_lift")
+        row = with_baseline(row, metrics(evaluation_cells(baseline, bins=0), bins=0)).drop("exact_accuracy_lift")
     distribution = label_distribution(cells)
     if distribution.count() > _MAX_REPORT_LABELS:
         raise ValueError("too many distinct gold labels for a report; use label_distribution")
 
     counts = F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "n"))))
-    scalars = rounded(row).drop("unknown_gold")
+    scalars = rounded(row)
     lift = [c for c in scalars.columns if c in ("baseline_accuracy", "relative_accuracy_lift")]
     return (
         scalars.withColumn("confusion_matrix", confusion_map(cells, strict=strict).scalar())

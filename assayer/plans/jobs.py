@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import coalesce_text
 from ..functions.vocabulary import DEFAULT_SEED, DEFAULT_TEST_SIZE
 from ..operators.experiments import ablation_manifest
-from ..operators.records import fill_missing_ids, preference_pairs
+from ..operators.records import fill_missing_ids, preference_pairs, text_candidates
 from ..operators.scoring import ScorerFactory, score_records
 from ..operators.selection import first_rows
 from ..session import written
@@ -21,7 +22,7 @@ from ..sources.files import (
     write_jsonl,
     write_report,
 )
-from ..sources.schemas import LABELED, PREDICTION
+from ..sources.schemas import PREDICTION
 from ..sources.tracking import log_runs
 from .dataset import build_dataset, write_dataset
 from .evaluation import report
@@ -43,9 +44,29 @@ def prepare_dataset(
     )
 
 
-def prepare_preferences(spark: SparkSession, input_path: str, output_path: str) -> None:
-    """Preference pairs of labeled JSON lines."""
-    write_jsonl(preference_pairs(read_jsonl(spark, input_path, LABELED)), output_path)
+def _input_schema(text_field: str, label_field: str, codes: bool) -> str:
+    texts = dict.fromkeys([text_field, "text", "sentence"])
+    fields = [f"`{name}` STRING" for name in ("id", *texts)]
+    return ", ".join([*fields, f"`{label_field}` {'BIGINT' if codes else 'STRING'}"])
+
+
+def prepare_preferences(
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    text_field: str = "text",
+    label_field: str = "label",
+    codes: bool = False,
+) -> int:
+    """Preference pairs of labeled JSON lines; returns how many blank rows were dropped.
+
+    A text may stand in ``text_field``, ``sentence`` or ``text``. ``codes`` says that labels
+    are integers.
+    """
+    rows = read_jsonl(spark, input_path, _input_schema(text_field, label_field, codes))
+    text = coalesce_text(*text_candidates(rows, text_field))
+    write_jsonl(preference_pairs(rows, text_field, label_field), output_path)
+    return rows.where(F.length(text) == 0).count()
 
 
 def score_file(
@@ -54,12 +75,14 @@ def score_file(
     output_path: str,
     factory: ScorerFactory,
     limit: int | None = None,
+    codes: bool = False,
 ) -> None:
     """Prediction records of labeled JSON lines; of the first ``limit`` ones if given.
 
-    Records without an id get one from their place in the file.
+    Records without an id get one from their place in the file. ``codes`` says that labels
+    are integers.
     """
-    schema = "id STRING, text STRING, sentence STRING, label STRING"
+    schema = _input_schema("text", "label", codes)
     rows = read_jsonl(spark, input_path, schema, source_order=True)
     rows = fill_missing_ids(first_rows(rows, JSONL_ORDER, limit), JSONL_ORDER)
     write_jsonl(score_records(rows, factory), output_path)
@@ -70,10 +93,14 @@ def evaluate_files(
     predictions_path: str,
     baseline_path: str | None = None,
     output_path: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """The evaluation report of a prediction file as one row; written out if a path is given."""
+    """The evaluation report of a prediction file as one row; written out if a path is given.
+
+    With ``strict`` a gold label outside the vocabulary fails the job.
+    """
     baseline = read_jsonl(spark, baseline_path, PREDICTION) if baseline_path else None
-    rows = written(report(read_jsonl(spark, predictions_path, PREDICTION), baseline), "report")
+    rows = written(report(read_jsonl(spark, predictions_path, PREDICTION), baseline, strict), "report")
     if output_path:
         write_report(rows, output_path)
     return rows

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+_log = logging.getLogger(__name__)
+
 # Columns that order the rows of JSON lines as they stand in their files.
 JSONL_ORDER = ["file", "block", "line"]
 
@@ -57,14 +61,19 @@ def read_labeled(
     text_field: str = "sentence",
     label_field: str = "label",
 ) -> DataFrame:
-    """A labeled Parquet table, from the mirror when the primary one cannot be opened.
+    """A labeled Parquet table, from the mirror when the primary one is missing or broken.
+
+    The cause is logged. Denied access and throttling are errors, not causes for the mirror.
 
     Both have the same columns. Only those two, and the row's place in the source as
     ``file`` and ``row``, are read.
     """
     try:
         table = spark.read.parquet(primary)
-    except (PySparkException, Py4JJavaError):
+    except (PySparkException, Py4JJavaError) as error:
+        if re.search("AccessDenied|AccessControl|Forbidden|SlowDown|Throttl", str(error)):
+            raise
+        _log.warning("reading the mirror, since %s cannot be opened: %s", primary, error)
         table = spark.read.parquet(mirror)
     return table.select(
         F.col(text_field),

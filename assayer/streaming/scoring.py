@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.scoring import ScorerFactory, score_records
-from ..sources.schemas import LABELED
+from ..sources.schemas import LABELED_INPUT
 
 
 def stream_jsonl(
-    spark: SparkSession, folder: str, schema: str = LABELED, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, schema: str = LABELED_INPUT, files_per_batch: int | None = None
 ) -> DataFrame:
     """JSON lines files as they arrive in a folder; a broken line stops the query."""
     reader = spark.readStream.schema(schema).option("mode", "FAILFAST")

@@ -2,7 +2,7 @@
 
 import math
 
-LABELS = ("negative", "neutral", "positive")
+from assayer.functions.vocabulary import LABEL_ALIASES, LABELS, UNSUPPORTED_TOKENS
 
 
 def parse(text):
@@ -14,7 +14,7 @@ def parse(text):
 
 def normalize(text):
     word = text.strip().lower()
-    word = {"bullish": "positive", "bearish": "negative", "mixed": "neutral"}.get(word, word)
+    word = LABEL_ALIASES.get(word, word)
     return word if word in LABELS else None
 
 
@@ -48,13 +48,12 @@ def evaluate(rows, bins=10):
         for label in LABELS:
             probability = c if p == label else (1 - c) / 2
             brier += (probability - (g == label)) ** 2
-    tokens = ("buy", "sell", "upgrade", "downgrade", "price target")
     return {
         "accuracy": sum(g == p for g, p, *_ in scored) / n,
         "macro_f1": sum(f1) / 3,
         "ece": sum(map(abs, gaps)) / n,
         "brier": brier / n,
         "invalid": sum(p is None for _, p, *_ in scored) / n,
-        "flagged": sum(p is None or any(t in raw for t in tokens) for _, p, _, raw, _ in scored) / n,
+        "flagged": sum(p is None or any(t in raw for t in UNSUPPORTED_TOKENS) for _, p, _, raw, _ in scored) / n,
         "latency": sum(t for *_, t in scored) / n,
     }

@@ -243,8 +243,8 @@ def test_report(spark, tmp_path):
     assert found["label_distribution"] == {"negative": 1, "neutral": 1, "positive": 1}
     assert list(found) == [
         "examples", "accuracy", "macro_f1", "expected_calibration_error", "brier_score",
-        "invalid_label_rate", "hallucination_proxy_rate", "mean_latency_ms", "confusion_matrix",
-        "label_distribution", "baseline_accuracy", "relative_accuracy_lift",
+        "invalid_label_rate", "hallucination_proxy_rate", "mean_latency_ms", "unknown_gold",
+        "confusion_matrix", "label_distribution", "baseline_accuracy", "relative_accuracy_lift",
     ]
 
 
@@ -271,3 +271,17 @@ def test_calibration_bins(spark):
              for r in ev.calibration_bins(cells).collect()}
     assert found == {5: (1, 0.0, 0.56), 7: (1, 1.0, 0.74), 8: (3, 1.0, 0.876666666667),
                      9: (3, 1.0, 0.92)}
+
+
+def test_latency_sums_have_room_for_many_large_rows(spark):
+    rows = spark.range(2_000_000).selectExpr(
+        "'positive' AS label", "'positive' AS prediction", "1.0D AS confidence",
+        "IF(id % 2 = 0, 8.9e9D, -8.8e9D) AS latency_ms",
+    )
+    sums = {}
+    for partitions in (3, 7):
+        cell = ev.evaluation_cells(rows.repartition(partitions), bins=0).first()
+        sums[partitions] = (int(cell["latency_sum"]), cell["latency_special"])
+    assert set(sums.values()) == {(10**6 * 10**8 * ev.LATENCY_UNIT, None)}
+    mean = ev.metrics(ev.evaluation_cells(rows, bins=0), bins=0).first()["mean_latency_ms"]
+    assert mean == pytest.approx(5e7, rel=1e-15)

@@ -77,3 +77,11 @@ def test_tracking_appends(spark, tmp_path):
         ("r1", "param", "model.name", "qwen", None), ("r1", "metric", "accuracy", None, 0.5),
         ("r2", "param", "model.name", "qwen", None), ("r2", "metric", "accuracy", None, 0.75),
     }
+
+
+def test_params_are_flattened_through_structs_and_maps(spark):
+    df = spark.sql("""SELECT struct(map('x', 1) AS m, struct(map('y', true) AS n) AS s) AS a,
+      map('o', map('i', 'v')) AS b, map('k', struct(2 AS z, array(1) AS l)) AS c, array(1) AS d,
+      CAST(NULL AS map<string,int>) AS e""")
+    found = {r["key"]: r["value"] for r in ex.flatten_params(df).collect()}
+    assert found == {"a.m.x": "1", "a.s.n.y": "true", "b.o.i": "v", "c.k.z": "2"}

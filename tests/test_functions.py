@@ -166,3 +166,25 @@ def test_sequence_confidence(spark):
     expected = round(sum(softmax(s, k) for s, k in zip(steps, [1, 0, 2])) / 3, 4)
     found = mapped(with_sequence_confidence(df, "s", "c"), F.col("confidence"))
     assert found == [expected, 0.0, round(softmax(steps[0], 0), 4), 0.0]
+
+
+def test_rounding_equals_python_at_every_magnitude(spark):
+    import random
+
+    from assayer.functions import round_exact
+
+    rng = random.Random(4)
+    values = [s * (rng.randrange(10 ** e) + rng.choice([0.005, 0.015, 0.5, 0.125, rng.random()]))
+              for e in range(1, 16) for s in (1, -1) for _ in range(60)]
+    values += [2.0**17 + 0.005, 2.0**46, 1e15 + 0.5, 1e300, -1e300, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (2, 4):
+        found = [r[0] for r in df.select(round_exact("x", digits)).collect()]
+        assert [(v, f) for v, f in zip(values, found) if f != round(v, digits)] == []
+
+
+def test_a_token_outside_its_scores_is_an_error(spark):
+    for scores, chosen in (([[1.0, 2.0]], [7]), ([[1.0, None]], [1]), ([[1.0, 2.0]], [-1])):
+        df = spark.createDataFrame([(scores, chosen)], "s array<array<double>>, c array<int>")
+        with pytest.raises(Exception, match="outside the scores"):
+            with_sequence_confidence(df, "s", "c").collect()

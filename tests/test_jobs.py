@@ -39,7 +39,7 @@ def test_evaluate_and_track(spark, tmp_path):
               for r in read_runs(spark, str(tmp_path / "runs")).collect()}
     assert logged["param", "evaluation.name"] == "eval"
     assert logged["metric", "accuracy"] == 0.875 and logged["metric", "examples"] == 8.0
-    assert ("metric", "confusion_matrix") not in logged and len(logged) == 11
+    assert ("metric", "confusion_matrix") not in logged and len(logged) == 12
 
 
 def test_without_baseline(spark, tmp_path):
@@ -87,3 +87,12 @@ def test_manifest(spark, tmp_path):
     jobs.write_manifest(spark, grid, str(tmp_path / "m"))
     rows = [r for f in sorted((tmp_path / "m").glob("*.csv")) for r in csv.DictReader(f.open())]
     assert [r["run_id"] for r in rows] == ["ablation-001", "ablation-002"]
+
+
+def test_preferences_read_either_text_and_integer_labels(spark, tmp_path):
+    rows = [{"id": "a", "sentence": "up", "label": 2}, {"id": "b", "text": " ", "label": 9},
+            {"id": "c", "text": "down", "sentence": "x", "label": 0}]
+    path = put(tmp_path / "in.jsonl", rows)
+    assert jobs.prepare_preferences(spark, path, str(tmp_path / "out"), codes=True) == 1
+    found = {r["id"]: r["chosen"] for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert found == {"a": "positive", "c": "negative"}

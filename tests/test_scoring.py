@@ -106,14 +106,16 @@ def test_batch_envelopes(spark):
         "batch int, texts array<string>",
     )
     scored = sc.rule_predictions(req.explode_batches(batches, "batch"), ["batch", "position"])
-    found = {r["batch"]: r for r in req.batch_envelopes(scored.repartition(5), "batch").collect()}
+    found = {r["batch"]: r for r in req.batch_envelopes(scored.repartition(5), "batch", 10).collect()}
     assert found[1]["count"] == 2 and found[1]["page"] == 0
     assert [p["label"] for p in found[1]["predictions"]] == ["positive", "negative"]
     assert list(found[1]["predictions"][0].asDict()) == [
         "label", "raw", "confidence", "latency_ms", "backend", "model"
     ]
+    headers = {r["batch"]: r["count"] for r in req.batch_headers(scored, "batch").collect()}
+    assert headers == {1: 2, 2: 5}
     pages = req.batch_envelopes(scored, "batch", page_size=2).where("batch = 2").orderBy("page")
-    assert [r["count"] for r in pages.collect()] == [2, 2, 1]
+    assert [r["count"] for r in pages.collect()] == [5, 5, 5]
     assert [p["label"] for r in pages.collect() for p in r["predictions"]] == [
         "negative", "positive", "negative", "positive", "negative"
     ]

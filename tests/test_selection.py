@@ -128,3 +128,25 @@ def test_permutation(spark):
 def test_permutation_of_copies(spark):
     df = records(spark, 1).union(records(spark, 1)).union(records(spark, 5))
     assert sorted(r["position"] for r in sel.permute(df).collect()) == list(range(7))
+
+
+def test_first_rows_with_missing_and_equal_keys(spark, narrow):
+    rows = [(None if i % 6 == 0 else i // 9, f"t{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "key int, text string")
+    whole = [r["text"] for r in df.orderBy("key", sel._content_code(df)).collect()]
+    for n in (1, 3, 20, 49, 50, 51, 120, 299, 300, 310):
+        found = {r["text"] for r in sel.exactly_first_rows(df.repartition(3), "key", n).collect()}
+        assert found == set(whole[:n]), n
+
+
+def test_quotas(spark, narrow):
+    df = spark.range(400).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'rare' ELSE 'often' END AS kind")
+    first = {k: in_order([i for i in range(400) if (i % 10 == 0) == (k == "rare")])
+             for k in ("rare", "often")}
+    found = sel.balanced_sample(df, "kind", ["rare", "often"])
+    assert ids(found) == {i for own in first.values() for i in own[:40]}
+    found = sel.weighted_mixture(df, "kind", {"rare": 1, "often": 2}, 100)
+    assert ids(found) == {*first["rare"][:33], *first["often"][:67]}
+    assert sel.quota_sample(df, "kind", {"rare": 99, "none": 5, "often": 0}).count() == 40
+    with pytest.raises(ValueError):
+        sel.weighted_mixture(df, "kind", {"rare": 0}, 10)

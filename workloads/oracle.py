@@ -293,7 +293,7 @@ FROM labels""",
   SELECT id, text, {normalize("label")} AS label FROM kept) WHERE label IS NOT NULL""",
     "quarantined_labels": f"""WITH {DIRTY}
 SELECT id, text, label FROM kept WHERE ({normalize("label")}) IS NULL""",
-    "prompts": f"WITH {DIRTY} SELECT id, {prompt('sentence')} AS prompt FROM dirty",
+    "prompts": f"SELECT CAST(doc_id AS VARCHAR) AS id, {prompt('text')} AS prompt FROM documents",
     "rejected_labels": f"WITH {LABELED} SELECT doc_id, label, {REJECTED} AS rejected FROM labeled",
     "sft_records": f"""WITH {DIRTY} SELECT id, prompt, label AS response, prompt||' '||label AS text, label
 FROM (SELECT id, {prompt("text")} AS prompt, {normalize("spelled")} AS label FROM kept)""",
@@ -417,13 +417,15 @@ WHERE rank <= 2""",
   SELECT * FROM labeled ORDER BY doc_id LIMIT 200)
 SELECT CAST(doc_id AS VARCHAR) AS id, {prompt("sentence")} AS prompt, label AS response,
   {prompt("sentence")}||' '||label AS text, label FROM firsts""",
-    "dataset_train": f"{DATASET} SELECT id, text, label FROM ranked WHERE k <= least(250, {TRAIN_SIZE})",
+    "dataset_train": f"{DATASET} SELECT id, text, label FROM ranked WHERE k <= {TRAIN_SIZE}",
+    "dataset_train_capped": f"{DATASET} SELECT id, text, label FROM ranked WHERE k <= least(250, {TRAIN_SIZE})",
     "dataset_test": f"{DATASET} SELECT id, text, label FROM ranked WHERE k > {TRAIN_SIZE}",
     "dataset_preferences": f"""{DATASET} SELECT id, {prompt("text")} AS prompt, label AS chosen,
-  {REJECTED} AS rejected FROM ranked WHERE k <= least(250, {TRAIN_SIZE})""",
+  {REJECTED} AS rejected FROM ranked WHERE k <= {TRAIN_SIZE}""",
     "scored_records": f"""WITH {RULE_TEXTS} SELECT id, label, {RULE} AS prediction,
   0.9e0 AS confidence, true AS latency_ms FROM rule_texts""",
-    "rule_predictions": f"""WITH {RULE_TEXTS} SELECT id, {RULE} AS label, {RULE} AS raw,
+    "rule_predictions": f"""WITH rule_texts AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, replace(text, 'the', 'profit') AS text FROM documents) SELECT id, {RULE} AS label, {RULE} AS raw,
   0.9e0 AS confidence, 1.0e0 AS latency_ms, 'fake' AS backend, 'fake-model' AS model FROM rule_texts""",
     "external_baseline": f"""WITH {LINES} SELECT CAST(l_orderkey AS VARCHAR) AS id, upper(label) AS label,
   coalesce({parse("raw")}, {strip("coalesce(raw, '')")}) AS prediction, 1.0e0 AS confidence,
@@ -436,8 +438,35 @@ SELECT CAST(doc_id AS VARCHAR) AS id, label,
   CASE WHEN neg > pos THEN 'negative' WHEN pos > neg THEN 'positive' ELSE 'neutral' END AS prediction,
   CASE WHEN neg + pos = 0 THEN 1.0e0 ELSE round(greatest(neg, pos) / CAST(neg + pos AS DOUBLE), 9) END
     AS confidence, 0.0e0 AS latency_ms FROM cues""",
-    "jsonl_round_trip": f"""WITH {LABELED} SELECT CAST(doc_id AS VARCHAR) AS id, sentence AS text,
-  CASE WHEN lang <> 'es' THEN label END AS label FROM labeled""",
+    "jsonl_round_trip": """SELECT CAST(doc_id AS VARCHAR) AS id, text,
+  CASE WHEN lang <> 'es' THEN CASE quality - toxic + 1 WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral'
+    WHEN 2 THEN 'positive' END END AS label FROM documents LEFT JOIN labels USING (doc_id)""",
+    "batch_headers": "SELECT conv_id, count(*) AS count FROM conversations GROUP BY conv_id",
+    "paged_envelopes": """SELECT conv_id, CAST(turn // 3 AS BIGINT) AS page, any_value(c) AS count,
+  count(*) AS size FROM (SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id) AS c
+  FROM conversations) GROUP BY conv_id, turn // 3""",
+    "weighted_mixture": """SELECT id, o_orderpriority FROM (SELECT o_orderkey AS id, o_orderpriority,
+  row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7:'||o_orderkey)) AS k FROM orders)
+WHERE k <= CASE o_orderpriority WHEN '1-URGENT' THEN 251 WHEN '2-HIGH' THEN 150 WHEN '5-LOW' THEN 100 ELSE 0 END""",
+    "balanced_sample": """SELECT id, o_orderpriority FROM (SELECT o_orderkey AS id, o_orderpriority,
+  row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7:'||o_orderkey)) AS k FROM orders)
+WHERE k <= (SELECT min(c) FROM (SELECT count(*) AS c FROM orders GROUP BY o_orderpriority))""",
+    **{name: f"""SELECT key, count(*) AS n FROM (
+  SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey // 5 END AS key FROM orders
+  ORDER BY key ASC NULLS FIRST LIMIT {n}) GROUP BY key"""
+       for name, n in (("first_rows_with_missing_keys", 1100), ("few_rows_with_missing_keys", 3))},
+    "classifier_test_rows": f"""WITH {LABELED}, ranked AS (SELECT CAST(doc_id AS VARCHAR) AS id, label,
+  count(*) OVER () AS n, row_number() OVER (ORDER BY md5('7:'||doc_id)) AS k FROM labeled)
+SELECT id, label, true AS known, true AS in_range FROM ranked WHERE k > {TRAIN_SIZE}""",
+    "flattened_maps": """SELECT p_partkey, unnest(['spec.names.brand', 'spec.names.type', 'spec.in.size', 'deep.a.b'])
+  AS key, unnest([p_brand, p_type, CAST(p_size AS VARCHAR), CAST(p_size AS VARCHAR)]) AS value FROM part""",
+    "labeled_by_code": f"""WITH {LABELED} SELECT CAST(doc_id AS VARCHAR) AS id, label AS chosen,
+  {REJECTED} AS rejected FROM labeled""",
+    "scored_by_code": f"""WITH {RULE_TEXTS} SELECT id, label, {RULE} AS prediction, 0.9e0 AS confidence
+FROM rule_texts""",
+    "rounded_large_metrics": """SELECT l_orderkey, l_linenumber,
+  CAST(round_even(CAST(l_orderkey * 1000 + 131072 AS DECIMAL(30,10))
+    + CAST(l_quantity AS DECIMAL(30,10)) / 64, 2) AS DOUBLE) AS two FROM lineitem""",
     "evaluation_report": f"""WITH {EVALUATED}, {BASELINE}, {scored("baseline", "scored_base")},
 {bundle("scored", "m")}, {bundle("scored_base", "b")}, counts AS (SELECT
   {", ".join(f"count(*) FILTER (WHERE gold = '{g}' AND pred = '{p}') AS {g}_{p}" for g in LABELS for p in LABELS)},

@@ -132,8 +132,9 @@ def quarantined_labels(spark, sf_dir):
 
 @query
 def prompts(spark, sf_dir):
-    return views.dirty(spark, sf_dir).select(
-        "id", fn.format_prompt(F.col("sentence")).alias("prompt")
+    padded = F.concat(F.lit(" "), "text", F.lit("\n"))
+    return views.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), fn.format_prompt(padded).alias("prompt")
     )
 
 
@@ -252,6 +253,13 @@ def rounded_metrics(spark, sf_dir):
     )
 
 
+@query
+def rounded_large_metrics(spark, sf_dir):
+    x = F.col("l_orderkey") * 1000 + F.col("l_quantity") / 64 + F.lit(131072.0)
+    rows = views.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"))
+    return rows.select("l_orderkey", "l_linenumber", fn.round_exact("x", 2).alias("two"))
+
+
 # --- requests ---
 
 
@@ -302,11 +310,24 @@ def scored_batch_texts(spark, sf_dir):
 def batch_envelopes(spark, sf_dir):
     valid, _ = req.validate_texts(_requests(spark, sf_dir))
     scored = sc.rule_predictions(valid, ["conv_id", "position"])
-    return req.batch_envelopes(scored, "conv_id").withColumn(
+    return req.batch_envelopes(scored, "conv_id", 10_000).withColumn(
         "predictions", F.to_json("predictions")
     )
 
 
+@query
+def batch_headers(spark, sf_dir):
+    return req.batch_headers(_requests(spark, sf_dir), "conv_id")
+
+
+@query
+def paged_envelopes(spark, sf_dir):
+    scored = sc.rule_predictions(_requests(spark, sf_dir), ["conv_id", "position"])
+    return req.batch_envelopes(scored, "conv_id", 3).select(
+        "conv_id", "page", "count", F.size("predictions").cast("bigint").alias("size")
+    )
+
+
 # --- evaluation ---
 
 
@@ -482,17 +503,46 @@ def first_sft_records(spark, sf_dir):
     return rec.sft_records(sel.exactly_first_rows(docs, "id", 200))
 
 
+@query
+def weighted_mixture(spark, sf_dir):
+    weights = {"1-URGENT": 0.5, "2-HIGH": 0.3, "5-LOW": 0.2}
+    return sel.weighted_mixture(_orders(spark, sf_dir), "o_orderpriority", weights, 501)
+
+
+@query
+def balanced_sample(spark, sf_dir):
+    classes = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    return sel.balanced_sample(_orders(spark, sf_dir), "o_orderpriority", classes)
+
+
+@query
+def first_rows_with_missing_keys(spark, sf_dir):
+    return _first_keyed(spark, sf_dir, 1100)
+
+
+@query
+def few_rows_with_missing_keys(spark, sf_dir):
+    return _first_keyed(spark, sf_dir, 3)
+
+
+def _first_keyed(spark, sf_dir, n):
+    """Keys only: rows with equal keys differ in columns that SQL orders otherwise."""
+    rows = _orders(spark, sf_dir).withColumn("key", F.when(F.col("id") % 7 != 0, F.expr("id DIV 5")))
+    found = sel.exactly_first_rows(rows, "key", n)
+    return found.groupBy("key").agg(F.count("*").alias("n"))
+
+
 # --- dataset building ---
 
 
-def _dataset(spark, sf_dir):
+def _dataset(spark, sf_dir, max_train=None):
     source = views.labeled(spark, sf_dir).select(
         "doc_id",
         # Short texts are blank here: they use up a number but make no record.
         F.when(F.length("sentence") < 200, " \t").otherwise(F.col("sentence")).alias("sentence"),
         F.col("code").alias("label"),
     )
-    return build_dataset(source, ["doc_id"], max_train=250)
+    return build_dataset(source, ["doc_id"], max_train=max_train)
 
 
 @query
@@ -500,6 +550,11 @@ def dataset_train(spark, sf_dir):
     return _dataset(spark, sf_dir).train
 
 
+@query
+def dataset_train_capped(spark, sf_dir):
+    return _dataset(spark, sf_dir, max_train=250).train
+
+
 @query
 def dataset_test(spark, sf_dir):
     return _dataset(spark, sf_dir).test
@@ -538,7 +593,9 @@ def scored_records(spark, sf_dir):
 
 @query
 def rule_predictions(spark, sf_dir):
-    return sc.rule_predictions(views.rule_texts(spark, sf_dir), ["id"])
+    docs = views.table(spark, sf_dir, "documents")
+    text = F.replace(F.col("text"), F.lit("the"), F.lit("profit")).alias("text")
+    return sc.rule_predictions(docs.select(F.col("doc_id").cast("string").alias("id"), text), ["id"])
 
 
 @query
@@ -562,7 +619,7 @@ def _classified(spark, sf_dir):
     records = views.labeled(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"), F.col("sentence").alias("text"), "label"
     )
-    train, test = sel.train_test_split(records)
+    train, test = sel.train_test_split(written(records, "labeled"))
     return score_with_classifier(fit_classifier(train), test)
 
 
@@ -571,6 +628,16 @@ def classifier_predictions(spark, sf_dir):
     return _classified(spark, sf_dir)
 
 
+@query
+def classifier_test_rows(spark, sf_dir):
+    return _classified(spark, sf_dir).select(
+        "id",
+        "label",
+        F.col("prediction").isin(*fn.LABELS).alias("known"),
+        F.col("confidence").between(0.333, 1.0).alias("in_range"),
+    )
+
+
 @query
 def classifier_lift(spark, sf_dir):
     scored = written(_classified(spark, sf_dir), "classified")
@@ -584,10 +651,12 @@ def classifier_lift(spark, sf_dir):
 @query
 def jsonl_round_trip(spark, sf_dir):
     path = fresh_path(spark, "jsonl")
-    rows = views.labeled(spark, sf_dir).select(
+    code = F.col("quality") - F.col("toxic") + 1
+    labels = views.table(spark, sf_dir, "labels")
+    rows = views.table(spark, sf_dir, "documents").join(labels, "doc_id", "left").select(
         F.col("doc_id").cast("string").alias("id"),
-        F.col("sentence").alias("text"),
-        F.when(F.col("lang") != "es", F.col("label")).alias("label"),
+        "text",
+        F.when(code.isNotNull() & (F.col("lang") != "es"), views.code_to_label(code)).alias("label"),
     )
     write_jsonl(rows, path)
     return read_jsonl(spark, path, LABELED)
@@ -642,6 +711,38 @@ def flattened_params(spark, sf_dir):
     return ex.flatten_params(views.event_runs(spark, sf_dir), ["run_id"])
 
 
+@query
+def flattened_maps(spark, sf_dir):
+    brand = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type"))
+    return ex.flatten_params(
+        views.table(spark, sf_dir, "part").select(
+            "p_partkey",
+            F.struct(brand.alias("names"), F.struct(F.col("p_size").alias("size")).alias("in")).alias("spec"),
+            F.create_map(F.lit("a"), F.create_map(F.lit("b"), F.col("p_size"))).alias("deep"),
+        ),
+        ["p_partkey"],
+    )
+
+
+@query
+def labeled_by_code(spark, sf_dir):
+    rows = views.labeled(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("id"), "sentence", F.col("code").alias("label")
+    )
+    return rec.preference_pairs(rows).select("id", "chosen", "rejected")
+
+
+@query
+def scored_by_code(spark, sf_dir):
+    rows = views.rule_texts(spark, sf_dir).drop("label").join(
+        views.labeled(spark, sf_dir).select(
+            F.col("doc_id").cast("string").alias("id"), F.col("code").alias("label")
+        ),
+        "id",
+    )
+    return sc.score_records(rows, _rule_factory(), prompts=False).drop("latency_ms")
+
+
 @query
 def scalar_metrics(spark, sf_dir):
     return ex.scalar_metrics(views.event_metrics(spark, sf_dir), ["experiment", "run_id"])
