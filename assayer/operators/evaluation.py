@@ -64,7 +64,7 @@ def evaluation_inputs(df: DataFrame, keep: Sequence[str | Column] = ()) -> DataF
     staged = (
         df.select(
             *kept,
-            F.coalesce(F.lower(F.col("label").cast("string")), F.lit("none")).alias("label"),
+            _gold().alias("label"),
             F.lower(F.coalesce(column("prediction", "string"), F.lit(""))).alias("__raw"),
             clamp_confidence(column("confidence", "double")).alias("confidence"),
             F.coalesce(column("latency_ms", "double"), F.lit(0.0)).alias("latency_ms"),
@@ -78,6 +78,10 @@ def evaluation_inputs(df: DataFrame, keep: Sequence[str | Column] = ()) -> DataF
     )
 
 
+def _gold() -> Column:
+    return F.coalesce(F.lower(F.col("label").cast("string")), F.lit("none"))
+
+
 def _parts(units: Column, name: str, parts: int) -> list[Column]:
     """Sums of the parts of whole numbers, lowest first; the highest has their sign."""
     mask = F.lit((1 << _PART_BITS) - 1)
@@ -99,10 +103,17 @@ def _units(x: Column, unit: int) -> Column:
 
 
 def evaluation_cells(
-    df: DataFrame, by: Sequence[str | Column] = (), bins: int = DEFAULT_BINS
+    df: DataFrame,
+    by: Sequence[str | Column] = (),
+    bins: int = DEFAULT_BINS,
+    strict: bool = False,
 ) -> DataFrame:
     """Reduce predictions to cells per ``by``, label, prediction and confidence bin.
 
+    The label is null for gold labels outside the vocabulary, so that the number of cells
+    does not depend on how many spellings the data has. With ``strict`` such a label fails
+    the job where its row carries a prediction.
+
     Columns: ``n``, ``flagged``, ``confidence_sum`` and ``confidence_sq_sum`` (units of
     1e-12), ``latency_sum`` (units of 1e-9 ms), and ``latency_special``, the sum in ms of
     the latencies too large for these units, NaN or infinite, if any. Cells are additive:
@@ -113,9 +124,13 @@ def evaluation_cells(
     names = [c for c in inputs.columns if c not in _INPUT_COLUMNS]
     c, latency = F.col("confidence"), F.col("latency_ms")
     ordinary = F.abs(latency) < _LARGE_LATENCY
+    gold = F.when(F.col("label").isin(*LABELS), F.col("label"))
+    if strict:
+        unknown = F.concat(F.lit("Label outside the vocabulary: "), F.col("label"))
+        gold = gold.when(F.col("prediction").isNotNull(), F.raise_error(unknown).cast("string"))
     staged = inputs.select(
         *names,
-        "label",
+        gold.alias("label"),
         "prediction",
         (confidence_bin(c, bins) if bins else F.lit(0)).alias("bin"),
         F.col("flagged").cast("bigint").alias("flagged"),
@@ -144,11 +159,21 @@ def evaluation_cells(
     )
 
 
+# What cells hold besides their keys.
+CELL_SUMS = (
+    "n",
+    "flagged",
+    "confidence_sum",
+    "confidence_sq_sum",
+    "latency_sum",
+    "latency_special",
+)
+
 _INPUT_COLUMNS = ("label", "prediction", "confidence", "latency_ms", "flagged")
 
 
 _VOCABULARY = ", ".join(f"'{label}'" for label in LABELS)
-_KNOWN = f"label IN ({_VOCABULARY})"
+_KNOWN = f"coalesce(label IN ({_VOCABULARY}), false)"
 _CORRECT = "coalesce(prediction = label, false)"
 
 # A cell's summed Brier terms, times 4 and in confidence units. Within a cell every row
@@ -325,54 +350,42 @@ def with_baseline_run(
     return _with_lift(metric_rows, F.coalesce(base.select("accuracy").scalar(), F.lit(0.0)))
 
 
-def _confusion_counts(cells: DataFrame, by: Sequence[str], strict: bool) -> DataFrame:
+def _confusion_counts(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     """One column ``<gold>_<prediction>`` per entry of the matrix."""
-    gold = F.col("label")
-    if strict:
-        unknown = F.concat(F.lit("Label outside the vocabulary: "), gold)
-        gold = F.when(F.expr(f"{_KNOWN} OR prediction IS NULL"), gold).otherwise(
-            F.raise_error(unknown).cast("string")
-        )
-    return (
-        cells.withColumn("label", gold)
-        .groupBy(*by)
-        .agg(
-            *[
-                _count(f"coalesce(label = '{g}' AND prediction = '{p}', false)", f"{g}_{p}")
-                for g in LABELS
-                for p in LABELS
-            ]
-        )
+    return cells.groupBy(*by).agg(
+        *[
+            _count(f"coalesce(label = '{g}' AND prediction = '{p}', false)", f"{g}_{p}")
+            for g in LABELS
+            for p in LABELS
+        ]
     )
 
 
-def confusion_matrix(
-    cells: DataFrame, by: Sequence[str] = (), strict: bool = False
-) -> DataFrame:
+def confusion_matrix(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Dense ``(label, prediction, n)`` rows, zeros included, per ``by``.
 
-    Unparseable predictions have no cell. Rows with an unknown gold label have none
-    either; with ``strict`` they fail the job when they carry a prediction.
+    Unparseable predictions have no entry. Rows with an unknown gold label have none
+    either; they fail the job where the cells are ``strict``.
     """
     entries = ", ".join(
         f"struct('{g}' AS label, '{p}' AS prediction, {g}_{p} AS n)" for g in LABELS for p in LABELS
     )
-    counts = _confusion_counts(cells, by, strict)
+    counts = _confusion_counts(cells, by)
     return counts.select(*by, F.expr(f"inline(array({entries}))"))
 
 
-def confusion_map(cells: DataFrame, by: Sequence[str] = (), strict: bool = False) -> DataFrame:
+def confusion_map(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The confusion matrix as one ``MAP<gold, MAP<prediction, n>>`` per ``by``."""
     rows = ", ".join(
         f"'{g}', map(" + ", ".join(f"'{p}', {g}_{p}" for p in LABELS) + ")" for g in LABELS
     )
-    counts = _confusion_counts(cells, by, strict)
+    counts = _confusion_counts(cells, by)
     return counts.select(*by, F.expr(f"map({rows})").alias("confusion_matrix"))
 
 
-def label_distribution(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Number of rows per gold label, in or outside the vocabulary."""
-    return cells.groupBy(*by, "label").agg(F.sum("n").alias("n"))
+def label_distribution(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Number of input rows per lower-cased gold label, in or outside the vocabulary."""
+    return df.groupBy(*by, _gold().alias("label")).agg(F.count("*").alias("n"))
 
 
 def calibration_bins(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -10,25 +10,27 @@ from ..session import written
 # monotonically_increasing_id() keeps the partition in the bits above this one and
 # the row's number within its partition in the bits below.
 _ROW_BITS = 33
-# Most files whose offsets are broadcast; at some 100 bytes each, 100 MB.
-_MANY_FILES = 1_000_000
 
 
-def _with_offsets(df: DataFrame, part: str, row: str, name: str) -> DataFrame:
-    """Add ``row`` plus the number of rows in all earlier values of ``part`` as ``name``.
+def _offsets(df: DataFrame, part: str, row: str) -> DataFrame:
+    """Per value of ``part``, a partition or file, the number of rows in all earlier values.
 
-    ``part`` has one value per partition or file, and so has the table of offsets. Rows
-    are counted by the last number in use, so that positions stay distinct even where
-    rows have been filtered out.
+    Rows are counted by the last number in use, so that positions stay distinct even
+    where rows have been filtered out.
     """
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    return (
         df.groupBy(part)
         .agg((F.max(row) + 1).alias("n"))
         .select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     )
+
+
+def _with_offsets(
+    df: DataFrame, offsets: DataFrame, part: str, row: str, name: str
+) -> DataFrame:
     return (
-        df.join(F.broadcast(offsets), part)
+        df.join(offsets, part)
         .withColumn(name, F.col("__offset") + F.col(row))
         .drop("__offset")
     )
@@ -60,19 +62,26 @@ def with_position(
             "__row": F.col("__place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
         }
     )
-    return _with_offsets(split, "__part", "__row", name).drop("__part", "__row", "__place")
+    # One row per shuffle partition.
+    offsets = F.broadcast(_offsets(split, "__part", "__row"))
+    return _with_offsets(split, offsets, "__part", "__row", name).drop("__part", "__row", "__place")
 
 
 def with_source_position(
-    df: DataFrame, file: str = "file", row: str = "row", name: str = "position"
+    df: DataFrame,
+    file: str = "file",
+    row: str = "row",
+    name: str = "position",
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 0-based position of rows that know their file and their row within it.
 
-    Files count in path order; the rows should be a whole source, or positions after
-    its missing rows may be lower than in the source. Nothing but the row counts of the files is shuffled. The
-    offsets are broadcast while there is a proven bound on the number of files; beyond
-    it the rows are numbered by sorting.
+    Files count in path order. Where ``df`` lacks rows of its source, the whole source (at
+    least its columns ``file`` and ``row``) is given as ``whole``, or else positions after
+    missing rows may be lower than in the source. Nothing but the row counts of the files
+    is shuffled to number them; they are written, one row per file, so that the join with
+    them is planned by their true size.
     """
-    if df.select(file).distinct().limit(_MANY_FILES + 1).count() > _MANY_FILES:
-        return with_position(df, [file, row], name)
-    return _with_offsets(df, file, row, name)
+    source = df if whole is None else whole
+    offsets = written(_offsets(source.select(file, row), file, row), "offsets")
+    return _with_offsets(df, offsets, file, row, name)

@@ -110,9 +110,14 @@ def number_records(
     return numbered.withColumn("id", F.concat(F.lit(prefix), F.col("position"))).drop("position")
 
 
-def number_source_records(df: DataFrame, prefix: str = SOURCE_ID_PREFIX) -> DataFrame:
-    """``number_records`` by the columns ``file`` and ``row`` of a source, without sorting."""
-    numbered = with_source_position(df)
+def number_source_records(
+    df: DataFrame, prefix: str = SOURCE_ID_PREFIX, whole: DataFrame | None = None
+) -> DataFrame:
+    """``number_records`` by the columns ``file`` and ``row`` of a source, without sorting.
+
+    Rows of a filtered source keep their numbers if ``whole`` is the source.
+    """
+    numbered = with_source_position(df, whole=whole)
     return numbered.withColumn("id", F.concat(F.lit(prefix), F.col("position"))).drop("position")
 
 

@@ -11,7 +11,6 @@ from ..functions.vocabulary import DEFAULT_BINS
 from ..operators.evaluation import (
     confusion_map,
     evaluation_cells,
-    label_distribution,
     metrics,
     rounded,
     with_baseline,
@@ -19,10 +18,6 @@ from ..operators.evaluation import (
 )
 from ..session import written
 
-# A report lists its labels in one map; a set with more distinct ones than this is
-# malformed, and its distribution is to be read as rows instead.
-_MAX_REPORT_LABELS = 10_000
-
 
 def evaluate(
     predictions: DataFrame, baseline: DataFrame | None = None, bins: int = DEFAULT_BINS
@@ -60,21 +55,19 @@ def report(
 
     Reads the predictions once: their cells are written to the shared folder and all
     parts of the report are derived from them. ``unknown_gold`` counts the rows that the
-    confusion matrix leaves out because their gold label is outside the vocabulary.
+    confusion matrix and the distribution leave out because their gold label is outside the
+    vocabulary; ``label_distribution`` of the operators has these as rows, however many.
     """
-    cells = written(evaluation_cells(predictions), "cells")
+    cells = written(evaluation_cells(predictions, strict=strict), "cells")
     row = metrics(cells)
     if baseline is not None:
         row = with_baseline(row, metrics(evaluation_cells(baseline, bins=0), bins=0)).drop("exact_accuracy_lift")
-    distribution = label_distribution(cells)
-    if distribution.count() > _MAX_REPORT_LABELS:
-        raise ValueError("too many distinct gold labels for a report; use label_distribution")
-
+    distribution = cells.where("label IS NOT NULL").groupBy("label").agg(F.sum("n").alias("n"))
     counts = F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "n"))))
     scalars = rounded(row)
     lift = [c for c in scalars.columns if c in ("baseline_accuracy", "relative_accuracy_lift")]
     return (
-        scalars.withColumn("confusion_matrix", confusion_map(cells, strict=strict).scalar())
+        scalars.withColumn("confusion_matrix", confusion_map(cells).scalar())
         .withColumn("label_distribution", distribution.agg(counts).scalar())
         .select(
             *[c for c in scalars.columns if c not in lift],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import coalesce_text
 from ..functions.vocabulary import DEFAULT_SEED, DEFAULT_TEST_SIZE
+from ..operators.evaluation import label_distribution
 from ..operators.experiments import ablation_manifest
 from ..operators.records import fill_missing_ids, preference_pairs, text_candidates
 from ..operators.scoring import ScorerFactory, score_records
@@ -97,12 +98,16 @@ def evaluate_files(
 ) -> DataFrame:
     """The evaluation report of a prediction file as one row; written out if a path is given.
 
+    Next to it, at the path with ``-labels`` appended, go the counts of all gold labels, in and
+    outside the vocabulary, as JSON lines.
     With ``strict`` a gold label outside the vocabulary fails the job.
     """
     baseline = read_jsonl(spark, baseline_path, PREDICTION) if baseline_path else None
-    rows = written(report(read_jsonl(spark, predictions_path, PREDICTION), baseline, strict), "report")
+    predictions = read_jsonl(spark, predictions_path, PREDICTION)
+    rows = written(report(predictions, baseline, strict), "report")
     if output_path:
         write_report(rows, output_path)
+        write_jsonl(label_distribution(predictions), f"{output_path.rstrip('/')}-labels")
     return rows
 
 

@@ -1,4 +1,4 @@
-"""Experiment tracking as an append-only table."""
+"""Experiment tracking as an append-only table, of which the last log of a run counts."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators.experiments import flatten_params, scalar_metrics
 
+# Tasks that write one experiment's rows.
+_SPREAD = 32
+
 
 def tracked_rows(runs: DataFrame, kind: str) -> DataFrame:
     """Rows ``(experiment, run_id, kind, key, value, number)`` of one kind.
@@ -29,11 +32,32 @@ def tracked_rows(runs: DataFrame, kind: str) -> DataFrame:
 
 
 def log_runs(params: DataFrame, metrics: DataFrame, path: str) -> None:
-    """Append the parameters and metrics of runs to the tracking table at ``path``."""
+    """Append the parameters and metrics of runs to the tracking table at ``path``.
+
+    A run logged again is replaced by its new rows, so a repeated job changes nothing. An
+    experiment is written by at most ``_SPREAD`` tasks, and so to as many files.
+    """
     rows = tracked_rows(params, "param").unionByName(tracked_rows(metrics, "metric"))
-    rows.write.mode("append").partitionBy("experiment").parquet(path)
+    clustered = rows.withColumn("logged", F.current_timestamp()).repartition(
+        "experiment", F.pmod(F.hash("run_id"), F.lit(_SPREAD))
+    )
+    clustered.write.mode("append").partitionBy("experiment").parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    schema = "run_id STRING, kind STRING, key STRING, value STRING, number DOUBLE, experiment STRING"
-    return spark.read.schema(schema).parquet(path)
+    """The rows of each run's last log."""
+    columns = ["run_id", "kind", "key", "value", "number", "experiment"]
+    schema = (
+        "run_id STRING, kind STRING, key STRING, value STRING, number DOUBLE, "
+        "logged TIMESTAMP, experiment STRING"
+    )
+    rows = spark.read.schema(schema).parquet(path)
+    last = rows.groupBy(
+        F.col("experiment").alias("__experiment"), F.col("run_id").alias("__run")
+    ).agg(F.max("logged").alias("__logged"))
+    same = (
+        F.col("experiment").eqNullSafe(F.col("__experiment"))
+        & F.col("run_id").eqNullSafe(F.col("__run"))
+        & F.col("logged").eqNullSafe(F.col("__logged"))
+    )
+    return rows.join(last, same, "left_semi").select(*columns)

@@ -1,9 +1,20 @@
-from .monitoring import prediction_shares, start_monitor, window_metrics, windowed_cells
+from .monitoring import (
+    late_cells,
+    prediction_shares,
+    read_live_cells,
+    start_live_monitor,
+    start_monitor,
+    window_metrics,
+    windowed_cells,
+)
 from .scoring import start_appending, start_scoring, stream_jsonl
 
 __all__ = [
+    "late_cells",
     "prediction_shares",
+    "read_live_cells",
     "start_appending",
+    "start_live_monitor",
     "start_monitor",
     "start_scoring",
     "stream_jsonl",

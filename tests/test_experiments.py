@@ -63,7 +63,8 @@ def test_expand_grid_per_row(spark):
 
 def test_tracking_appends(spark, tmp_path):
     path = str(tmp_path / "runs")
-    for run, accuracy in (("r1", 0.5), ("r2", 0.75)):
+    # r1 is logged again with another accuracy, r2 as it was
+    for run, accuracy in (("r1", 0.25), ("r2", 0.75), ("r1", 0.5), ("r2", 0.75)):
         params = spark.createDataFrame(
             [("exp", run, ("qwen", [1]))],
             "experiment string, run_id string, model struct<name:string,ranks:array<int>>",
@@ -71,9 +72,9 @@ def test_tracking_appends(spark, tmp_path):
         metrics = spark.createDataFrame([Row(experiment="exp", run_id=run, accuracy=accuracy,
                                              note="n")])
         log_runs(params, metrics, path)
-    found = {(r["run_id"], r["kind"], r["key"], r["value"], r["number"])
-             for r in read_runs(spark, path).collect()}
-    assert found == {
+    rows = read_runs(spark, path).collect()
+    found = {(r["run_id"], r["kind"], r["key"], r["value"], r["number"]) for r in rows}
+    assert len(rows) == 4 and found == {
         ("r1", "param", "model.name", "qwen", None), ("r1", "metric", "accuracy", None, 0.5),
         ("r2", "param", "model.name", "qwen", None), ("r2", "metric", "accuracy", None, 0.75),
     }

@@ -1,6 +1,9 @@
 from pyspark.sql import functions as F
 
-from assayer.streaming import prediction_shares, start_monitor, window_metrics, windowed_cells
+from assayer.streaming import (
+    late_cells, prediction_shares, read_live_cells, start_live_monitor, start_monitor,
+    window_metrics, windowed_cells,
+)
 
 LABEL = {"purchase": "positive", "error": "negative"}
 
@@ -40,6 +43,24 @@ def test_stream_equals_batch_on_closed_windows(spark, sf_dir, tmp_path):
     assert sorted(map(str, found)) == sorted(map(str, expected))
 
 
+def test_live_monitor_has_open_windows(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder, path = str(tmp_path / "in"), str(tmp_path / "cells")
+    # files arrive in time order and share their days, so that cells change across batches
+    for part in range(4):
+        some = events.where((F.hour("ts") % 2 == part % 2) & ((F.dayofmonth("ts") > 15) == (part > 1)))
+        some.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    query = start_live_monitor(
+        windowed_cells(predictions(stream), "ts", watermark="60 days"), path,
+        str(tmp_path / "state"), availableNow=True,
+    )
+    assert query.awaitTermination(300) and late_cells(query) == 0
+    found = window_metrics(read_live_cells(spark, path)).collect()
+    expected = window_metrics(windowed_cells(predictions(events), "ts")).collect()
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+
+
 def test_prediction_shares(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     shares = prediction_shares(windowed_cells(predictions(events), "ts"))

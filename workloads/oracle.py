@@ -366,6 +366,9 @@ SELECT g.l AS label, p.l AS prediction, count(gold) AS n FROM v g CROSS JOIN v p
 LEFT JOIN scored ON gold = g.l AND pred = p.l GROUP BY ALL""",
     "label_distribution": f"""WITH {DIRTY}
 SELECT lower(spelled) AS label, count(*) AS n FROM dirty GROUP BY ALL""",
+    "report_of_spellings": f"""WITH {DIRTY} SELECT count(*) AS examples,
+  count(*) FILTER (WHERE coalesce(lower(spelled), 'none') NOT IN ({", ".join(f"'{g}'" for g in LABELS)})) AS unknown_gold,
+  {", ".join(f"count(*) FILTER (WHERE lower(spelled) = '{g}') AS gold_{g}" for g in LABELS)} FROM dirty""",
     "rates_and_latency": f"""WITH {EVALUATED}, {bundle("scored", "m")}
 SELECT round(invalid_label_rate, 9) AS invalid_label_rate,
   round(hallucination_proxy_rate, 9) AS hallucination_proxy_rate,
@@ -492,8 +495,9 @@ FROM scored GROUP BY day, pred""",
   0.9e0 AS confidence FROM turns""",
     "streamed_preference_pairs": f"""WITH {TURNS} SELECT id, {prompt("text")} AS prompt,
   label AS chosen, {REJECTED} AS rejected FROM turns WHERE {strip("text")} <> ''""",
-    # A stream has written the days that ended before its watermark.
-    "streamed_daily_metrics": daily(
+    "streamed_daily_metrics": daily("true"),
+    # A stream appends the days that ended before its watermark.
+    "streamed_closed_days": daily(
         "date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
     ),
 }

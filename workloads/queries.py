@@ -35,7 +35,9 @@ from assayer.sources import (
 )
 from assayer.streaming import (
     prediction_shares,
+    read_live_cells,
     start_appending,
+    start_live_monitor,
     start_monitor,
     start_scoring,
     window_metrics,
@@ -399,7 +401,17 @@ def confusion_matrix(spark, sf_dir):
 @query
 def label_distribution(spark, sf_dir):
     rows = views.dirty(spark, sf_dir).select(F.col("spelled").alias("label"))
-    return ev.label_distribution(ev.evaluation_cells(rows, bins=0))
+    return ev.label_distribution(rows)
+
+
+@query
+def report_of_spellings(spark, sf_dir):
+    rows = views.dirty(spark, sf_dir).select(F.col("spelled").alias("label"))
+    counts = [
+        F.coalesce(F.try_element_at("label_distribution", F.lit(g)), F.lit(0)).alias(f"gold_{g}")
+        for g in fn.LABELS
+    ]
+    return report(rows).select("examples", "unknown_gold", *counts)
 
 
 @query
@@ -787,6 +799,15 @@ def _stream(spark, sf_dir, name):
 
 @query
 def streamed_daily_metrics(spark, sf_dir):
+    events = _stream(spark, sf_dir, "events")
+    path, state = fresh_path(spark, "cells"), fresh_path(spark, "state")
+    cells = windowed_cells(views.event_predictions(events), "ts")
+    start_live_monitor(cells, path, state, availableNow=True).awaitTermination()
+    return _window_report(read_live_cells(spark, path))
+
+
+@query
+def streamed_closed_days(spark, sf_dir):
     events = _stream(spark, sf_dir, "events")
     path, state = fresh_path(spark, "cells"), fresh_path(spark, "state")
     cells = windowed_cells(views.event_predictions(events), "ts")
