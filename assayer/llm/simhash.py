@@ -129,28 +129,38 @@ def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that each linked node can reach.
 
-    ``edges`` has pairs ``a, b``. Large and small stars alternate until nothing changes;
-    each round is written, and the number of rounds grows with the logarithm of the
-    size of the largest component. A node with many neighbours is a large key of a join,
-    not of a group, and adaptive execution splits it.
+    ``edges`` has pairs ``a, b``. Large and small stars alternate until only stars are left,
+    which one count by node tells; each round is written, and the number of rounds grows with
+    the logarithm of the size of the largest component. A node with many neighbours is a
+    large key of a join, not of a group, and adaptive execution splits it.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "links")
-    state = None
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # At most a row for each edge, so equal rows are left to the small stars.
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.where("u != v").distinct(), "large-star")
+        large = written(large.where("u != v"), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         edges = written(small, "small-star")
-        new = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if new == state:
+        if _all_stars(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = new
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether each ``u`` has one ``v`` and no ``v`` is itself a ``u``; every ``u > v``."""
+    roles = edges.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+            )
+        ).alias("role")
+    ).select("role.*")
+    counted = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def near_groups(
