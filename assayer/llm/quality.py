@@ -4,8 +4,8 @@ Two public vocabularies, a byte-level BPE and one of pieces with byte fallback,
 every word of a document: characters per token, the share of tokens that are bytes of a
 broken character, and the entropy of the tokens relative to the most that their number
 allows. The usual range of each measure is taken from all documents of a language (or of
-a script, where the language is missing) and about the same length: Tukey's fences, wide
-ones, around the quartiles. A document outside a fence is rejected.
+a script, where the language is missing) and about the same length: Tukey's fences, two
+interquartile ranges from the quartiles. A document outside a fence is rejected.
 
 Defined results: a null, empty or blank text has no words, fails the base rules and is not
 kept; a repeated row is judged like any other; groups with fewer than ``MIN_GROUP``
@@ -34,15 +34,15 @@ _SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\x0b\x0c\r"
 
 #: Fences stand this many interquartile ranges from the quartiles.
-FENCE = 5.0
+FENCE = 2.0
 #: Fewest documents in a group whose bands reject any.
 MIN_GROUP = 100
 #: Narrowest range that counts as usual on either side of the quartiles, per measure.
 MEASURES = {
-    "chars_per_token": 0.15,
+    "chars_per_token": 0.05,
     "fallback_share": 0.03,
     "token_entropy": 0.05,
-    "chars_per_piece": 0.15,
+    "chars_per_piece": 0.05,
     "piece_fallback_share": 0.03,
     "piece_entropy": 0.05,
 }

@@ -1,6 +1,7 @@
 import collections
 import re
 
+import corpus_pipeline
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -68,3 +69,13 @@ def test_scripts():
 def test_empty_and_missing_language(docs):
     assert quality.judge(docs([])).count() == 0 and quality.keep_good(docs([])).count() == 0
     assert quality.judge(docs([(1, "a " * 30)]).drop("lang")).first()["n_words"] == 30
+
+
+def test_pipeline_stage_rejects_junk_inside_bands(spark, docs, prose):
+    texts = prose(300, 90, seed=3, alphabet="abcdefghilmnorstu")
+    junk = [" ".join(w + "###" * (i % 3 == 0) for i, w in enumerate(t.split())) for t in texts[:12]]
+    rows = [*enumerate(texts), *enumerate(junk, 1000)]
+    stage = dict(corpus_pipeline.STAGES)["quality rules"]
+    kept = {r["doc_id"] for r in stage(spark, docs(rows), "").collect()}
+    assert sum(i >= 1000 for i in kept) <= 3
+    assert sum(i < 1000 for i in kept) >= 290
