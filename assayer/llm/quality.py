@@ -8,8 +8,9 @@ a script, where the language is missing) and about the same length: Tukey's fenc
 interquartile ranges from the quartiles. A document outside a fence is rejected.
 
 Defined results: a null, empty or blank text has no words, fails the base rules and is not
-kept; a repeated row is judged like any other; groups with fewer than ``MIN_GROUP``
-documents reject nothing; without a column for the language all go by script; an empty
+kept; a repeated row is judged like any other; where a group has fewer than
+``MIN_GROUP`` documents the next coarser one counts, and a script with fewer rejects nothing,
+since other scripts say nothing of its usual range; without a column for the language all go by script; an empty
 table gives an empty one; other columns are neither read nor changed.
 """
 
@@ -183,25 +184,50 @@ def _group(lang: Column) -> Column:
     return F.when(code != "", code).otherwise(F.concat(F.lit("script "), "script"))
 
 
-def bands(measures: DataFrame) -> DataFrame:
-    """``group, size, <measure>_low, <measure>_high`` from all documents that pass the base
-    rules; ``size`` is the number of tokens by powers of four, 32 at most."""
+#: Groups of documents from the finest to the coarsest; ``ALL_SIZES`` stands for any size.
+LEVELS = ("size", "near sizes", "language", "script")
+ALL_SIZES = -9
+
+
+def _cell(level: int) -> tuple[Column, Column]:
+    """The group and size of a document's band on a level."""
+    group = F.concat(F.lit("script "), "script") if LEVELS[level] == "script" else F.col("group")
+    return group, F.col("size") if level < 2 else F.lit(ALL_SIZES)
+
+
+def bands(measures: DataFrame, coarser: bool = True) -> DataFrame:
+    """``level, group, size, <measure>_low, <measure>_high`` from all documents that pass the
+    base rules; ``size`` is the number of tokens by powers of four, 32 at most. A document
+    counts in its own size, in the near ones, and in all of its language and of its script.
+    Bands of all sizes have no fences for entropy."""
+    cells = []
+    for level in range(len(LEVELS) if coarser else 1):
+        group, size = _cell(level)
+        for by in (-1, 0, 1) if LEVELS[level] == "near sizes" else (0,):
+            key = (F.lit(level).alias("level"), group.alias("group"), (size + by).alias("size"))
+            cells.append(F.struct(*key))
     # Exact quartiles of values on a grid of 1/256: a sketch would depend on the order in
     # which tasks end, and the grid bounds the counts that are kept of each group.
     quartiles = [
         F.percentile(F.rint(F.col(m) * 256) / 256, F.array(F.lit(0.25), F.lit(0.75))).alias(m)
         for m in MEASURES
     ]
-    found = measures.where(~F.col("base_failed")).groupBy("group", "size").agg(
+    dealt = measures.where(~F.col("base_failed")).select(
+        F.explode(F.array(*cells)).alias("cell"), *MEASURES
+    )
+    found = dealt.groupBy("cell.level", "cell.group", "cell.size").agg(
         F.count("*").alias("n"), *quartiles
-    )
+    )
 
     def fence(m: str, usual: float, sign: int) -> Column:
         low, high = F.col(m)[0], F.col(m)[1]
         reach = F.greatest(FENCE * (high - low), F.lit(usual))
-        return high + reach if sign > 0 else low - reach
+        end = high + reach if sign > 0 else low - reach
+        # Longer texts repeat more tokens: entropy says nothing across all sizes.
+        return F.when(F.col("size") != ALL_SIZES, end) if m.endswith("entropy") else end
 
     return found.where(F.col("n") >= MIN_GROUP).select(
+        "level",
         "group",
         "size",
         *[fence(m, u, -1).alias(f"{m}_low") for m, u in MEASURES.items()],
@@ -209,16 +235,29 @@ def bands(measures: DataFrame) -> DataFrame:
     )
 
 
-def _judged(measures: DataFrame) -> DataFrame:
-    """``measures`` with ``kept``. The bands have at most 18,000 groups of 32 sizes, of some
-    100 bytes each, and in practice a few hundred rows, so they are broadcast."""
+def _judged(measures: DataFrame, coarser: bool = True) -> DataFrame:
+    """``measures`` with ``kept``, by the finest band that a document has. The bands have at
+    most 18,000 groups of 35 sizes, of some 100 bytes each, and in practice a few hundred
+    rows, so they are broadcast."""
+    found = written(bands(measures, coarser), "bands")
+    limits = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
+    judged, levels = measures, range(len(LEVELS) if coarser else 1)
+    for level in levels:
+        own = found.where(F.col("level") == level).select(
+            F.col("group").alias("band_group"),
+            F.col("size").alias("band_size"),
+            F.struct(*limits).alias(f"band{level}"),
+        )
+        group, size = _cell(level)
+        at = (group == F.col("band_group")) & (size == F.col("band_size"))
+        judged = judged.join(F.broadcast(own), at, "left").drop("band_group", "band_size")
+    judged = judged.withColumn("band", F.coalesce(*[F.col(f"band{level}") for level in levels]))
     inside = F.lit(True)
     for m in MEASURES:
-        # Without a band, the comparison is null: nothing is rejected.
-        inside &= F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
-    return measures.join(F.broadcast(bands(measures)), ["group", "size"], "left").select(
-        *measures.columns, (~F.col("base_failed") & inside).alias("kept")
-    )
+        # Without a fence, the comparison is null: nothing is rejected.
+        usual = F.col(m).between(F.col(f"band.{m}_low"), F.col(f"band.{m}_high"))
+        inside &= F.coalesce(usual, F.lit(True))
+    return judged.select(*measures.columns, (~F.col("base_failed") & inside).alias("kept"))
 
 
 def _grouped(measures: DataFrame, lang: Column) -> DataFrame:
@@ -233,15 +272,17 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str | None = "lang",
+    coarser: bool = True,
 ) -> DataFrame:
-    """``id``, the counts and measures, ``base_failed`` and ``kept`` of each document."""
+    """``id``, the counts and measures, ``base_failed`` and ``kept`` of each document;
+    ``coarser`` judges documents of small groups by coarser bands."""
     texts = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         _language(docs, lang_col).alias("lang"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
     rows = _grouped(measured(texts, "text", ["id", "lang"]), F.col("lang"))
-    return _judged(written(rows, "quality")).drop("lang", "group", "size")
+    return _judged(written(rows, "quality"), coarser).drop("lang", "group", "size")
 
 
 def _language(docs: DataFrame, lang_col: str | None) -> Column:
@@ -250,7 +291,10 @@ def _language(docs: DataFrame, lang_col: str | None) -> Column:
 
 
 def keep_good(
-    docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang"
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str | None = "lang",
+    coarser: bool = True,
 ) -> DataFrame:
     """The documents, all columns, that are kept. They are written once with their measures,
     so that a second reading needs no tokeniser and no join of texts."""
@@ -260,4 +304,4 @@ def keep_good(
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
     rows = _grouped(measured(whole, "text", ["document", "lang"]), F.col("lang"))
-    return _judged(written(rows, "quality")).where("kept").select("document.*")
+    return _judged(written(rows, "quality"), coarser).where("kept").select("document.*")

@@ -79,3 +79,16 @@ def test_pipeline_stage_rejects_junk_inside_bands(spark, docs, prose):
     kept = {r["doc_id"] for r in stage(spark, docs(rows), "").collect()}
     assert sum(i >= 1000 for i in kept) <= 3
     assert sum(i < 1000 for i in kept) >= 290
+
+
+def test_small_groups_are_judged_by_coarser_bands(docs, prose):
+    texts = prose(300, 90, seed=3, alphabet="abcdefghilmnorstu")
+    long = " ".join(texts[:40])
+    odd = [long.replace(" ", "### "), texts[1].replace(" ", "### ")]
+    rows = [*enumerate(texts), (1000, odd[0], "en"), (1001, odd[1], "xx"), (1002, odd[1], None)]
+    rows += [(1003, long, "en"), (1004, texts[1], "xx"), (1005, texts[1], None)]
+    kept = {r["id"]: r["kept"] for r in quality.judge(docs(rows)).collect()}
+    assert [kept[i] for i in range(1000, 1006)] == [False] * 3 + [True] * 3
+    assert {r["doc_id"] for r in quality.keep_good(docs(rows)).collect()} == {
+        i for i, k in kept.items() if k
+    }
