@@ -62,6 +62,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: Class names that say what an element has or lacks, not what it is.
+_MODIFIER = re.compile(r"(?:has|have|no|not|with|without|hide|show)[-_]")
 
 #: Longest group of tokens that is folded, and how many parts a host's pages are dealt into.
 LONGEST_GROUP = 16
@@ -105,18 +107,24 @@ def _labels(attributes: str) -> tuple[frozenset[str], str]:
         if key.lower() == "role":
             role = value.strip()
         else:
-            words |= set(_WORDS.findall(value))
+            for one in value.split():
+                if not _MODIFIER.match(one):
+                    words |= set(_WORDS.findall(one))
     return frozenset(words), role
 
 
-def _symbol(name: str, words: frozenset[str], role: str, in_main: bool) -> str:
+def _noise_by_words(name: str, words: frozenset[str]) -> bool:
+    return name not in ("html", "body", "article", "main") and bool(words & _NOISE_WORDS)
+
+
+def _symbol(name: str, words: frozenset[str], role: str, in_main: bool, spared: bool) -> str:
     """How an element counts: ``!`` for noise, ``*`` for the main part, else its name and, for
-    what may contain the main part, its words."""
+    what may contain the main part, its words. Words make no noise of a ``spared`` one."""
     if name in ("html", "body"):
         return name
     noise = name in _NOISE_TAGS or (name == "header" and not in_main)
     if name not in ("article", "main"):
-        noise |= bool(words & _NOISE_WORDS) or role in _NOISE_ROLES
+        noise |= (_noise_by_words(name, words) and not spared) or role in _NOISE_ROLES
     if noise:
         return "!" + name
     if name in ("article", "main") or role == "main":
@@ -129,14 +137,19 @@ def _symbol(name: str, words: frozenset[str], role: str, in_main: bool) -> str:
 class Walk:
     """Reads a page with the stack of its open elements."""
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] | None = None) -> None:
+        """``spared``: which opened elements, by number, are no noise by their words (all)."""
+        self.spared = spared
+        self.opened = 0
         self.stack: list[tuple[str, str]] = []
         self.noise = 0
         self.main = 0
 
     def open(self, name: str, attributes: str) -> str:
         words, role = _labels(attributes)
-        symbol = _symbol(name, words, role, self.main > 0)
+        spared = self.spared is None or self.opened in self.spared
+        self.opened += 1
+        symbol = _symbol(name, words, role, self.main > 0, spared)
         if name not in _VOID and not attributes.endswith("/"):
             self.stack.append((name, symbol))
             self._count(symbol, 1)
@@ -158,10 +171,51 @@ class Walk:
         self.main += by * symbol.startswith("*")
 
 
+def _is_main(symbol: str) -> bool:
+    return symbol.startswith("*") or "." in symbol
+
+
+def spared(found: list[Event]) -> frozenset[int]:
+    """The numbers of elements that are noise by their words, but around the main text: no
+    container outside such elements has text, and they hold most of the page's text or its
+    only marked main part."""
+    walk, total, marked, held = Walk(), 0, 0, {}
+    above: list[int | None] = []
+    around: set[int] = set()
+    mains: list[bool] = []
+    for kind, name, value in found:
+        if kind == "text":
+            if walk.noise or not value.strip():
+                continue
+            outer = [i for i in above if i is not None]
+            if not outer and any(mains):
+                return frozenset()
+            total += len(value.strip())
+            for i in outer:
+                held[i] += len(value.strip())
+        elif kind == "open":
+            depth, number = len(walk.stack), walk.opened
+            symbol = walk.open(name, value)
+            if len(walk.stack) > depth:
+                noisy = _noise_by_words(name, _labels(value)[0])
+                above.append(number if noisy else None)
+                mains.append(_is_main(symbol))
+                if noisy:
+                    held[number] = 0
+                if symbol.startswith("*") and not walk.noise and walk.main == 1:
+                    marked += 1
+                    around |= {i for i in above if i is not None}
+        else:
+            walk.close(name)
+            del above[len(walk.stack) :], mains[len(walk.stack) :]
+    return frozenset(i for i, n in held.items() if 2 * n > total or (marked == 1 and i in around))
+
+
 def stream(page: str) -> list[str]:
     """Block elements and text slots of a page, noise elements as one token each."""
-    walk, out = Walk(), []
-    for kind, name, value in events(page):
+    found = list(events(page))
+    walk, out = Walk(spared(found)), []
+    for kind, name, value in found:
         if kind == "text":
             if not walk.noise and value.strip() and (not out or out[-1] != "#"):
                 out.append("#")
@@ -299,35 +353,45 @@ def containers(wrapper: list) -> list[str]:
 
 
 def main_text(page: str, roots: list[str]) -> str:
-    """Text of the first of the ``roots`` that the page has, or of the whole page, without
-    noise; blocks and white space are parted by one space."""
-    walk = Walk()
-    parts: dict[str, list[str]] = {root: [] for root in [*roots, ""]}
-    inside: dict[str, int] = {root: 0 for root in roots}
-    for kind, name, value in events(page):
+    """Text of all outermost main containers among the ``roots``, in page order, else of the
+    body, else of the whole page, without noise; blocks and white space are parted by one
+    space. A container that only its words mark gives way to marked main parts inside it."""
+    found = list(events(page))
+    walk = Walk(spared(found))
+    known = {root for root in roots if _is_main(root)}
+    # Pieces of text with whether a marked part or the body is open and the other open
+    # containers; the containers with a marked part inside.
+    pieces: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    above: list[int] = []
+    wide: set[int] = set()
+    for number, (kind, name, value) in enumerate(found):
         if kind == "text":
             if not walk.noise:
-                text = html.unescape(value)
-                for root, depth in inside.items():
-                    if depth:
-                        parts[root].append(text)
-                parts[""].append(text)
+                symbols = [symbol for _, symbol in walk.stack]
+                marked = any(s in known and s.startswith("*") for s in symbols)
+                open_now = tuple(i for i in above if i >= 0)
+                pieces.append((html.unescape(value), marked, "body" in symbols, open_now))
+                if marked and value.strip():
+                    wide.update(open_now)
             continue
         if kind == "open":
             before = len(walk.stack)
             symbol = walk.open(name, value)
-            if len(walk.stack) > before and symbol in inside:
-                inside[symbol] += 1
+            if len(walk.stack) > before:
+                other = symbol in known and not symbol.startswith("*")
+                above.append(number if other and not walk.main else -1)
         else:
-            for symbol in walk.close(name):
-                if symbol in inside:
-                    inside[symbol] -= 1
-        if name not in _INLINE:
-            for own in parts.values():
-                if own and own[-1] != " ":
-                    own.append(" ")
-    for root in [*roots, ""]:
-        text = " ".join("".join(parts[root]).split())
+            walk.close(name)
+            del above[len(walk.stack) :]
+        if name not in _INLINE and pieces and pieces[-1][0] != " ":
+            pieces.append((" ", True, True, ()))
+    chosen = (
+        lambda piece: piece[1] or any(i not in wide for i in piece[3]),
+        lambda piece: piece[2],
+        lambda piece: True,
+    )
+    for choose in chosen:
+        text = " ".join("".join(piece[0] for piece in pieces if choose(piece)).split())
         if text:
             return text
     return ""

@@ -82,3 +82,23 @@ def test_shuffled_wrappers(spark, monkeypatch):
     pages = spark.createDataFrame([(1, "http://a/", "<p>x"), (2, "http://a/", "<p>y")],
                                   "page_id long, url string, html string")
     assert sorted(r["text"] for r in h.extract(pages).collect()) == ["x", "y"]
+
+
+def text_of(page):
+    return h.main_text(page, h.containers(h.fold(h.stream(page))))
+
+
+def test_all_main_containers_are_joined():
+    lead = '<body><p>x</p><div class="article-lead">Lead</div><div class="article-body"><p>Body</div>'
+    assert text_of(lead) == "Lead Body"
+    assert text_of("<main>a</main><p>x</p><article>bbb</article>") == "a bbb"
+    assert text_of('<div class="content"><p>x</p><article>a<main>b</main></article></div>') == "a b"
+
+
+def test_layouts_with_words_of_noise_keep_their_text():
+    for name in ('class="layout has-sidebar"', 'id="content" class="no-comments"', 'class="banner-page"'):
+        assert text_of(f"<body><p>x</p><div {name}><article><p>One</p></article></div>") == "One"
+    plain = '<body><p>x</p><div class="sidebar-page"><p>Long text</p><div class="sidebar">s</div></div>'
+    assert text_of(plain) == "x Long text"
+    teasers = '<article>One</article><div class="related"><article>long teaser</article></div>'
+    assert text_of(teasers) == "One"
