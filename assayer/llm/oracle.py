@@ -5,6 +5,7 @@ _NORMAL_WORDS = (
     f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 _TURNS = r"""
 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -65,5 +66,43 @@ found AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op12_divergence": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+      '{_TERM}') AS w
+  FROM documents),
+tf AS (
+  SELECT lang, source, t, count(*) AS c, count(DISTINCT n) AS docs
+  FROM (SELECT n, lang, source, unnest(w) AS t FROM d) GROUP BY lang, source, t),
+kept AS (SELECT lang, t, sum(c) AS lc FROM tf GROUP BY lang, t HAVING sum(docs) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(lc) AS ln FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+raw AS (
+  SELECT lang, source, t, coalesce(c, 0) AS c, lc, v, ln,
+    sum(coalesce(c, 0)) OVER (PARTITION BY lang, source) AS n
+  FROM grp JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN tf USING (lang, source, t)),
+prof AS (
+  SELECT lang, source, t, c, 1 + (CAST(1000000000 AS HUGEINT) * (c + 1)) // (n + v) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * (lc + 1)) // (ln + v) AS q
+  FROM raw),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM prof a JOIN prof b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', t, ((p - q) * (p - q)) // q FROM prof WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM both_parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 200
 """,
 }

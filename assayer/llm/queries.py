@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     chat,
     decontaminate,
+    divergence,
     html_wrappers,
     packing,
     pii,
@@ -139,3 +140,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         simhash.digits(F.col("fingerprint")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
