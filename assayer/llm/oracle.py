@@ -14,7 +14,57 @@ UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 """
 _ESCAPED = r"replace(replace(replace({}, '\', '\\'), '<', '\l'), '#', '\h')"
 
+
+def _lloyd(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain Lloyd iteration, a row per component; every round one more set of tables."""
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (
+  SELECT r, j // w AS p, j % w AS j, v[j + 1] AS x
+  FROM (SELECT r, v, len(v) // {parts} AS w, unnest(range(0, len(v))) AS j FROM kept)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, x AS c FROM cells WHERE r <= {entries})"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""
+near{n} AS MATERIALIZED (
+  SELECT r, p, e, d FROM (
+    SELECT r, p, e, d, row_number() OVER (PARTITION BY r, p ORDER BY d, e) AS place FROM (
+      SELECT r, p, e, sum((x - c) * (x - c)) AS d
+      FROM cells JOIN book{n} USING (p, j) GROUP BY r, p, e))
+  WHERE place = 1)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""
+sums{n} AS (
+  SELECT p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM near{n} JOIN cells USING (r, p) GROUP BY p, e, j),
+book{n + 1} AS MATERIALIZED (
+  SELECT p, e, j, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+  FROM book{n} LEFT JOIN sums{n} USING (p, e, j))"""
+            )
+    return f"""
+WITH {",".join(steps)},
+coded AS (
+  SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code,
+    CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY r),
+book AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) AS h FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  h AS codebooks_sha256
+FROM kept JOIN coded USING (r), book
+"""
+
+
 ORACLE = {
+    "op13_vector_codes": _lloyd(),
     "op5_chat": f"""
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))

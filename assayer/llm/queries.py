@@ -19,6 +19,7 @@ from . import (
     simhash,
     substring,
     suffix_index,
+    vector_codes,
 )
 from .common import spans_text
 
@@ -145,3 +146,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        vector_codes.hex_code("code").alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256"),
+    )
