@@ -11,6 +11,7 @@ from . import (
     chat,
     decontaminate,
     divergence,
+    flat_graph,
     html_wrappers,
     packing,
     pii,
@@ -158,3 +159,14 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label_error",
         F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256"),
     )
+
+
+@query
+def op11_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = flat_graph.near_vectors(table(spark, sf_dir, "embeddings"))
+    return linked.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
+    )
