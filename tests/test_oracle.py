@@ -16,7 +16,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-ROWS_ONLY = {"classifier_predictions", "classifier_lift"}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="module")

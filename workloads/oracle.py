@@ -272,7 +272,64 @@ def lexical(cues: list[str]) -> str:
     return f"CAST(len(list_filter(words, lambda w: list_contains([{listed}], w))) AS BIGINT)"
 
 
+def log_units(x: str) -> str:
+    return f"CAST(round_even(1e6 * ln({x}), 0) AS BIGINT)"
+
+
+def _bayes() -> str:
+    """Tables of naive Bayes: its training rows, word counts, weights and scored test rows."""
+    counts = ", ".join(
+        f"count(*) FILTER (label = '{label}') AS n_{i}" for i, label in enumerate(LABELS)
+    )
+    sums = ", ".join(f"sum(n_{i}) AS t_{i}" for i in range(len(LABELS)))
+    weights = ", ".join(
+        f"{log_units(f'(n_{i} + 1.0e0) / (t_{i} + v * 1.0e0)')} AS w_{i}" for i in range(len(LABELS))
+    )
+    priors = ", ".join(
+        f"{log_units(f'(n_{i} + 1.0e0) / (n_0 + n_1 + n_2 + 3.0e0)')} AS p_{i}"
+        for i in range(len(LABELS))
+    )
+    scores = ", ".join(
+        f"any_value(p_{i}) + coalesce(sum(w_{i}), 0) AS s_{i}" for i in range(len(LABELS))
+    )
+    total = " + ".join(
+        f"exp(CAST(s_{i} - greatest(s_0, s_1, s_2) AS DOUBLE) / 1e6)" for i in range(len(LABELS))
+    )
+    return f"""{LABELED}, halves AS (
+  SELECT id, label, k > {TRAIN_SIZE} AS test,
+    list_filter(regexp_split_to_array(lower(sentence), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS ws
+  FROM (SELECT CAST(doc_id AS VARCHAR) AS id, sentence, label, count(*) OVER () AS n,
+      row_number() OVER (ORDER BY md5('7:'||doc_id)) AS k FROM labeled)),
+priors AS (SELECT {priors} FROM (SELECT {counts} FROM halves WHERE NOT test)),
+word_counts AS (SELECT word, {counts} FROM (
+  SELECT label, unnest(ws) AS word FROM halves WHERE NOT test) GROUP BY word),
+totals AS (SELECT count(*) AS v, {sums} FROM word_counts),
+weights AS (SELECT word, (n_0 + n_1 + n_2) * 4096 >= t_0 + t_1 + t_2 AS common, {weights}
+  FROM word_counts, totals),
+classified AS (
+  SELECT id, label, CASE WHEN s_0 >= s_1 AND s_0 >= s_2 THEN '{LABELS[0]}'
+      WHEN s_1 >= s_2 THEN '{LABELS[1]}' ELSE '{LABELS[2]}' END AS prediction,
+    1.0e0 / ({total}) AS confidence
+  FROM (SELECT id, any_value(label) AS label, {scores}
+    FROM (SELECT id, label, unnest(CASE WHEN len(ws) = 0 THEN [''] ELSE ws END) AS word
+      FROM halves WHERE test) LEFT JOIN weights USING (word), priors GROUP BY id))"""
+
+
+BAYES = _bayes()
+
+
 ORACLE: dict[str, str] = {
+    "classifier_predictions": f"""WITH {BAYES}
+SELECT id, label, prediction, round(confidence, 9) AS confidence, 0.0e0 AS latency_ms FROM classified""",
+    "classifier_word_weights": f"""WITH {BAYES}
+SELECT word, common, w_0 AS {LABELS[0]}, w_1 AS {LABELS[1]}, w_2 AS {LABELS[2]} FROM weights""",
+    "classifier_lift": f"""WITH {BAYES}, guesses AS (
+  SELECT label, prediction AS raw, confidence AS conf, 0.0e0 AS lat FROM classified),
+constant AS (SELECT label, 'neutral' AS raw, conf, lat FROM guesses),
+{scored("guesses")}, {scored("constant", "scored_base")},
+{bundle("scored", "m")}, {bundle("scored_base", "b")}
+SELECT examples, {ROUNDED}, {lifted("accuracy", "base")}, unknown_gold
+FROM m, (SELECT accuracy AS base FROM b) b""",
     "parse_predictions": f"""WITH {LINES}
 SELECT l_orderkey, l_linenumber, raw, {parse("raw")} AS parsed FROM predictions""",
     "parse_or_raw": f"""WITH {LINES}

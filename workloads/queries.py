@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer import functions as fn
+from assayer.operators import bayes
 from assayer.operators import evaluation as ev
 from assayer.operators import experiments as ex
 from assayer.operators import records as rec
@@ -627,22 +628,35 @@ def lexical_baseline(spark, sf_dir):
     return scored.withColumn("confidence", F.round("confidence", 9))
 
 
-def _classified(spark, sf_dir):
+def _halves(spark, sf_dir):
     records = views.labeled(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"), F.col("sentence").alias("text"), "label"
     )
-    train, test = sel.train_test_split(written(records, "labeled"))
-    return score_with_classifier(fit_classifier(train), test)
+    return sel.train_test_split(written(records, "labeled"))
+
+
+def _classified(spark, sf_dir):
+    train, test = _halves(spark, sf_dir)
+    return bayes.score_naive_bayes(bayes.fit_naive_bayes(train), test)
 
 
 @query
 def classifier_predictions(spark, sf_dir):
-    return _classified(spark, sf_dir)
+    return _classified(spark, sf_dir).select("id", "label", "prediction", *nine("confidence"), "latency_ms")
+
+
+@query
+def classifier_word_weights(spark, sf_dir):
+    model = bayes.fit_naive_bayes(_halves(spark, sf_dir)[0])
+    return model.words.select(
+        "word", "common", *[F.col("weights")[i].alias(label) for i, label in enumerate(fn.LABELS)]
+    )
 
 
 @query
 def classifier_test_rows(spark, sf_dir):
-    return _classified(spark, sf_dir).select(
+    train, test = _halves(spark, sf_dir)
+    return score_with_classifier(fit_classifier(train), test).select(
         "id",
         "label",
         F.col("prediction").isin(*fn.LABELS).alias("known"),
@@ -654,7 +668,9 @@ def classifier_test_rows(spark, sf_dir):
 def classifier_lift(spark, sf_dir):
     scored = written(_classified(spark, sf_dir), "classified")
     base = scored.withColumn("prediction", F.lit("neutral"))
-    return ev.rounded(evaluate(scored, base))
+    return ev.rounded(evaluate(scored, base)).withColumn(
+        "exact_accuracy_lift", F.round("exact_accuracy_lift", 9)
+    )
 
 
 # --- files and tracking ---
