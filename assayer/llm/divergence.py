@@ -1,10 +1,9 @@
 """Source divergence audit by single-pass in-memory indexing.
 
-A task reads texts into an in-memory block of postings, term to (source, occurrences,
-documents), and when the block is full spills it as runs: per hash shard of the terms one
-sequence sorted by language, term and source, cut into chunks. A shard's task reads the chunks by
-their first key and merges them with a heap, so it holds the chunks whose ranges overlap and
-one term's posting list. What comes out are exact corpus frequencies, written once. Profiles
+A task reads texts into an in-memory block of postings and, when the block is full, spills it
+as runs: per hash shard of the terms one sequence of entries (source, occurrences, documents)
+sorted by language and term, cut into chunks. A shard's task reads the chunks by their first
+term and merges them with a heap, so it holds the chunks whose ranges overlap. What comes out are exact corpus frequencies, written once. Profiles
 are whole numbers; a pair of sources gets its divergence as a sum over terms that neither
 has (a product), that one has (from histograms of counts, since only the count matters), and
 a correction for each term that both have, streamed from the posting lists.
@@ -19,8 +18,9 @@ A posting list has one entry per source of a language, and so has the result, pe
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,18 +29,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import Batches, arrow_schema, in_rows
+from .common import Batches, arrow_schema
 
 LEAST_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-#: Entries (term and source) of a block in memory; some 100 bytes each.
-BLOCK_ENTRIES = 400_000
-#: Entries of a chunk of a run.
+#: Occurrences and distinct terms that fill a block in memory; some 20 and 200 bytes each.
+BLOCK_TOKENS = 2_000_000
+BLOCK_TERMS = 400_000
+#: Entries (term and source) of a chunk of a run, and terms of runs that are merged at once.
 CHUNK_ENTRIES = 2_048
+MERGED_TERMS = 100_000
 #: Bytes of a text that are split into words at once.
 PIECE_BYTES = 1 << 20
-#: Pairs of sources whose corrections a task holds before it adds them up, and hands them on.
+#: Pairs of sources that are corrected at once, and sums of pairs that a task holds.
+PAIRS_AT_ONCE = 1 << 20
 HELD_PAIRS = 1 << 20
 
 # Bytes that are no part of a term become spaces; only A-Z are lower-cased. All bytes of
@@ -68,72 +71,111 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings of some texts: per language and source, occurrences and documents of terms."""
+    """Postings of some texts: for each occurrence its term and its text. The empty term occurs
+    once in each text and stands for the text's source, so that no source is lost."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-    def add(self, lang: str, source: str, text: bytes) -> int:
-        """Take a text in; how many entries it may have added at most."""
-        group = self.groups.get((lang, source))
-        if group is None:
-            group = self.groups[lang, source] = (Counter(), Counter())
-        counts, documents = group
-        before = len(counts)
-        seen: set[bytes] = set()
+        new = itertools.count().__next__
+        self.terms: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(new))
+        self.groups: dict[tuple[str, str], int] = {}
+        self.texts: list[int] = []  # the group of each
+        self.codes: list[np.ndarray] = []
+        self.lengths: list[int] = []
+        self.tokens = self.n_terms = 0
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        own = self.terms[lang]
+        code_of, before = own.__getitem__, len(own)
+        self.texts.append(self.groups.setdefault((lang, source), len(self.groups)))
+        self.codes.append(np.array([code_of(b"")], np.int32))
+        length = 1
         for words in words_of(text):
-            counts.update(words)
-            seen.update(words)
-        documents.update(seen)
-        return len(counts) - before
-
-    def runs(self, shards: int) -> Iterator[dict]:
-        """The block's sorted run of each shard, in chunks. The empty term stands for the group
-        itself, so that groups without terms are not lost."""
-        entries = []
-        for (lang, source), (counts, documents) in self.groups.items():
-            shard = zlib.crc32(lang.encode()) % shards
-            entries.append((shard, lang, b"", source, 0, 0))
-            for term, count in counts.items():
-                shard = zlib.crc32(term, zlib.crc32(lang.encode())) % shards
-                entries.append((shard, lang, term, source, count, documents[term]))
-        entries.sort()
-        start = 0
-        for end in range(1, len(entries) + 1):
-            if (
-                end == len(entries)
-                or end - start == CHUNK_ENTRIES
-                or entries[end][:2] != entries[start][:2]
-            ):
-                yield chunk(entries[start:end])
-                start = end
-
-
-def chunk(entries: list[tuple]) -> dict:
-    """Sorted entries of one shard and language as a row: each term and source named once."""
-    names: dict[str, int] = {}
-    terms: list[str] = []
-    per_term: list[int] = []
-    last = None
-    sources = []
-    for _, _, term, source, _, _ in entries:
-        if term != last:
-            terms.append(term.decode())
-            per_term.append(0)
-            last = term
-        per_term[-1] += 1
-        sources.append(names.setdefault(source, len(names)))
-    return {
-        "shard": entries[0][0],
-        "lang": entries[0][1],
-        "first": terms[0],
-        "names": list(names),
-        "terms": terms,
-        "entries": per_term,
-        "sources": sources,
-        "counts": [e[4] for e in entries],
-        "documents": [e[5] for e in entries],
-    }
+            self.codes.append(np.fromiter(map(code_of, words), np.int32, len(words)))
+            length += len(words)
+        self.lengths.append(length)
+        self.tokens += length
+        self.n_terms += len(own) - before
+
+    def postings(self) -> tuple[np.ndarray, ...]:
+        """Term, group, occurrences and texts of each entry."""
+        text = np.repeat(np.arange(len(self.texts)), self.lengths)
+        key, count = _summed(np.concatenate(self.codes).astype(np.int64) * len(self.texts) + text)
+        term, group = key // len(self.texts), np.array(self.texts)[key % len(self.texts)]
+        key, count, texts = _summed(
+            term * len(self.groups) + group, count, np.ones(len(count), np.int64)
+        )
+        return key // len(self.groups), key % len(self.groups), count, texts
+
+    def runs(self, shards: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """The block's sorted run of each shard, in chunks: a row each."""
+        if not self.texts:
+            return
+        langs, words, codes, shard = [], [], [], []
+        for lang, terms in sorted(self.terms.items()):
+            start = zlib.crc32(lang.encode())
+            own = sorted(terms.items())
+            words += [term for term, _ in own]
+            codes += [code for _, code in own]
+            shard += [zlib.crc32(term, start) % shards for term, _ in own]
+            langs += [lang] * len(own)
+        by = np.argsort(np.array(shard), kind="stable")  # the terms were in order before
+        rank = np.empty(len(by), np.int64)
+        rank[np.array(codes)[by]] = np.arange(len(by))
+        term, group, counts, texts = self.postings()
+        order = np.argsort(rank[term], kind="stable")
+        per_term = np.bincount(rank[term], minlength=len(by))
+        ends = np.cumsum(per_term)
+        lang_no = np.unique(langs, return_inverse=True)[1][by]
+        own_shard = np.array(shard)[by]
+        segment = np.flatnonzero(np.diff(own_shard, prepend=-1) | np.diff(lang_no, prepend=-1))
+        first_entry = np.repeat(
+            (ends - per_term)[segment], np.diff(np.append(segment, len(by)))
+        )
+        part = (ends - per_term - first_entry) // CHUNK_ENTRIES
+        starts = np.flatnonzero(
+            np.diff(own_shard, prepend=-1) | np.diff(lang_no, prepend=-1) | np.diff(part, prepend=-1)
+        )
+        sources = [source for _, source in self.groups]
+        entry_starts = np.append((ends - per_term)[starts], len(order))
+        names, numbers = [], []
+        for a, b in zip(entry_starts, entry_starts[1:]):
+            some, number = np.unique(group[order[a:b]], return_inverse=True)
+            names.append([sources[i] for i in some])
+            numbers.append(number)
+        term_offsets = pa.array(np.append(starts, len(by)), pa.int32())
+        entry_offsets = pa.array(entry_starts, pa.int32())
+        ordered = pa.array([words[i] for i in by], pa.binary()).cast(pa.string())
+        lists = [
+            (term_offsets, ordered),
+            (term_offsets, pa.array(per_term)),
+            (entry_offsets, pa.array(np.concatenate(numbers))),
+            (entry_offsets, pa.array(counts[order])),
+            (entry_offsets, pa.array(texts[order])),
+        ]
+        columns = [
+            pa.array(own_shard[starts]),
+            pa.array([langs[i] for i in by[starts]]),
+            ordered.take(pa.array(starts)),
+            pa.array(names, pa.list_(pa.string())),
+            *[pa.ListArray.from_arrays(offsets, values) for offsets, values in lists],
+        ]
+        whole = pa.RecordBatch.from_arrays(
+            [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema
+        )
+        for at in range(0, len(whole), 100):
+            yield whole.slice(at, 100)
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different keys, ascending, and the sums of their values, or their number."""
+    if not len(keys):
+        return (keys, *(values or [np.zeros(0, np.int64)]))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    if not values:
+        return keys[first], np.diff(np.append(first, len(keys)))
+    return (keys[first], *[np.add.reduceat(v[order], first) for v in values])
 
 
 def index_runs(
@@ -142,7 +184,8 @@ def index_runs(
     lang_col: str,
     source_col: str,
     shards: int,
-    block_entries: int = BLOCK_ENTRIES,
+    tokens: int = BLOCK_TOKENS,
+    terms: int = BLOCK_TERMS,
 ) -> DataFrame:
     """The term-sorted runs of all blocks."""
     columns = [
@@ -154,84 +197,116 @@ def index_runs(
     target = arrow_schema(RUNS)
 
     def run(batches: Batches) -> Batches:
-        block, entries = Block(), 0
+        block = Block()
         for batch in batches:
             langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for i, text in enumerate(batch.column(0).cast(pa.binary())):
-                entries += block.add(langs[i], sources[i], text.as_py())
-                if entries >= block_entries:
-                    yield from in_rows(block.runs(shards), target, 100)
-                    block, entries = Block(), 0
-        yield from in_rows(block.runs(shards), target, 100)
+                block.add(langs[i], sources[i], text.as_py())
+                if block.tokens >= tokens or block.n_terms >= terms:
+                    yield from block.runs(shards, target)
+                    block = Block()
+        yield from block.runs(shards, target)
 
     return texts.mapInArrow(run, RUNS)
 
 
-def entries_of(row: dict) -> Iterator[tuple]:
-    """``lang, term, source, count, documents`` of a chunk, in its order."""
-    at = 0
-    for term, n in zip(row["terms"], row["entries"]):
-        key = term.encode()
-        for i in range(at, at + n):
-            yield (
-                row["lang"].encode(),
-                key,
-                row["names"][row["sources"][i]].encode(),
-                row["counts"][i],
-                row["documents"][i],
-            )
-        at += n
+class Chunk:
+    """A sorted part of a run: its terms, where the entries of each begin, and the entries."""
+
+    def __init__(self, row: dict[str, pa.Scalar], numbers: dict[str, int]) -> None:
+        self.lang, self.terms = row["lang"].as_py(), row["terms"].as_py()
+        names = [numbers.setdefault(name, len(numbers)) for name in row["names"].as_py()]
+        arrays = {
+            name: row[name].values.to_numpy(zero_copy_only=False).astype(np.int64)
+            for name in ("entries", "sources", "counts", "documents")
+        }
+        self.entries, self.counts = arrays["entries"], arrays["counts"]
+        self.sources = np.array(names, np.int64)[arrays["sources"]]
+        self.documents = arrays["documents"]
 
 
-def heap_merge(chunks: Iterable[dict]) -> Iterator[tuple]:
-    """Entries of all chunks in order. Chunks come by language and first term, so only those
-    whose range has begun stand in the heap."""
+def chunks_of(batches: Batches, numbers: dict[str, int]) -> Iterator[Chunk]:
+    for batch in batches:
+        for i in range(len(batch)):
+            yield Chunk({n: batch.column(n)[i] for n in batch.schema.names}, numbers)
+
+
+def heap_merge(chunks: Iterable[Chunk]) -> Iterator[tuple[str, str, Chunk, int]]:
+    """``lang, term, chunk, place`` of the terms of all chunks in order. Chunks come by language
+    and first term, so only those whose range has begun stand in the heap."""
     heap: list[tuple] = []
 
-    def step() -> tuple:
-        entry, number, rest = heap[0]
-        following = next(rest, None)
-        if following is None:
-            heapq.heappop(heap)
+    def step() -> tuple[str, str, Chunk, int]:
+        lang, term, number, at, chunk = heap[0]
+        if at + 1 < len(chunk.terms):
+            heapq.heapreplace(heap, (lang, chunk.terms[at + 1], number, at + 1, chunk))
         else:
-            heapq.heapreplace(heap, (following, number, rest))
-        return entry
+            heapq.heappop(heap)
+        return lang, term, chunk, at
 
-    for number, row in enumerate(chunks):
-        entries = entries_of(row)
-        first = next(entries)
-        while heap and heap[0][0][:2] < first[:2]:
+    for number, chunk in enumerate(chunks):
+        while heap and heap[0][:2] < (chunk.lang, chunk.terms[0]):
             yield step()
-        heapq.heappush(heap, (first, number, entries))
+        heapq.heappush(heap, (chunk.lang, chunk.terms[0], number, 0, chunk))
     while heap:
         yield step()
 
 
-def merged_postings(entries: Iterable[tuple], least_documents: int) -> Iterator[dict]:
+def merged_postings(
+    merged: Iterable[tuple[str, str, Chunk, int]],
+    numbers: dict[str, int],
+    least_documents: int,
+    schema: pa.Schema,
+) -> Batches:
     """A row per language and term with enough documents: its sources and their counts. The
     empty term, a language's list of sources, always stays."""
-    key, sources, counts, documents = None, [], [], 0
-
-    def row() -> Iterator[dict]:
-        if key is not None and (documents >= least_documents or not key[1]):
-            yield {
-                "lang": key[0].decode(),
-                "term": key[1].decode(),
-                "sources": [s.decode() for s in sources],
-                "counts": counts,
-            }
-
-    for lang, term, source, count, n in entries:
-        if (lang, term) != key:
-            yield from row()
-            key, sources, counts, documents = (lang, term), [], [], 0
-        if sources and sources[-1] == source:
-            counts[-1] += count
-        else:
-            sources.append(source)
-            counts.append(count)
-        documents += n
-    yield from row()
+    keys: list[tuple[str, str]] = []
+    which: list[int] = []
+    held: list[tuple[Chunk, int]] = []
+
+    def summed() -> pa.RecordBatch:
+        chunks = list({id(chunk): chunk for chunk, _ in held}.values())
+        base = dict(zip(map(id, chunks), np.cumsum([0, *[len(c.terms) for c in chunks]]).tolist()))
+        at = np.array([base[id(chunk)] + place for chunk, place in held])
+        entries = np.concatenate([c.entries for c in chunks])
+        lengths = entries[at]
+        first = (np.cumsum(entries) - entries)[at]
+        entry = np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        sources, counts, documents = (
+            np.concatenate([getattr(c, name) for c in chunks])[entry]
+            for name in ("sources", "counts", "documents")
+        )
+        key, counts, documents = _summed(
+            np.repeat(np.array(which), lengths) * len(numbers) + sources, counts, documents
+        )
+        term = key // len(numbers)
+        total = _summed(term, documents)[1]  # every term has an entry
+        kept = (total >= least_documents) | np.array([not t for _, t in keys])
+        own = kept[term]
+        sizes = np.bincount(term, minlength=len(keys))[kept]
+        offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+        places = np.flatnonzero(kept).tolist()
+        names = pa.array(list(numbers)).take(pa.array((key % len(numbers))[own]))
+        columns = [
+            pa.array([keys[i][0] for i in places], pa.string()),
+            pa.array([keys[i][1] for i in places], pa.string()),
+            pa.ListArray.from_arrays(offsets, names),
+            pa.ListArray.from_arrays(offsets, pa.array(counts[own], pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(
+            [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema
+        )
+
+    for lang, term, chunk, place in merged:
+        if not keys or keys[-1] != (lang, term):
+            if len(held) >= MERGED_TERMS:
+                yield summed()
+                keys, which, held = [], [], []
+            keys.append((lang, term))
+        which.append(len(keys) - 1)
+        held.append((chunk, place))
+    if held:
+        yield summed()
 
 
 def postings(
@@ -240,17 +315,17 @@ def postings(
     lang_col: str = "lang",
     source_col: str = "source",
     least_documents: int = LEAST_DOCUMENTS,
-    block_entries: int = BLOCK_ENTRIES,
 ) -> DataFrame:
     """``lang, term, sources, counts`` of the terms in at least so many documents of their
     language; the empty term lists all sources of the language."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = index_runs(docs, text_col, lang_col, source_col, shards, block_entries)
+    runs = index_runs(docs, text_col, lang_col, source_col, shards)
     target = arrow_schema(POSTINGS)
 
     def merge(batches: Batches) -> Batches:
-        rows = (row for batch in batches for row in batch.to_pylist())
-        yield from in_rows(merged_postings(heap_merge(rows), least_documents), target)
+        numbers: dict[str, int] = {}  # of the sources met so far
+        merged = heap_merge(chunks_of(batches, numbers))
+        yield from merged_postings(merged, numbers, least_documents, target)
 
     dealt = runs.repartitionById(shards, "shard").sortWithinPartitions("lang", "first")
     return dealt.mapInArrow(merge, POSTINGS)
@@ -327,54 +402,70 @@ def pair_corrections(weights: DataFrame) -> DataFrame:
     target = arrow_schema(schema)
 
     def run(batches: Batches) -> Batches:
-        held = PairSums()
+        held = PairSums(target)
         for batch in batches:
-            for lang, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield from in_rows(held.add(lang, own), target, 10_000)
-        yield from in_rows(held.handed_on(), target, 10_000)
+            yield from held.add(batch)
+        yield from held.handed_on()
 
     return lists.select("lang", "own").mapInArrow(run, schema)
 
 
 class PairSums:
-    """Summed corrections by language and pair of sources, a bounded number of them."""
-
-    def __init__(self) -> None:
-        self.names: dict[str, dict[str, int]] = {}
-        self.sums: dict[str, dict[int, np.ndarray]] = {}
-        self.size = 0
-
-    def add(self, lang: str, own: list[dict]) -> Iterator[dict]:
-        """Take a term's posting list in; rows where too many sums are held."""
-        names = self.names.setdefault(lang, {})
-        at = np.array([names.setdefault(o["source"], len(names)) for o in own])
-        p = np.array([o["p"] for o in own], np.int64)
-        base = np.array([o["base"] for o in own], np.int64)
-        for i, g in enumerate(at.tolist()):
-            found = (
-                _floor(p[i], p) - _floor(p[i], base) - _floor(base[i], p) + _floor(base[i], base)
+    """Summed corrections of pairs of groups, a bounded number of them."""
+
+    def __init__(self, schema: pa.Schema) -> None:
+        self.schema = schema
+        self.numbers: dict[tuple[str, str], int] = {}
+        self.pairs = np.zeros((2, 0), np.int64)
+        self.sums = np.zeros(0, np.int64)
+
+    def add(self, batch: pa.RecordBatch) -> Batches:
+        """Take posting lists in; sums are handed on where too many are held."""
+        lists = batch.column(1)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        own = lists.flatten()
+        langs = np.repeat(np.array(batch.column(0).to_pylist(), object), sizes)
+        keys = zip(langs.tolist(), own.field("source").to_pylist())
+        group = np.fromiter(
+            (self.numbers.setdefault(k, len(self.numbers)) for k in keys), np.int64, len(own)
+        )
+        p, base = (own.field(n).to_numpy(zero_copy_only=False) for n in ("p", "base"))
+        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        partners = np.repeat(sizes, sizes)
+        ends = np.cumsum(partners)
+        start = 0
+        while start < len(own):
+            # Entries with their partners, so many that their pairs are few, but one at least.
+            done = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, "right")))
+            n = partners[start:end]
+            i = np.repeat(np.arange(start, end), n)
+            j = np.repeat(first[start:end] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            i, j = i[i != j], j[i != j]
+            value = (
+                _floor(p[i], p[j]) - _floor(p[i], base[j]) - _floor(base[i], p[j]) + _floor(base[i], base[j])
             )
-            sums = self.sums.setdefault(lang, {})
-            line = sums.get(g)
-            if line is None or len(line) < len(names):
-                longer = np.zeros(2 * len(names), np.int64)
-                if line is not None:
-                    longer[: len(line)] = line
-                    self.size -= len(line)
-                line = sums[g] = longer
-                self.size += len(longer)
-            line[at] += found
-            if self.size > HELD_PAIRS:
+            self._keep(np.stack([group[i], group[j]]), value)
+            if len(self.sums) > HELD_PAIRS:
                 yield from self.handed_on()
-
-    def handed_on(self) -> Iterator[dict]:
-        for lang, sums in self.sums.items():
-            names = list(self.names[lang])
-            for g, line in sums.items():
-                for h, value in enumerate(line[: len(names)].tolist()):
-                    if value and g != h:
-                        yield {"lang": lang, "source": names[g], "item": names[h], "value": value}
-        self.sums, self.size = {}, 0
+            start = end
+
+    def _keep(self, pairs: np.ndarray, value: np.ndarray) -> None:
+        key = pairs[0] << 32 | pairs[1]
+        key, value = _summed(key, value)
+        held = self.pairs[0] << 32 | self.pairs[1]
+        key, self.sums = _summed(np.concatenate([held, key]), np.concatenate([self.sums, value]))
+        self.pairs = np.stack([key >> 32, key & 0xFFFFFFFF])
+
+    def handed_on(self) -> Batches:
+        names = list(self.numbers)
+        langs, sources = (pa.array([k[i] for k in names], pa.string()) for i in (0, 1))
+        one, other = (pa.array(p) for p in self.pairs)
+        columns = [langs.take(one), sources.take(one), sources.take(other), pa.array(self.sums)]
+        whole = pa.RecordBatch.from_arrays(columns, schema=self.schema)
+        self.pairs, self.sums = self.pairs[:, :0], self.sums[:0]
+        for at in range(0, len(whole), 10_000):
+            yield whole.slice(at, 10_000)
 
 
 def _floor(p, q):

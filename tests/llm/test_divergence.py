@@ -89,10 +89,12 @@ def test_blocks_and_held_sums_do_not_matter(audited, monkeypatch):
         (" ".join(f"t{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(40)), "en", rng.choice("abcde"))
         for _ in range(60)
     ]
-    monkeypatch.setattr(divergence, "BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(divergence.index_runs, "__defaults__", (200, 50))
     monkeypatch.setattr(divergence, "CHUNK_ENTRIES", 7)
     monkeypatch.setattr(divergence, "PIECE_BYTES", 16)
     monkeypatch.setattr(divergence, "HELD_PAIRS", 10)
+    monkeypatch.setattr(divergence, "PAIRS_AT_ONCE", 10)
+    monkeypatch.setattr(divergence, "MERGED_TERMS", 5)
     assert audited(rows, top_terms=5) == brute(rows, 5)
 
 
@@ -101,12 +103,13 @@ def test_empty_table(audited):
 
 
 def test_heap_merge_holds_only_ranges_that_have_begun():
-    entries = [
-        [(0, "en", bytes([97 + i]), "s", 1, 1) for i in range(k, 26, 3)] for k in range(3)
-    ]
-    chunks = sorted(
-        (divergence.chunk(run[i : i + 3]) for run in entries for i in range(0, len(run), 3)),
-        key=lambda c: c["first"],
-    )
-    merged = list(divergence.heap_merge(chunks))
-    assert [e[1] for e in merged] == [bytes([97 + i]) for i in range(26)]
+    class Part:
+        def __init__(self, terms):
+            self.lang, self.terms = "en", terms
+
+    letters = [chr(97 + i) for i in range(26)]
+    parts = [Part(letters[k::3][i : i + 3]) for k in range(3) for i in range(0, 9, 3)]
+    parts.append(Part(["", "a", "z"]))
+    merged = list(divergence.heap_merge(sorted(parts, key=lambda c: c.terms[0])))
+    assert [term for _, term, _, _ in merged] == sorted([*letters, "", "a", "z"])
+    assert all(chunk.terms[at] == term for _, term, chunk, at in merged)
