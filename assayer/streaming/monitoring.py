@@ -7,6 +7,8 @@ monitor writes open windows, too: with each batch, the cells that it changed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,12 +24,13 @@ def windowed_cells(
     window: str = "1 day",
     watermark: str = "1 hour",
     bins: int = DEFAULT_BINS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Evaluation cells per time window; late rows beyond the watermark are left out."""
+    """Evaluation cells per time window, and ``by``; late rows beyond the watermark are left out."""
     timed = predictions.withColumn(time, F.col(time).cast("timestamp"))
     if timed.isStreaming:
         timed = timed.withWatermark(time, watermark)
-    return evaluation_cells(timed, [F.window(time, window).alias("window")], bins)
+    return evaluation_cells(timed, [F.window(time, window).alias("window"), *by], bins)
 
 
 def start_monitor(cells: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
