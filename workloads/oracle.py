@@ -259,6 +259,10 @@ UNION ALL SELECT event_type, 'run-'||event_id, 'user_id', CAST(user_id AS DOUBLE
 UNION ALL SELECT event_type, 'run-'||event_id, 'large', CASE WHEN value > 20 THEN 1.0e0 ELSE 0.0e0 END FROM events"""
 
 
+# A stream appends the days that ended before its watermark.
+CLOSED = "date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+
+
 def daily(condition: str) -> str:
     rows = f"(SELECT * FROM event_rows WHERE {condition})"
     return (
@@ -267,6 +271,35 @@ def daily(condition: str) -> str:
     )
 
 
+def drift(condition: str) -> str:
+    classes = {label: f"pred = '{label}'" for label in LABELS} | {"invalid": "pred IS NULL"}
+    events = EVENTS.replace("AS day, ts,", "AS day, ts, user_id % 3 AS segment,")
+    rows = f"(SELECT * FROM event_rows WHERE {condition})"
+    counts = ", ".join(f"count(*) FILTER ({is_class}) AS n_{c}" for c, is_class in classes.items())
+    reference = ", ".join(
+        f"sum(CASE WHEN place <= 7 THEN n_{c} END) OVER (PARTITION BY segment) AS r_{c}" for c in classes
+    )
+    every = " + ".join(f"r_{c}" for c in classes)
+    index = " + ".join(
+        f"((n_{c} + 0.5e0) / (examples + 2) - (r_{c} + 0.5e0) / ({every} + 2)) * "
+        f"ln(((n_{c} + 0.5e0) / (examples + 2)) / ((r_{c} + 0.5e0) / ({every} + 2)))"
+        for c in classes
+    )
+    so_far = "(PARTITION BY segment ORDER BY day ROWS UNBOUNDED PRECEDING)"
+    return f"""WITH {events}, {scored(rows, keep="day, segment,")},
+days AS (SELECT segment, day, count(*) AS examples, {counts}, avg(c) AS x FROM scored GROUP BY segment, day),
+placed AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY day) AS place,
+  avg(x) OVER {so_far} AS mean FROM days),
+summed AS (SELECT *, {reference}, sum(x - mean - 0.005e0) OVER {so_far} AS up,
+  sum(x - mean + 0.005e0) OVER {so_far} AS down FROM placed),
+measured AS (SELECT *, CASE WHEN place > 7 THEN {index} END AS psi,
+  up - min(up) OVER {so_far} AS rise, max(down) OVER {so_far} - down AS fall FROM summed)
+SELECT segment, day, examples, {", ".join(f"n_{c}" for c in classes)},
+  round(x, 9) AS mean_confidence, round(psi, 9) AS stability_index, round(rise, 9) AS rise,
+  round(fall, 9) AS fall, coalesce(psi > 0.2, false) AS shifted,
+  greatest(rise, fall) > 0.05 AS drifting, false AS silent FROM measured"""
+
+
 def lexical(cues: list[str]) -> str:
     listed = ", ".join(f"'{c}'" for c in cues)
     return f"CAST(len(list_filter(words, lambda w: list_contains([{listed}], w))) AS BIGINT)"
@@ -544,6 +577,8 @@ UNION ALL SELECT event_type, 'run-'||event_id, 'experiment', event_type FROM eve
 FROM ({PARAMS}) UNION ALL
 SELECT experiment, run_id, 'metric', key, CAST(NULL AS VARCHAR), value FROM ({SCALARS})""",
     "daily_metrics": daily("true"),
+    "daily_drift": drift("true"),
+    "streamed_drift": drift(CLOSED),
     "daily_prediction_shares": f"""WITH {EVENTS}, {scored("event_rows", keep="day,")}
 SELECT day, pred AS prediction, count(*) AS n,
   round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY day) AS DOUBLE), 9) AS share
@@ -553,8 +588,5 @@ FROM scored GROUP BY day, pred""",
     "streamed_preference_pairs": f"""WITH {TURNS} SELECT id, {prompt("text")} AS prompt,
   label AS chosen, {REJECTED} AS rejected FROM turns WHERE {strip("text")} <> ''""",
     "streamed_daily_metrics": daily("true"),
-    # A stream appends the days that ended before its watermark.
-    "streamed_closed_days": daily(
-        "date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
-    ),
+    "streamed_closed_days": daily(CLOSED),
 }

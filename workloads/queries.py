@@ -35,9 +35,11 @@ from assayer.sources import (
     write_report,
 )
 from assayer.streaming import (
+    drift,
     prediction_shares,
     read_live_cells,
     start_appending,
+    start_drift_monitor,
     start_live_monitor,
     start_monitor,
     start_scoring,
@@ -831,6 +833,31 @@ def streamed_closed_days(spark, sf_dir):
     return _window_report(spark.read.parquet(path))
 
 
+def _segments(events):
+    segment = (F.col("user_id") % 3).alias("segment")
+    return windowed_cells(views.event_predictions(events, segment), "ts", by=["segment"])
+
+
+def _drift_report(rows):
+    day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+    exact = [c for c in rows.columns if c.startswith("n_")]
+    measures = nine("mean_confidence", "stability_index", "rise", "fall")
+    return rows.select("segment", day, "examples", *exact, *measures, "shifted", "drifting", "silent")
+
+
+@query
+def daily_drift(spark, sf_dir):
+    return _drift_report(drift(_segments(views.table(spark, sf_dir, "events")), ["segment"]))
+
+
+@query
+def streamed_drift(spark, sf_dir):
+    cells = _segments(_stream(spark, sf_dir, "events"))
+    path, state = fresh_path(spark, "drift"), fresh_path(spark, "state")
+    start_drift_monitor(cells, path, state, ["segment"], availableNow=True).awaitTermination()
+    return _drift_report(spark.read.parquet(path))
+
+
 def _turns(rows):
     """User turns as positive, all others as neutral texts."""
     return rows.select(

@@ -116,10 +116,11 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.inline(rows))
 
 
-def event_predictions(events: DataFrame) -> DataFrame:
+def event_predictions(events: DataFrame, *keep: Column) -> DataFrame:
     kind = F.col("event_type")
     gold = F.when(kind == "purchase", "positive").when(kind == "error", "negative")
     return events.select(
+        *keep,
         "ts",
         gold.otherwise("neutral").alias("label"),
         F.when(F.col("value") < 5, "positive")
