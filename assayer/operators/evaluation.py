@@ -107,6 +107,7 @@ def evaluation_cells(
     by: Sequence[str | Column] = (),
     bins: int = DEFAULT_BINS,
     strict: bool = False,
+    latency_sketch: int | None = None,
 ) -> DataFrame:
     """Reduce predictions to cells per ``by``, label, prediction and confidence bin.
 
@@ -119,6 +120,9 @@ def evaluation_cells(
     the latencies too large for these units, NaN or infinite, if any. Cells are additive:
     cells of parts of a set add up to the cells of the set. With ``bins=0`` they have no
     bins, and what is derived from them does without reading confidences where it can.
+
+    With ``latency_sketch``, the size parameter of a KLL sketch, cells have one of their latencies
+    (NaN left out) under that name; sketches add up as the sums do, see ``latency_quantiles``.
     """
     inputs = evaluation_inputs(df, by)
     names = [c for c in inputs.columns if c not in _INPUT_COLUMNS]
@@ -138,6 +142,10 @@ def evaluation_cells(
         _units(c * c, CONFIDENCE_UNIT).alias("c2_units"),
         _units(F.when(ordinary, latency).otherwise(0.0), LATENCY_UNIT).alias("ms_units"),
         F.when(~ordinary, latency).alias("ms_special"),
+        *([F.when(~F.isnan(latency), latency).alias("ms")] if latency_sketch else []),
+    )
+    sketches = (
+        [F.kll_sketch_agg_double("ms", latency_sketch).alias("latency_sketch")] if latency_sketch else []
     )
     keys = [*names, "label", "prediction", "bin"]
     sums = staged.groupBy(*keys).agg(
@@ -147,6 +155,7 @@ def evaluation_cells(
         *_parts(F.col("c2_units"), "confidence_sq_sum", 2),
         *_parts(F.col("ms_units"), "latency_sum", 3),
         F.sum("ms_special").alias("latency_special"),
+        *sketches,
     )
     return sums.select(
         *keys,
@@ -156,10 +165,11 @@ def evaluation_cells(
         _whole("confidence_sq_sum", 2, "decimal(28,0)"),
         _whole("latency_sum", 3, "decimal(38,0)"),
         "latency_special",
+        *(["latency_sketch"] if latency_sketch else []),
     )
 
 
-# What cells hold besides their keys.
+# What cells hold besides their keys; the sketch only where it was asked for.
 CELL_SUMS = (
     "n",
     "flagged",
@@ -167,6 +177,7 @@ CELL_SUMS = (
     "confidence_sq_sum",
     "latency_sum",
     "latency_special",
+    "latency_sketch",
 )
 
 _INPUT_COLUMNS = ("label", "prediction", "confidence", "latency_ms", "flagged")
@@ -295,6 +306,30 @@ def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS)
     )
 
 
+#: The size of a sketch, and the share of the rows by which a quantile's rank may then be wrong,
+#: whatever was merged: some seven standard deviations.
+SKETCH_SIZE = 800
+RANK_ERROR = 0.01
+
+
+def latency_quantiles(
+    cells: DataFrame, by: Sequence[str | Column] = (), ranks: Sequence[float] = (0.5, 0.95, 0.99)
+) -> DataFrame:
+    """``p50_latency_ms`` and so on, one row per ``by``, from the sketches of cells: of a window,
+    a run, or of several merged into one. Null where no row has a latency."""
+    names = [f"p{format(100 * rank, 'g').replace('.', '_')}_latency_ms" for rank in ranks]
+    merged = cells.groupBy(*by).agg(F.kll_merge_agg_double("latency_sketch").alias("__sketch"))
+    # A sketch without values has no quantiles to ask for.
+    sketch = F.when(F.kll_sketch_get_n_double("__sketch") > 0, F.col("__sketch"))
+    return merged.withColumn("__sketch", sketch).select(
+        *merged.columns[:-1],
+        *[
+            F.kll_sketch_get_quantile_double("__sketch", F.lit(float(rank))).alias(name)
+            for rank, name in zip(ranks, names)
+        ],
+    )
+
+
 def rounded(metric_rows: DataFrame) -> DataFrame:
     """Metrics rounded as they are reported: 4 places, latency 2."""
     return metric_rows.withColumns(

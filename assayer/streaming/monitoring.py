@@ -25,12 +25,13 @@ def windowed_cells(
     watermark: str = "1 hour",
     bins: int = DEFAULT_BINS,
     by: Sequence[str] = (),
+    latency_sketch: int | None = None,
 ) -> DataFrame:
     """Evaluation cells per time window, and ``by``; late rows beyond the watermark are left out."""
     timed = predictions.withColumn(time, F.col(time).cast("timestamp"))
     if timed.isStreaming:
         timed = timed.withWatermark(time, watermark)
-    return evaluation_cells(timed, [F.window(time, window).alias("window"), *by], bins)
+    return evaluation_cells(timed, [F.window(time, window).alias("window"), *by], bins, latency_sketch=latency_sketch)
 
 
 def start_monitor(cells: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -62,7 +63,8 @@ def read_live_cells(spark: SparkSession, path: str) -> DataFrame:
     """The cells that a live monitor wrote, each as its last batch left it."""
     rows = spark.read.parquet(path)
     keys = [c for c in rows.columns if c not in (*CELL_SUMS, "batch")]
-    last = F.max_by(F.struct(*CELL_SUMS), "batch").alias("last")
+    sums = [c for c in rows.columns if c in CELL_SUMS]
+    last = F.max_by(F.struct(*sums), "batch").alias("last")
     return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 

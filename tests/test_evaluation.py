@@ -297,3 +297,26 @@ def test_latency_sums_have_room_for_many_large_rows(spark):
     assert set(sums.values()) == {(10**6 * 10**8 * ev.LATENCY_UNIT, None)}
     mean = ev.metrics(ev.evaluation_cells(rows, bins=0), bins=0).first()["mean_latency_ms"]
     assert mean == pytest.approx(5e7, rel=1e-15)
+
+
+def test_latency_quantiles_of_merged_cells(spark):
+    rows = spark.range(60_000).selectExpr(
+        "'positive' AS label", "IF(id % 3 = 0, 'neutral', 'positive') AS prediction",
+        "id % 10 / 10 AS confidence", "id % 7 AS day",
+        "CASE WHEN id % 1000 = 1 THEN double('NaN') ELSE pmod(xxhash64(id), 100000) / 7 END AS latency_ms",
+    )
+    known = rows.where("not isnan(latency_ms)")
+    for partitions in (3, 19):
+        cells = ev.evaluation_cells(rows.repartition(partitions), ["day"], latency_sketch=ev.SKETCH_SIZE)
+        for by in ((), ("day",)):
+            for found in ev.latency_quantiles(cells, by).collect():
+                own = known.where(f"day = {found['day']}") if by else known
+                for rank, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99")):
+                    value = found[f"{name}_latency_ms"]
+                    share = own.where(F.col("latency_ms") <= value).count() / own.count()
+                    assert abs(share - rank) <= ev.RANK_ERROR
+    nothing = ev.evaluation_cells(rows.where("isnan(latency_ms)"), latency_sketch=200)
+    assert ev.latency_quantiles(nothing, (), (0.5, 0.999)).first().asDict() == {
+        "p50_latency_ms": None, "p99_9_latency_ms": None
+    }
+    assert ev.metrics(cells, ["day"]).count() == 7

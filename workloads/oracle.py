@@ -271,6 +271,20 @@ def daily(condition: str) -> str:
     )
 
 
+def quantile_ranks(period: str) -> str:
+    """What a quantile is: at most its share of the rows lie below it, and its share up to it."""
+    names = {0.5: "p50", 0.95: "p95", 0.99: "p99"}
+    quantiles = ", ".join(f"quantile_disc(value, {rank}) AS {name}" for rank, name in names.items())
+    checks = ", ".join(
+        f"count(*) FILTER (value < {name}) <= {rank}e0 * count(*) "
+        f"AND {rank}e0 * count(*) <= count(*) FILTER (value <= {name}) AS {name}_latency_ms"
+        for rank, name in names.items()
+    )
+    return f"""WITH e AS (SELECT strftime(date_trunc('{period}', ts), '%Y-%m-%d') AS period, value FROM events),
+q AS (SELECT period, {quantiles} FROM e GROUP BY period)
+SELECT period, count(*) AS n, {checks} FROM e JOIN q USING (period) GROUP BY period"""
+
+
 def drift(condition: str) -> str:
     classes = {label: f"pred = '{label}'" for label in LABELS} | {"invalid": "pred IS NULL"}
     events = EVENTS.replace("AS day, ts,", "AS day, ts, user_id % 3 AS segment,")
@@ -577,6 +591,8 @@ UNION ALL SELECT event_type, 'run-'||event_id, 'experiment', event_type FROM eve
 FROM ({PARAMS}) UNION ALL
 SELECT experiment, run_id, 'metric', key, CAST(NULL AS VARCHAR), value FROM ({SCALARS})""",
     "daily_metrics": daily("true"),
+    "daily_latency_quantiles": quantile_ranks("day"),
+    "weekly_latency_quantiles": quantile_ranks("week"),
     "daily_drift": drift("true"),
     "streamed_drift": drift(CLOSED),
     "daily_prediction_shares": f"""WITH {EVENTS}, {scored("event_rows", keep="day,")}

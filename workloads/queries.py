@@ -833,6 +833,43 @@ def streamed_closed_days(spark, sf_dir):
     return _window_report(spark.read.parquet(path))
 
 
+def _rank_check(cells, rows, period):
+    """Per period: its rows, and whether each quantile's rank among them is within the error."""
+    ranks = (0.5, 0.95, 0.99)
+    quantiles = ev.latency_quantiles(cells, [period.alias("period")], ranks)
+    found = rows.join(quantiles, "period").groupBy("period")
+    share = lambda condition: F.avg(condition.cast("double"))
+    checks = []
+    for rank, name in zip(ranks, quantiles.columns[1:]):
+        below, at_most = share(F.col("value") < F.col(name)), share(F.col("value") <= F.col(name))
+        inside = (below - ev.RANK_ERROR <= rank) & (rank <= at_most + ev.RANK_ERROR)
+        checks.append(inside.alias(name))
+    return found.agg(F.count("*").alias("n"), *checks)
+
+
+def _sketched(events):
+    return windowed_cells(views.event_predictions(events), "ts", latency_sketch=ev.SKETCH_SIZE)
+
+
+@query
+def daily_latency_quantiles(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("period")
+    start = F.date_format("window.start", "yyyy-MM-dd")
+    return _rank_check(_sketched(events), events.select(day, "value"), start)
+
+
+@query
+def weekly_latency_quantiles(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events")
+    path, state = fresh_path(spark, "cells"), fresh_path(spark, "state")
+    query = start_live_monitor(_sketched(_stream(spark, sf_dir, "events")), path, state, availableNow=True)
+    query.awaitTermination()
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("period")
+    start = F.date_format(F.date_trunc("week", "window.start"), "yyyy-MM-dd")
+    return _rank_check(read_live_cells(spark, path), events.select(week, "value"), start)
+
+
 def _segments(events):
     segment = (F.col("user_id") % 3).alias("segment")
     return windowed_cells(views.event_predictions(events, segment), "ts", by=["segment"])
