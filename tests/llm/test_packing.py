@@ -2,6 +2,7 @@ import collections
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -75,6 +76,39 @@ def test_ids_of_odd_white_space(text):
     assert np.frombuffer(encode(text), "<u4").tolist() == whole(text)
 
 
+@pytest.fixture(scope="module")
+def vocabularies():
+    import public_tokenizers
+    import sentencepiece
+
+    piece = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    starts = np.array([piece.IdToPiece(i)[:1] == "\u2581" for i in range(piece.GetPieceSize())])
+    by_piece = tokens.word_encoder(lambda text: np.array(piece.encode(text[1:]), "<u4"), starts)
+    bpe = tokens.byte_bpe()
+    return (by_piece, piece.encode), (tokens.bpe_words(bpe), lambda w: bpe.encode(" " + w))
+
+
+WORD = st.text(st.sampled_from("ab1'\u00a0\u2028\u2581\u200bé漢"), min_size=1, max_size=6)
+
+
+@settings(deadline=None, max_examples=200)
+@given(words=st.lists(WORD, min_size=1, max_size=9))
+def test_words_together_have_the_ids_of_words_alone(vocabularies, words):
+    for together, alone in vocabularies:
+        for _ in range(2):  # the second time from memory
+            assert together(words) == [tokens.as_bytes(alone(w)) for w in words]
+
+
+def test_very_long_white_space_and_words(docs):
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, "a\u00a0" * 3 + "\u2003" * 500_000]
+    packed = packing.pack_documents(docs(enumerate(texts)), keep_ids=True)
+    got = collections.defaultdict(list)
+    for r in sorted(packed.collect(), key=lambda r: r["piece"]):
+        got[r["id"]] += r["ids"]
+    want = own_ids()
+    assert [got[i] for i in range(3)] == [[*want(t), 2] for t in texts]
+
+
 def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
     calls = []
