@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clamp_confidence, confidence_bin, round_exact
+from ..functions.exact import PARTS, exact_bin, exact_parts, exact_total, part_sums
+from ..functions.numeric import clamp_confidence, confidence_bin, is_finite, round_exact
 from ..functions.text import (
     has_unsupported_token,
     label_from_words,
@@ -33,8 +34,10 @@ LATENCY_UNIT = 10**9
 # than a DECIMAL sum. A part is below 2**21, so a cell has room for 2**42 rows, some
 # 4 * 10**12. Confidences need two parts, latencies three.
 _PART_BITS = 21
-# Latencies from here on (about 100 days), NaN and infinity do not fit the units.
+# Latencies from here on (about 100 days) do not fit the units: they add up exactly, too, but by
+# bins of their exponents, which take more parts.
 _LARGE_LATENCY = 9.0e9
+_LARGE_SUMS = tuple(f"latency_large_{i}" for i in range(PARTS))
 
 METRICS = (
     "accuracy",
@@ -116,8 +119,9 @@ def evaluation_cells(
     the job where its row carries a prediction.
 
     Columns: ``n``, ``flagged``, ``confidence_sum`` and ``confidence_sq_sum`` (units of
-    1e-12), ``latency_sum`` (units of 1e-9 ms), and ``latency_special``, the sum in ms of
-    the latencies too large for these units, NaN or infinite, if any. Cells are additive:
+    1e-12), ``latency_sum`` (units of 1e-9 ms), and ``latency_special``, the sum of NaN and
+    infinite latencies, if any. Rows whose latency is too large for the units have cells
+    of their own, a ``latency_bin`` each, with exact sums ``latency_large_<i>``. Cells are additive:
     cells of parts of a set add up to the cells of the set. With ``bins=0`` they have no
     bins, and what is derived from them does without reading confidences where it can.
 
@@ -141,13 +145,17 @@ def evaluation_cells(
         _units(c, CONFIDENCE_UNIT).alias("c_units"),
         _units(c * c, CONFIDENCE_UNIT).alias("c2_units"),
         _units(F.when(ordinary, latency).otherwise(0.0), LATENCY_UNIT).alias("ms_units"),
-        F.when(~ordinary, latency).alias("ms_special"),
+        F.when(~ordinary & is_finite(latency), latency).alias("ms_large"),
+        F.when(~is_finite(latency), latency).alias("ms_special"),
         *([F.when(~F.isnan(latency), latency).alias("ms")] if latency_sketch else []),
     )
+    staged = staged.withColumn(
+        "latency_bin", F.when(F.col("ms_large").isNotNull(), exact_bin(F.col("ms_large")))
+    )
     sketches = (
         [F.kll_sketch_agg_double("ms", latency_sketch).alias("latency_sketch")] if latency_sketch else []
     )
-    keys = [*names, "label", "prediction", "bin"]
+    keys = [*names, "label", "prediction", "bin", "latency_bin"]
     sums = staged.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.sum("flagged").alias("flagged"),
@@ -155,6 +163,7 @@ def evaluation_cells(
         *_parts(F.col("c2_units"), "confidence_sq_sum", 2),
         *_parts(F.col("ms_units"), "latency_sum", 3),
         F.sum("ms_special").alias("latency_special"),
+        *part_sums(exact_parts(F.col("ms_large"), F.col("latency_bin")), "latency_large"),
         *sketches,
     )
     return sums.select(
@@ -165,6 +174,7 @@ def evaluation_cells(
         _whole("confidence_sq_sum", 2, "decimal(28,0)"),
         _whole("latency_sum", 3, "decimal(38,0)"),
         "latency_special",
+        *_LARGE_SUMS,
         *(["latency_sketch"] if latency_sketch else []),
     )
 
@@ -177,6 +187,7 @@ CELL_SUMS = (
     "confidence_sq_sum",
     "latency_sum",
     "latency_special",
+    *_LARGE_SUMS,
     "latency_sketch",
 )
 
@@ -264,6 +275,10 @@ def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS)
     calibration error. ``unknown_gold`` counts rows whose gold label is outside the
     vocabulary; they are scored as wrong.
     """
+    large = F.struct(
+        F.col("latency_bin").alias("bin"),
+        *[F.col(name).alias(f"part_{i}") for i, name in enumerate(_LARGE_SUMS)],
+    )
     totals = cells.groupBy(*by).agg(
         _count("true", "examples"),
         _count(_CORRECT, "correct"),
@@ -273,11 +288,13 @@ def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS)
         F.expr(f"double(sum({_BRIER_UNITS})) / {4.0 * CONFIDENCE_UNIT}D").alias("brier"),
         F.expr(
             f"double(sum(latency_sum)) / {float(LATENCY_UNIT)}D + coalesce(sum(latency_special), 0D)"
-        ).alias("latency"),
+        ).alias("small_latency"),
+        F.collect_list(F.when(F.col("latency_bin").isNotNull(), large)).alias("large_latency"),
         *[F.expr(f"sum(IF(bin = {b}, {_GAP}, 0))").alias(f"gap_{b}") for b in range(bins)],
         *_label_counts(),
     )
-    scored = totals.withColumns(
+    latency = F.col("small_latency") + exact_total(F.col("large_latency"))
+    scored = totals.withColumn("latency", latency).withColumns(
         {
             f"{name}_{label}": _ratio(f"tp_{label}", f"{of}_{label}", name)
             for label in LABELS

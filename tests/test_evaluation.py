@@ -320,3 +320,21 @@ def test_latency_quantiles_of_merged_cells(spark):
         "p50_latency_ms": None, "p99_9_latency_ms": None
     }
     assert ev.metrics(cells, ["day"]).count() == 7
+
+
+def test_latencies_of_any_size_have_exact_sums(spark):
+    import math
+    import random
+
+    rng = random.Random(11)
+    values = [rng.choice((-1, 1)) * rng.random() * 10.0 ** rng.randint(10, 300) for _ in range(400)]
+    values += [1e300, -1e300, 1.5, 2.5, 9e9, 8.9e9]
+    df = frame(spark, [("positive", rng.choice(("positive", "buy")), 0.5, x) for x in values])
+    expected = (1.5 + 2.5 + 8.9e9 + math.fsum(x for x in values if abs(x) >= 9e9)) / len(values)
+    for partitions in (1, 7):
+        cells = ev.evaluation_cells(df.repartition(partitions))
+        assert ev.metrics(cells).first()["mean_latency_ms"] == expected
+        halves = cells.where("bin < 5").union(cells.where("bin >= 5"))
+        assert ev.metrics(halves).first()["mean_latency_ms"] == expected
+    special = frame(spark, [("positive", "positive", 0.5, x) for x in (math.inf, 1e300, 1.0)])
+    assert ev.metrics(ev.evaluation_cells(special)).first()["mean_latency_ms"] == math.inf

@@ -448,6 +448,9 @@ FROM answers GROUP BY conv_id""",
   {bin_of("c", 10)} AS bin, count(*) AS n, count(*) FILTER (WHERE flag) AS flagged,
   round({exact("c")}, 9) AS confidence_sum, round({exact("lat")}, 2) AS latency_sum
 FROM scored GROUP BY ALL""",
+    # The large values and their opposites leave nothing, in an exact sum.
+    "exact_price_sums": """SELECT l_returnflag,
+  round(CAST(sum(CAST(l_tax AS DECIMAL(28,14))) AS DOUBLE), 6) AS total FROM lineitem GROUP BY ALL""",
     "example_count": f"WITH {EVALUATED} SELECT count(*) AS examples FROM scored",
     "accuracy": metric("accuracy"),
     "macro_f1": metric("macro_f1"),

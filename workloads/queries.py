@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer import functions as fn
+from assayer.functions.exact import exact_sums
 from assayer.operators import bayes
 from assayer.operators import evaluation as ev
 from assayer.operators import experiments as ex
@@ -350,6 +351,16 @@ def evaluation_cells(spark, sf_dir):
     )
 
 
+@query
+def exact_price_sums(spark, sf_dir):
+    rows = views.table(spark, sf_dir, "lineitem")
+    wide = F.col("l_extendedprice") * F.pow(F.lit(2.0), (F.col("l_linenumber") - 4) * 100)
+    both = F.array(wide, F.col("l_tax"), -wide, F.lit(0.0))
+    return exact_sums(rows.select("l_returnflag", F.explode(both).alias("x")), "x", ["l_returnflag"]).select(
+        "l_returnflag", F.round("total", 6).alias("total")
+    )
+
+
 @query
 def example_count(spark, sf_dir):
     return ev.metrics(_cells(spark, sf_dir, bins=0), bins=0).select("examples")
