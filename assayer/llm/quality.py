@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .common import annotate
-from .tokens import byte_bpe, remembered
+from .tokens import bpe_words, byte_bpe, has_long_space, tokenizers_encoder, word_encoder
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
+#: Words that go to a vocabulary at once.
+WORDS_AT_ONCE = 5_000
 _SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\x0b\x0c\r"
 
@@ -65,13 +67,16 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     if n < 2:
         return 0
     codes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
-    rolled = np.zeros(n, np.uint64)
-    for j in range(window):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + n]
+    rolled, width, factor = codes, 1, 0x9E3779B97F4A7C15
+    while width < window:  # windows of twice the width from two of the width, overlapping at last
+        step = min(width, window - width)
+        rolled = rolled[:-step] * np.uint64(factor) + rolled[step:]
+        width, factor = width + step, factor * factor % 2**64
+    in_order = np.sort(rolled)
+    if not (in_order[1:] == in_order[:-1]).any():
+        return 0
     order = np.argsort(rolled)
     same = rolled[order[1:]] == rolled[order[:-1]]
-    if not same.any():
-        return 0
     # Equal windows have equal hashes; whether equal hashes are equal windows is looked up.
     suspects = np.unique(np.concatenate([order[1:][same], order[:-1][same]])).tolist()
     windows = {i: tuple(words[i : i + window]) for i in suspects}
@@ -112,7 +117,7 @@ def _broken(token: bytes) -> bool:
     return False
 
 
-def _vocabularies() -> list[tuple[Callable[[list[bytes]], list[bytes]], np.ndarray]]:
+def _vocabularies() -> list[tuple[Callable[[list[str]], list[bytes]], np.ndarray]]:
     """For each vocabulary: ids of words, and which ids are bytes of a broken character."""
     import public_tokenizers
     import sentencepiece
@@ -123,14 +128,18 @@ def _vocabularies() -> list[tuple[Callable[[list[bytes]], list[bytes]], np.ndarr
         model_file=public_tokenizers.path("piece_bpe_32k.model")
     )
     fallback = np.array([piece.IsByte(i) for i in range(piece.GetPieceSize())])
+    starts = np.array([piece.IdToPiece(i)[:1] == "\u2581" for i in range(piece.GetPieceSize())])
+    by_bpe, by_tokenizers = bpe_words(bpe), tokenizers_encoder()
 
-    def by_bpe(word: bytes) -> bytes:
-        return np.array(bpe.encode_ordinary(" " + word.decode("utf-8", "replace")), "<u4").tobytes()
-
-    def by_piece(word: bytes) -> bytes:
-        return np.array(piece.encode(word.decode("utf-8", "replace")), "<u4").tobytes()
+    def ids_of(words: list[str]) -> list[bytes]:
+        # Only other characters than those that part words can make a run of white space here.
+        if any(map(has_long_space, words)):
+            return [by_tokenizers(" " + word) for word in words]
+        return by_bpe(words)
 
-    return [(remembered(by_bpe), broken), (remembered(by_piece), fallback)]
+    # This vocabulary puts the first space itself.
+    by_piece = word_encoder(lambda text: np.array(piece.encode(text[1:]), "<u4"), starts)
+    return [(ids_of, broken), (by_piece, fallback)]
 
 
 def measured(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -158,9 +167,10 @@ def _measurer() -> Callable[[bytes], dict]:
             "n_repeat_words": repeated_words(words),
             "script": script_of(text),
         }
-        values = []
+        values, decoded = [], [word.decode("utf-8", "replace") for word in words]
         for ids_of, broken in vocabularies:
-            ids = np.frombuffer(b"".join(ids_of(words)), "<u4")
+            blocks = (decoded[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE))
+            ids = np.frombuffer(b"".join(b"".join(ids_of(block)) for block in blocks), "<u4")
             row.setdefault("n_tokens", len(ids))
             n = max(1, len(ids))
             values += [chars / n, float(broken[ids].sum()) / n, _entropy(ids)]
@@ -195,13 +205,13 @@ def _cell(level: int) -> tuple[Column, Column]:
     return group, F.col("size") if level < 2 else F.lit(ALL_SIZES)
 
 
-def bands(measures: DataFrame, coarser: bool = True) -> DataFrame:
+def bands(measures: DataFrame) -> DataFrame:
     """``level, group, size, <measure>_low, <measure>_high`` from all documents that pass the
     base rules; ``size`` is the number of tokens by powers of four, 32 at most. A document
     counts in its own size, in the near ones, and in all of its language and of its script.
     Bands of all sizes have no fences for entropy."""
     cells = []
-    for level in range(len(LEVELS) if coarser else 1):
+    for level in range(len(LEVELS)):
         group, size = _cell(level)
         for by in (-1, 0, 1) if LEVELS[level] == "near sizes" else (0,):
             key = (F.lit(level).alias("level"), group.alias("group"), (size + by).alias("size"))
@@ -235,13 +245,13 @@ def bands(measures: DataFrame, coarser: bool = True) -> DataFrame:
     )
 
 
-def _judged(measures: DataFrame, coarser: bool = True) -> DataFrame:
+def _judged(measures: DataFrame) -> DataFrame:
     """``measures`` with ``kept``, by the finest band that a document has. The bands have at
     most 18,000 groups of 35 sizes, of some 100 bytes each, and in practice a few hundred
     rows, so they are broadcast."""
-    found = written(bands(measures, coarser), "bands")
+    found = written(bands(measures), "bands")
     limits = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
-    judged, levels = measures, range(len(LEVELS) if coarser else 1)
+    judged, levels = measures, range(len(LEVELS))
     for level in levels:
         own = found.where(F.col("level") == level).select(
             F.col("group").alias("band_group"),
@@ -272,17 +282,15 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str | None = "lang",
-    coarser: bool = True,
 ) -> DataFrame:
-    """``id``, the counts and measures, ``base_failed`` and ``kept`` of each document;
-    ``coarser`` judges documents of small groups by coarser bands."""
+    """``id``, the counts and measures, ``base_failed`` and ``kept`` of each document."""
     texts = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         _language(docs, lang_col).alias("lang"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
     rows = _grouped(measured(texts, "text", ["id", "lang"]), F.col("lang"))
-    return _judged(written(rows, "quality"), coarser).drop("lang", "group", "size")
+    return _judged(written(rows, "quality")).drop("lang", "group", "size")
 
 
 def _language(docs: DataFrame, lang_col: str | None) -> Column:
@@ -294,7 +302,6 @@ def keep_good(
     docs: DataFrame,
     text_col: str = "text",
     lang_col: str | None = "lang",
-    coarser: bool = True,
 ) -> DataFrame:
     """The documents, all columns, that are kept. They are written once with their measures,
     so that a second reading needs no tokeniser and no join of texts."""
@@ -304,4 +311,4 @@ def keep_good(
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
     rows = _grouped(measured(whole, "text", ["document", "lang"]), F.col("lang"))
-    return _judged(written(rows, "quality"), coarser).where("kept").select("document.*")
+    return _judged(written(rows, "quality")).where("kept").select("document.*")

@@ -92,3 +92,9 @@ def test_small_groups_are_judged_by_coarser_bands(docs, prose):
     assert {r["doc_id"] for r in quality.keep_good(docs(rows)).collect()} == {
         i for i, k in kept.items() if k
     }
+
+
+def test_very_long_white_space_inside_a_word(docs):
+    text = "a " * 30 + "b" + "\u2003" * 500_000 + "c" + " " * 1_000_000 + "d"
+    row = quality.judge(docs([(1, text)])).first()
+    assert row["n_words"] == 32 and row["word_chars"] == 500_033
