@@ -62,6 +62,9 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+# Decimal references with leading zeros, and those beyond all characters.
+_ZEROS = re.compile(r"&#0+(?=[0-9])")
+_BEYOND = re.compile(r"&#[0-9]{8,};?")
 #: Class names that say what an element has or lacks, not what it is.
 _MODIFIER = re.compile(r"(?:has|have|no|not|with|without|hide|show)[-_]")
 
@@ -352,6 +355,14 @@ def containers(wrapper: list) -> list[str]:
     return sorted(known, key=lambda s: (not s.startswith("*"), -held[s], s)) + ["body"]
 
 
+def _decoded(text: str) -> str:
+    """The text with its character references decoded; numbers beyond all characters, however
+    long, give the replacement character."""
+    if "&#" in text:
+        text = _BEYOND.sub("\ufffd", _ZEROS.sub("&#", text))
+    return html.unescape(text)
+
+
 def main_text(page: str, roots: list[str]) -> str:
     """Text of all outermost main containers among the ``roots``, in page order, else of the
     body, else of the whole page, without noise; blocks and white space are parted by one
@@ -370,7 +381,7 @@ def main_text(page: str, roots: list[str]) -> str:
                 symbols = [symbol for _, symbol in walk.stack]
                 marked = any(s in known and s.startswith("*") for s in symbols)
                 open_now = tuple(i for i in above if i >= 0)
-                pieces.append((html.unescape(value), marked, "body" in symbols, open_now))
+                pieces.append((_decoded(value), marked, "body" in symbols, open_now))
                 if marked and value.strip():
                     wide.update(open_now)
             continue

@@ -102,3 +102,11 @@ def test_layouts_with_words_of_noise_keep_their_text():
     assert text_of(plain) == "x Long text"
     teasers = '<article>One</article><div class="related"><article>long teaser</article></div>'
     assert text_of(teasers) == "One"
+
+
+def test_references_of_any_length():
+    decoded = h._decoded
+    long = "9" * 5_000
+    assert decoded(f"a&#{long};b&#{long}c") == "a\ufffdb\ufffdc"
+    assert decoded("&#" + "0" * 5_000 + "65;&#65;&#x41;&#0;&#x" + "f" * 5_000 + ";") == "AAA\ufffd\ufffd"
+    assert decoded("&# &#; &amp;#65;") == "&# &#; &#65;"
