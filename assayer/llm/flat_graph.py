@@ -46,7 +46,7 @@ MOST_COMPONENTS = 1 << 22
 #: Centres of a higher cosine are not both kept.
 CENTRES_APART = 0.8
 #: Neighbours of a node in a shard's graph, candidates that are pruned at once, the width of the
-#: beam to begin with, and how many nodes of it are expanded in a step.
+#: beam to begin with, and how many nodes of it are expanded in a step (a quarter of a wide one).
 DEGREE = 24
 CANDIDATES = 64
 BEAM = 32
@@ -118,7 +118,7 @@ def beam_search(
             own = widths == width
             least = np.partition(real[own], n - width, axis=1)[:, n - width]
             frontier[own] = np.where(real[own] >= least[:, None], frontier[own], -np.inf)
-        step = min(STEP, n)
+        step = min(max(STEP, int(widths.max()) // 4), n)
         best = np.argpartition(frontier, n - step, axis=1)[:, n - step :]
         best = np.where(np.isneginf(np.take_along_axis(frontier, best, axis=1)), n, best)
         if (best == n).all():
