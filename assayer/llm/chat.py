@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Batches, arrow_schema, in_rows
@@ -84,6 +84,57 @@ def message_log(
     )
 
 
+def live_log(log: DataFrame, pieces: int = 8) -> DataFrame:
+    """A log of starts as a live chat would have written it, with the same final messages.
+
+    By a hash of the message, its text comes in deltas; or a draft is edited into its first half and
+    deltas follow; or a first answer is regenerated. Messages are numbered anew, so that starts
+    of the same message stay two; events come in no order.
+    """
+    own = Window.partitionBy("conv_id").orderBy("message", "seq", "kind", "role", "text")
+    text = F.coalesce("text", F.lit(""))
+    length = F.length("text")
+    each = F.greatest(F.ceil(length / pieces), F.lit(1)).cast("int")
+
+    def event(kind: str, text: Column, role: Column | None = None) -> Column:
+        role = F.lit(None).cast("string") if role is None else role
+        return F.struct(F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+
+    def deltas(first: int) -> Column:
+        places = F.sequence(F.lit(first), F.lit(pieces - 1))
+        return F.transform(
+            places, lambda i: event(DELTA, F.substring(F.col("text"), i * each + 1, each))
+        )
+
+    half = pieces // 2
+    nothing, way = F.lit(""), F.pmod(F.xxhash64("conv_id", "message", "text"), F.lit(3))
+    streamed = F.concat(F.array(event(START, nothing, F.col("role"))), deltas(0))
+    draft = F.concat(F.lit("draft: "), F.reverse("text"))
+    edited = F.concat(
+        F.array(
+            event(START, draft, F.col("role")),
+            event(DELTA, F.lit("!")),
+            event(EDIT, F.substring(F.col("text"), F.lit(1), half * each)),
+        ),
+        deltas(half),
+    )
+    again = F.concat(
+        F.array(
+            event(START, F.lit("Sorry"), F.col("role")),
+            event(DELTA, draft),
+            event(REGENERATE, nothing),
+        ),
+        deltas(0),
+    )
+    events = F.when(way == 0, streamed).when(way == 1, edited).otherwise(again)
+    starts = log.where(F.col("kind") == START).select(
+        "conv_id", F.row_number().over(own).cast("long").alias("message"), "role", text.alias("text")
+    )
+    return starts.select("conv_id", "message", F.posexplode(events).alias("seq", "event")).select(
+        "conv_id", "message", F.col("seq").cast("long").alias("seq"), "event.*"
+    )
+
+
 TURNS = "conv_id long, position long, role string, formatted string, loss_start long, loss_end long"
 
 

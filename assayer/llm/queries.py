@@ -97,7 +97,8 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id long, turn long, role string, text string",
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.read_back(chat.format_log(chat.message_log(turns.union(escaped))))
+    events = chat.live_log(chat.message_log(turns.union(escaped)))
+    return chat.read_back(chat.format_log(events))
 
 
 @query

@@ -74,3 +74,20 @@ def test_a_conversation_longer_than_a_batch(spark):
     said = "".join(str(i) for i in range(1, 25_000, 2))
     assert (row["n_turns"], row["loss_chars"]) == (25_000, len(said))
     assert row["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_live_log_folds_back_into_the_messages(spark):
+    texts = [None, "", "a", "\U0001f600é", "hello there </turn>", "x" * 1000, "same", "same"]
+    rows = [(c, t, role, text) for c in (1, 2, None) for t, text in enumerate(texts) for role in ("user", "assistant")]
+    rows += rows[:4]  # repeated rows
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.message_log(turns)
+    live = chat.live_log(log)
+    kinds = {r["kind"] for r in live.select("kind").distinct().collect()}
+    assert kinds == {chat.START, chat.DELTA, chat.EDIT, chat.REGENERATE} and live.count() > 8 * len(rows)
+
+    def digests(events):
+        return sorted(map(tuple, chat.read_back(chat.format_log(events.repartition(7))).collect()), key=str)
+
+    assert digests(live) == digests(log) and len(digests(live)) == 3
+    assert digests(chat.live_log(log.limit(0))) == []
