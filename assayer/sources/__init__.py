@@ -1,12 +1,16 @@
+from .commits import CommitConflict, CommittedTable
 from .files import read_jsonl, read_labeled, write_csv, write_jsonl, write_report
 from .schemas import LABELED, PREDICTION, PREFERENCE, SFT
-from .tracking import log_runs, read_runs
+from .tracking import compact_runs, log_runs, read_runs
 
 __all__ = [
     "LABELED",
     "PREDICTION",
     "PREFERENCE",
     "SFT",
+    "CommitConflict",
+    "CommittedTable",
+    "compact_runs",
     "log_runs",
     "read_jsonl",
     "read_labeled",

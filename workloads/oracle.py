@@ -590,9 +590,9 @@ SELECT * EXCLUDE (exact_accuracy_lift) FROM (
     "flattened_params": f"""SELECT run_id, key, value FROM ({PARAMS}
 UNION ALL SELECT event_type, 'run-'||event_id, 'experiment', event_type FROM events)""",
     "scalar_metrics": SCALARS,
-    "tracked_runs": f"""SELECT experiment, run_id, 'param' AS kind, key, value, CAST(NULL AS DOUBLE) AS number
+    **dict.fromkeys(("tracked_runs", "compacted_runs"), f"""SELECT experiment, run_id, 'param' AS kind, key, value, CAST(NULL AS DOUBLE) AS number
 FROM ({PARAMS}) UNION ALL
-SELECT experiment, run_id, 'metric', key, CAST(NULL AS VARCHAR), value FROM ({SCALARS})""",
+SELECT experiment, run_id, 'metric', key, CAST(NULL AS VARCHAR), value FROM ({SCALARS})"""),
     "daily_metrics": daily("true"),
     "daily_latency_quantiles": quantile_ranks("day"),
     "weekly_latency_quantiles": quantile_ranks("week"),
