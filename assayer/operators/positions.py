@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
+#: Blocks of a source whose offsets are broadcast, some 100 bytes each; more are joined as Spark
+#: plans it.
+_BROADCAST_BLOCKS = 1_000_000
+
 # monotonically_increasing_id() keeps the partition in the bits above this one and
 # the row's number within its partition in the bits below.
 _ROW_BITS = 33
@@ -85,3 +89,35 @@ def with_source_position(
     source = df if whole is None else whole
     offsets = written(_offsets(source.select(file, row), file, row), "offsets")
     return _with_offsets(df, offsets, file, row, name)
+
+
+def with_line_position(
+    df: DataFrame, file: str = "file", block: str = "block", line: str = "line", name: str = "position"
+) -> DataFrame:
+    """Add the 0-based position of rows that know their file, the block that they were read from,
+    and a number that grows by one from line to line of a block.
+
+    Files count in path order. The rows are written once as they come, which fixes their
+    blocks, and are neither sorted nor shuffled: a second pass over those three columns counts
+    the lines of each block, and a third adds the sum of the blocks before.
+    """
+    placed = written(df, "lines")
+    before = Window.orderBy(file, block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        placed.groupBy(file, block)
+        .agg(F.min(line).alias("__first"), (F.max(line) - F.min(line) + 1).alias("__n"))
+        .select(
+            F.col(file).alias("__file"),
+            F.col(block).alias("__block"),
+            (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__offset"),
+        )
+    )
+    offsets = written(blocks, "line-offsets")
+    if offsets.count() <= _BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    same = (F.col(file) == F.col("__file")) & (F.col(block) == F.col("__block"))
+    return (
+        placed.join(offsets, same)
+        .withColumn(name, F.col("__offset") + F.col(line))
+        .drop("__file", "__block", "__offset")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql.types import IntegralType
 from ..functions.labels import label_from_code, normalize_label, rejected_label, require_label
 from ..functions.text import coalesce_text, format_prompt
 from ..functions.vocabulary import EXAMPLE_ID_PREFIX, SOURCE_ID_PREFIX
-from .positions import with_position, with_source_position
+from .positions import with_line_position, with_position, with_source_position
 
 
 def text_candidates(df: DataFrame, text_field: str = "text") -> list[Column]:
@@ -125,7 +125,16 @@ def fill_missing_ids(
     df: DataFrame, order_by: list[str], prefix: str = EXAMPLE_ID_PREFIX
 ) -> DataFrame:
     """Give rows without an ``id`` one made of the prefix and their position."""
-    numbered = with_position(df, order_by)
+    return _with_default_ids(with_position(df, order_by), prefix)
+
+
+def fill_missing_line_ids(df: DataFrame, prefix: str = EXAMPLE_ID_PREFIX) -> DataFrame:
+    """``fill_missing_ids`` by the columns ``file``, ``block`` and ``line`` of JSON lines, whose
+    texts stay where they are."""
+    return _with_default_ids(with_line_position(df), prefix)
+
+
+def _with_default_ids(numbered: DataFrame, prefix: str) -> DataFrame:
     default = F.concat(F.lit(prefix), F.col("position"))
     return numbered.withColumn(
         "id", F.coalesce(F.col("id").cast("string"), default)

@@ -11,7 +11,7 @@ from ..functions.text import coalesce_text
 from ..functions.vocabulary import DEFAULT_SEED, DEFAULT_TEST_SIZE
 from ..operators.evaluation import label_distribution
 from ..operators.experiments import ablation_manifest
-from ..operators.records import fill_missing_ids, preference_pairs, text_candidates
+from ..operators.records import fill_missing_line_ids, preference_pairs, text_candidates
 from ..operators.scoring import ScorerFactory, score_records
 from ..operators.selection import first_rows
 from ..session import written
@@ -80,12 +80,13 @@ def score_file(
 ) -> None:
     """Prediction records of labeled JSON lines; of the first ``limit`` ones if given.
 
-    Records without an id get one from their place in the file. ``codes`` says that labels
+    Records without an id get one from their place in the file, for which no text is moved.
+    ``codes`` says that labels
     are integers.
     """
     schema = _input_schema("text", "label", codes)
     rows = read_jsonl(spark, input_path, schema, source_order=True)
-    rows = fill_missing_ids(first_rows(rows, JSONL_ORDER, limit), JSONL_ORDER)
+    rows = fill_missing_line_ids(first_rows(rows, JSONL_ORDER, limit))
     write_jsonl(score_records(rows, factory), output_path)
 
 

@@ -115,3 +115,29 @@ def test_source_numbering_follows_files(spark, tmp_path):
     kept = rec.number_source_records(some, whole=df).collect()
     assert len(kept) == some.count()
     assert all(r["id"] == expected[r["sentence"]] for r in kept)
+
+
+def test_lines_of_many_blocks_are_numbered_without_moving_texts(spark, tmp_path):
+    from assayer.operators.positions import with_line_position
+    from assayer.sources import read_jsonl
+
+    n = 0
+    for part in ("b", "a", "c"):  # the second is the first by its path
+        lines = [f'{{"id": "{part}{i}", "text": "{"x" * (i % 97)}"}}' for i in range(400)]
+        lines.insert(100, "")  # a blank line is no record
+        (tmp_path / f"{part}.json").write_text("\n".join(lines) + "\n")
+        n += 400
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        rows = read_jsonl(spark, str(tmp_path), "id STRING, text STRING", source_order=True)
+        assert rows.select("file", "block").distinct().count() > 10
+        numbered = with_line_position(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    found = {r["position"]: r["id"] for r in numbered.collect()}
+    assert found == dict(enumerate(f"{part}{i}" for part in "abc" for i in range(400))) and len(found) == n
+    empty = read_jsonl(spark, str(tmp_path / "c.json"), "id STRING", source_order=True).where("id is null")
+    assert with_line_position(empty).count() == 0

@@ -577,6 +577,8 @@ FROM rule_texts""",
     "rounded_large_metrics": """SELECT l_orderkey, l_linenumber,
   CAST(round_even(CAST(l_orderkey * 1000 + 131072 AS DECIMAL(30,10))
     + CAST(l_quantity AS DECIMAL(30,10)) / 64, 2) AS DOUBLE) AS two FROM lineitem""",
+    "numbered_lines": """SELECT doc_id, length(text) AS n_chars,
+  row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents""",
     "evaluation_report": f"""WITH {EVALUATED}, {BASELINE}, {scored("baseline", "scored_base")},
 {bundle("scored", "m")}, {bundle("scored_base", "b")}, counts AS (SELECT
   {", ".join(f"count(*) FILTER (WHERE gold = '{g}' AND pred = '{p}') AS {g}_{p}" for g in LABELS for p in LABELS)},

@@ -16,6 +16,7 @@ from assayer.operators import records as rec
 from assayer.operators import requests as req
 from assayer.operators import scoring as sc
 from assayer.operators import selection as sel
+from assayer.operators.positions import with_line_position
 from assayer.plans import (
     build_dataset,
     evaluate,
@@ -704,6 +705,15 @@ def jsonl_round_trip(spark, sf_dir):
     return read_jsonl(spark, path, LABELED)
 
 
+@query
+def numbered_lines(spark, sf_dir):
+    path = fresh_path(spark, "lines")
+    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    write_jsonl(documents.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id"), path)
+    rows = read_jsonl(spark, path, "doc_id BIGINT, text STRING", source_order=True)
+    return with_line_position(rows).select("doc_id", F.length("text").cast("bigint").alias("n_chars"), "position")
+
+
 @query
 def evaluation_report(spark, sf_dir):
     path = fresh_path(spark, "report")
