@@ -21,8 +21,6 @@ from ..functions.text import (
     has_unsupported_token,
     label_from_words,
     label_words,
-    parse_prediction,
-    unsupported_flag,
 )
 from ..functions.vocabulary import DEFAULT_BINS, LABELS, LATENCY_DIGITS, METRIC_DIGITS
 
@@ -149,8 +147,10 @@ def evaluation_cells(
         F.when(~is_finite(latency), latency).alias("ms_special"),
         *([F.when(~F.isnan(latency), latency).alias("ms")] if latency_sketch else []),
     )
-    staged = staged.withColumn(
-        "latency_bin", F.when(F.col("ms_large").isNotNull(), exact_bin(F.col("ms_large")))
+    large = F.col("ms_large")
+    staged = staged.withColumn("latency_bin", F.when(large.isNotNull(), exact_bin(large))).withColumn(
+        # One column that is null for nearly all rows: the digits cost these nothing.
+        "ms_parts", F.when(large.isNotNull(), F.array(*exact_parts(large, F.col("latency_bin"))))
     )
     sketches = (
         [F.kll_sketch_agg_double("ms", latency_sketch).alias("latency_sketch")] if latency_sketch else []
@@ -163,7 +163,7 @@ def evaluation_cells(
         *_parts(F.col("c2_units"), "confidence_sq_sum", 2),
         *_parts(F.col("ms_units"), "latency_sum", 3),
         F.sum("ms_special").alias("latency_special"),
-        *part_sums(exact_parts(F.col("ms_large"), F.col("latency_bin")), "latency_large"),
+        *part_sums([F.get("ms_parts", F.lit(i)) for i in range(PARTS)], "latency_large"),
         *sketches,
     )
     return sums.select(
@@ -468,8 +468,17 @@ def dominant_confusions(
 
 def failure_examples(df: DataFrame, order_by: str = "id", n: int | None = None) -> DataFrame:
     """Input rows whose prediction is unparseable or flagged; the first ``n`` if given."""
-    raw = F.col("prediction")
-    failed = df.where(unsupported_flag(raw)).withColumn("invalid", parse_prediction(raw).isNull())
+    names = df.columns
+    low, label = F.col("__low"), F.col("__label")
+    staged = (
+        df.withColumn("__low", F.lower(F.col("prediction").cast("string")))
+        .withColumn("__words", label_words(low))
+        .withColumn("__label", label_from_words(low, F.col("__words")))
+    )
+    # A filter would be pushed below these projections and parse each text again; a generator of
+    # one row or none stays above.
+    bad = label.isNull() | has_unsupported_token(low)
+    failed = staged.select(*names, F.explode(F.when(bad, F.array(label.isNull()))).alias("invalid"))
     return failed if n is None else failed.orderBy(order_by).limit(n)
 
 
