@@ -315,36 +315,94 @@ def quota_sample(
     quotas: Mapping[str, int],
     id_col: str = "id",
     seed: int = DEFAULT_SEED,
+    short: str = "fewer",
 ) -> DataFrame:
-    """The first rows of each group in a seeded order: as many as its quota, or all it has.
+    """The first rows of each group in a seeded order: as many as its quota.
 
-    One pass counts all groups by ranges of the hash; the result is a filter per group.
+    A group with fewer rows gives all it has (``short="fewer"``), is an error (``"error"``), or
+    is drawn from again (``"repeat"``): each row equally often, and the first rows of the order
+    once more. A group without rows cannot be drawn from and is an error then, too.
+
+    However many groups there are, one pass counts them all by ranges of the hash, and one filter
+    by a row per quota, which is broadcast, keeps what lies before each group's last range. Only
+    the rows of those ranges are ordered, some 4,096th of a group, if ids are not repeated.
     """
-    prefix = F.substring(permutation_hash(id_col, seed), 1, _HASH_DIGITS)
-    order = _Order.by(df, _HexCode(prefix, *_HASH_CODES))
-    low, high = _HASH_CODES
-    width = -(-(high - low + 1) // _RANGES)
-    counts = {value: [0] * _RANGES for value in quotas}
-    found = (
-        df.where(F.col(column).isin(*quotas))
-        .select(F.col(column).alias("group"), order.code.column.alias("code"))
-        .groupBy("group", order.code.range_of("code", low, width).alias("range"))
-        .count()
-        .collect()
-    )
-    for row in found:
-        counts[row["group"]][order.code.range_number(row["range"], low, width)] = row["count"]
-    kept = df.limit(0)
-    for value, n in quotas.items():
-        rows = df.where(F.col(column) == F.lit(value))
-        if _checked_cap(n) >= sum(counts[value]):
-            kept = kept.union(rows)
-        elif n:
-            threshold = _threshold(rows, order, (width, counts[value]), n)
-            kept = kept.union(_first(rows, order, threshold))
+    if short not in ("fewer", "error", "repeat"):
+        raise ValueError(f"unknown way {short!r} with a short group")
+    wanted = [(value, _checked_cap(n)) for value, n in quotas.items() if n]
+    if not wanted:
+        return df.limit(0)
+    kind = df.schema[column].dataType.simpleString()
+    spark = df.sparkSession
+    marks = _quota_marks(df, column, wanted, kind, id_col, seed, short)
+    named = spark.createDataFrame(marks, f"__group {kind}, __full long, __last string, __rest long")
+    # A row per quota, and quotas are given by the caller.
+    own = F.col(column) == F.col("__group")
+    keyed = df.withColumn("__hash", permutation_hash(id_col, seed)).join(F.broadcast(named), own)
+    prefix = F.substring("__hash", 1, _QUOTA_DIGITS)
+    times = F.col("__full") + F.coalesce(prefix < F.col("__last"), F.lit(False)).cast("long")
+    whole = keyed.where(times > 0)
+    if short == "repeat":
+        whole = whole.withColumn("__time", F.explode(F.sequence(F.lit(1), times)))
+    kept = whole.select(*df.columns)
+    if any(rest for *_, rest in marks):
+        edge = written(
+            keyed.where(prefix == F.col("__last")).withColumns(
+                {"__content": _content_code(df), "__copy": F.monotonically_increasing_id()}
+            ),
+            "quota-edges",
+        )
+        placed = with_position(edge, ["__group", "__hash", "__content", "__copy"], "__at")
+        first = placed.groupBy(F.col("__group").alias("__own")).agg(F.min("__at").alias("__first"))
+        placed = placed.join(F.broadcast(first), F.col("__group") == F.col("__own"))
+        inside = F.col("__at") - F.col("__first") < F.col("__rest")
+        kept = kept.union(placed.where(inside).select(*df.columns))
     return kept
 
 
+#: Hex digits of the hash that make a range.
+_QUOTA_DIGITS = 3
+
+
+def _quota_marks(
+    df: DataFrame, column: str, wanted: list[tuple], kind: str, id_col: str, seed: int, short: str
+) -> list[tuple]:
+    """Per group: how often all its rows are taken, the range in which the rest ends, and how many
+    rows of that range belong to it."""
+    quotas = df.sparkSession.createDataFrame(wanted, f"__group {kind}, __n long")
+    prefix = F.substring(permutation_hash(id_col, seed), 1, _QUOTA_DIGITS)
+    counts = (
+        df.select(F.col(column).alias("__group"), prefix.alias("__range"))
+        .join(F.broadcast(quotas), "__group")
+        .groupBy("__group", "__n", "__range")
+        .agg(F.count("*").alias("__count"))
+    )
+    group = Window.partitionBy("__group")  # at most a row per range
+    so_far = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counts.select(
+        "*", F.sum("__count").over(group).alias("__all"), F.sum("__count").over(so_far).alias("__to")
+    )
+    full = F.expr("__n DIV __all") if short == "repeat" else (F.col("__n") >= F.col("__all")).cast("long")
+    rest = F.when((F.lit(short) == "repeat") | (full == 0), F.col("__n") - full * F.col("__all"))
+    before = F.col("__to") - F.col("__count")
+    ends = summed.withColumns({"__full": full, "__left": F.coalesce(rest, F.lit(0))}).groupBy("__group").agg(
+        F.max("__all").alias("all"),
+        F.max("__full").alias("full"),
+        F.max(F.when((F.col("__left") > before) & (F.col("__left") <= F.col("__to")),
+                     F.struct("__range", (F.col("__left") - before).alias("rest")))).alias("end"),
+    )
+    found = {row["__group"]: row for row in ends.collect()}  # a row per quota
+    marks = []
+    for value, n in wanted:
+        row = found.get(value)
+        if short != "fewer" and (row is None or (short == "error" and row["all"] < n)):
+            raise ValueError(f"{value!r} has {row['all'] if row else 0} of the {n} rows asked for")
+        if row is not None:
+            end = row["end"]
+            marks.append((value, row["full"], end["__range"] if end else None, end["rest"] if end else 0))
+    return marks
+
+
 def weighted_mixture(
     df: DataFrame,
     column: str,
@@ -352,10 +410,13 @@ def weighted_mixture(
     n: int,
     id_col: str = "id",
     seed: int = DEFAULT_SEED,
+    short: str = "error",
 ) -> DataFrame:
     """``n`` rows whose sources in ``column`` have shares by weight.
 
-    What is left after rounding down goes to the largest remainders, in the order given.
+    What is left after rounding down goes to the largest remainders, in the order given. A
+    source with too few rows is an error, unless ``short`` says what else to do, see
+    ``quota_sample``; with ``"repeat"`` there are always ``n`` rows in the shares asked for.
     """
     if not weights or min(weights.values()) < 0 or not sum(weights.values()):
         raise ValueError("weights must not be negative, nor all zero")
@@ -365,7 +426,7 @@ def weighted_mixture(
     by_rest = sorted(shares, key=lambda source: quotas[source] - shares[source])
     for source in by_rest[: n - sum(quotas.values())]:
         quotas[source] += 1
-    return quota_sample(df, column, quotas, id_col, seed)
+    return quota_sample(df, column, quotas, id_col, seed, short)
 
 
 def balanced_sample(

@@ -150,3 +150,39 @@ def test_quotas(spark, narrow):
     assert sel.quota_sample(df, "kind", {"rare": 99, "none": 5, "often": 0}).count() == 40
     with pytest.raises(ValueError):
         sel.weighted_mixture(df, "kind", {"rare": 0}, 10)
+
+
+def test_short_sources_are_errors_or_drawn_from_again(spark):
+    df = spark.range(400).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'rare' ELSE 'often' END AS kind")
+    first = {k: in_order([i for i in range(400) if (i % 10 == 0) == (k == "rare")]) for k in ("rare", "often")}
+    with pytest.raises(ValueError, match="'rare' has 40 of the 50 rows"):
+        sel.weighted_mixture(df, "kind", {"rare": 1, "often": 1}, 100)
+    with pytest.raises(ValueError, match="'none' has 0 of the 1 rows"):
+        sel.quota_sample(df, "kind", {"none": 1}, short="repeat")
+    found = sel.weighted_mixture(df, "kind", {"rare": 1, "often": 1}, 200, short="repeat").collect()
+    assert len(found) == 200
+    times = {i: sum(r["id"] == i for r in found) for i in first["rare"]}
+    assert [times[i] for i in first["rare"]] == [3] * 20 + [2] * 20
+    assert {r["id"] for r in found if r["kind"] == "often"} == set(first["often"][:100])
+    assert sel.quota_sample(df, "kind", {"rare": 80}, short="repeat").count() == 80
+
+
+def test_quotas_of_hot_ids_and_copies(spark):
+    rows = [(7, "a", i % 5) for i in range(300)] + [(i, "a", 0) for i in range(100, 400)]
+    df = spark.createDataFrame(rows, "id long, kind string, x int").repartition(5)
+    for n in (1, 150, 299, 450, 599, 600, 700):
+        found = sel.quota_sample(df, "kind", {"a": n}).collect()
+        assert len(found) == min(n, 600)
+        copies = sum(r["id"] == 7 for r in found)
+        assert copies in (0, 300) or 0 < copies < 300 and len({r["id"] for r in found}) == n - copies + 1
+
+
+def test_a_thousand_sources_are_read_in_a_few_scans(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).selectExpr("id", "concat('s', id % 1000) AS kind").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = sel.quota_sample(df, "kind", {f"s{i}": i % 12 for i in range(1000)})
+    assert found.groupBy("kind").count().where("count > 11").isEmpty()
+    assert found.count() == sum(i % 12 for i in range(1000))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(str(tmp_path)) <= 2
