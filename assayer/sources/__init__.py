@@ -1,5 +1,13 @@
 from .commits import CommitConflict, CommittedTable
-from .files import read_jsonl, read_labeled, write_csv, write_jsonl, write_report
+from .files import (
+    broken_files,
+    read_jsonl,
+    read_labeled,
+    read_verified,
+    write_csv,
+    write_jsonl,
+    write_report,
+)
 from .schemas import LABELED, PREDICTION, PREFERENCE, SFT
 from .tracking import compact_runs, log_runs, read_runs
 
@@ -10,11 +18,13 @@ __all__ = [
     "SFT",
     "CommitConflict",
     "CommittedTable",
+    "broken_files",
     "compact_runs",
     "log_runs",
     "read_jsonl",
     "read_labeled",
     "read_runs",
+    "read_verified",
     "write_csv",
     "write_jsonl",
     "write_report",

@@ -1,6 +1,9 @@
 import json
+import re
+from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from assayer.plans import build_dataset, write_dataset
 from assayer.sources import (
@@ -76,3 +79,57 @@ def test_dataset_files(spark, tmp_path):
     assert all(r["chosen"] != r["rejected"] for r in read["preferences"])
     line = next((tmp_path / "data" / "train").glob("part-*")).read_text().splitlines()[0]
     assert list(json.loads(line)) == ["id", "text", "label"]
+
+
+def table_of_files(spark, path):
+    """Five files in three folders, of the rows 0 to 4,999 in order."""
+    for i, name in enumerate(("k=a b/a", "k=a b/b", "k=c/c", "k=c/d+", "k=e/z")):
+        rows = spark.range(1000 * i, 1000 * i + 1000).selectExpr(
+            "concat('sentence ', id, repeat(md5(string(id)), 20)) AS sentence", "int(id % 3) AS label"
+        )
+        rows.coalesce(1).write.mode("overwrite").option("parquet.block.size", 50_000).parquet(f"{path}-one")
+        (one,) = Path(f"{path}-one").glob("part-*.parquet")
+        to = Path(path) / f"{name}.parquet"
+        to.parent.mkdir(parents=True, exist_ok=True)
+        to.write_bytes(one.read_bytes())
+
+
+def test_broken_files_come_from_the_mirror(spark, tmp_path, caplog):
+    from assayer.sources import broken_files, read_verified
+
+    primary, mirror = tmp_path / "primary", tmp_path / "mirror"
+    table_of_files(spark, str(primary))
+    table_of_files(spark, str(mirror))
+
+    def numbers(df):
+        rows = df.orderBy("file", "row").collect()
+        return [int(re.match(r"sentence (\d+?)[0-9a-f]{640}$", r["sentence"])[1]) for r in rows], rows
+
+    found, whole = numbers(read_verified(spark, str(primary), str(mirror)))
+    assert found == list(range(5000)) and not caplog.records
+    cut = primary / "k=a b" / "b.parquet"  # its end, with the footer, is missing
+    cut.write_bytes(cut.read_bytes()[: cut.stat().st_size // 2])
+    spoiled = primary / "k=c" / "d+.parquet"  # a page in the middle is not what it was
+    data = bytearray(spoiled.read_bytes())
+    middle = len(data) // 2
+    data[middle - 20_000 : middle + 20_000] = b"\xff" * 40_000
+    spoiled.write_bytes(data)
+    (primary / "_SUCCESS").write_bytes(b"")
+    names = ["k=a b/b.parquet", "k=c/d+.parquet"]
+    assert broken_files(spark, str(primary), ["sentence", "label"]) == names
+    found, rows = numbers(read_verified(spark, str(primary), str(mirror)))
+    assert found == list(range(5000)) and rows == whole
+    assert [name in r.getMessage() for name, r in zip(names, caplog.records)] == [True, True]
+    (mirror / "k=a b" / "b.parquet").unlink()
+    with pytest.raises(AnalysisException):
+        read_verified(spark, str(primary), str(mirror))
+
+
+def test_a_table_without_any_readable_file(spark, tmp_path):
+    from assayer.sources import read_verified
+
+    table_of_files(spark, str(tmp_path / "mirror"))
+    for name in ("k=a b/a", "k=e/z"):
+        (tmp_path / "primary" / name).parent.mkdir(parents=True)
+        (tmp_path / "primary" / f"{name}.parquet").write_bytes(b"PAR1 no table")
+    assert read_verified(spark, str(tmp_path / "primary"), str(tmp_path / "mirror")).count() == 2000

@@ -589,6 +589,8 @@ SELECT * EXCLUDE (exact_accuracy_lift) FROM (
     "ablation_grid": GRID,
     "manifest_csv": GRID,
     "mirrored_source": "SELECT text, lang, doc_id FROM documents",
+    "verified_source": """SELECT text, lang, row_number() OVER (ORDER BY doc_id) - 1 AS position
+FROM documents""",
     "flattened_params": f"""SELECT run_id, key, value FROM ({PARAMS}
 UNION ALL SELECT event_type, 'run-'||event_id, 'experiment', event_type FROM events)""",
     "scalar_metrics": SCALARS,

@@ -16,7 +16,7 @@ from assayer.operators import records as rec
 from assayer.operators import requests as req
 from assayer.operators import scoring as sc
 from assayer.operators import selection as sel
-from assayer.operators.positions import with_line_position
+from assayer.operators.positions import with_line_position, with_source_position
 from assayer.plans import (
     build_dataset,
     evaluate,
@@ -33,6 +33,7 @@ from assayer.sources import (
     read_jsonl,
     read_labeled,
     read_runs,
+    read_verified,
     write_csv,
     write_jsonl,
     write_report,
@@ -758,6 +759,26 @@ def mirrored_source(spark, sf_dir):
     return rows.select("text", "lang", F.col("row").alias("doc_id"))
 
 
+@query
+def verified_source(spark, sf_dir):
+    primary, mirror = fresh_path(spark, "primary"), fresh_path(spark, "mirror")
+    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(mirror)
+    # The primary table is the same, but for the end of a file that is missing.
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files = [jvm.org.apache.hadoop.fs.Path(p) for p in (mirror, primary)]
+    fs = files[0].getFileSystem(conf)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, files[0], fs, files[1], False, conf)
+    names = [s.getPath() for s in fs.listStatus(files[0]) if s.getPath().getName().startswith("part-")]
+    cut = sorted(names, key=str)[1]
+    source, target = fs.open(cut), fs.create(jvm.org.apache.hadoop.fs.Path(files[1], cut.getName()), True)
+    jvm.org.apache.commons.io.IOUtils.copyLarge(source, target, 0, fs.getFileStatus(cut).getLen() // 2)
+    source.close()
+    target.close()
+    rows = with_source_position(read_verified(spark, primary, mirror, "text", "lang"))
+    return rows.select("text", "lang", "position")
+
+
 @query
 def flattened_params(spark, sf_dir):
     return ex.flatten_params(views.event_runs(spark, sf_dir), ["run_id"])
