@@ -24,10 +24,44 @@ ScorerFactory = Callable[[], Scorer]
 PREDICTION_COLUMNS = ("id", "label", "prediction", "confidence", "latency_ms")
 
 
+#: Characters that a scorer gets at once, each text counted as long as the longest: what a
+#: model pads them to. A longer text comes alone.
+BATCH_CHARS = 1 << 22
+
+
+def length_batcher() -> Callable[[Sequence[int], int], list[list[int]]]:
+    """A function that deals places of texts, by their lengths, into batches of about equal
+    lengths, each within a budget or of one text.
+
+    Made inside a function, so that Spark ships it by value.
+    """
+
+    def deal(lengths: Sequence[int], budget: int) -> list[list[int]]:
+        batches: list[list[int]] = []
+        for place in sorted(range(len(lengths)), key=lengths.__getitem__):
+            # In ascending order the newest text is the longest of its batch.
+            if batches and (len(batches[-1]) + 1) * lengths[place] <= budget:
+                batches[-1].append(place)
+            else:
+                batches.append([place])
+        return batches
+
+    return deal
+
+
 def _complete(
-    df: DataFrame, factory: ScorerFactory, input_col: str, partitions: int | None
+    df: DataFrame,
+    factory: ScorerFactory,
+    input_col: str,
+    partitions: int | None,
+    batch_chars: int = BATCH_CHARS,
 ) -> DataFrame:
-    """Replace ``input_col`` by the scorer's completion, confidence and latency."""
+    """Replace ``input_col`` by the scorer's completion, confidence and latency.
+
+    The rows that Spark hands over at once are scored in batches by length; they come back in
+    the order that they had.
+    """
+    deal = length_batcher()
     if partitions:
         df = df.repartition(partitions)
     kept = [c for c in df.columns if c != input_col]
@@ -41,15 +75,19 @@ def _complete(
 
         scorer = factory()
         for batch in batches:
-            started = perf_counter()
-            pairs = list(scorer(batch[input_col].tolist()))
-            elapsed_ms = (perf_counter() - started) * 1000
-            if len(pairs) != len(batch):
-                raise ValueError(f"scorer returned {len(pairs)} results for {len(batch)} texts")
+            texts = batch[input_col].tolist()
+            found = [None] * len(texts)
+            for places in deal([len(text or "") for text in texts], batch_chars):
+                started = perf_counter()
+                pairs = list(scorer([texts[place] for place in places]))
+                elapsed_ms = (perf_counter() - started) * 1000
+                if len(pairs) != len(places):
+                    raise ValueError(f"scorer returned {len(pairs)} results for {len(places)} texts")
+                for place, (completion, confidence) in zip(places, pairs):
+                    found[place] = completion, float(confidence), round(elapsed_ms / len(places), 2)
             out = batch[kept].copy()
-            out["completion"] = [completion for completion, _ in pairs]
-            out["confidence"] = [float(confidence) for _, confidence in pairs]
-            out["latency_ms"] = round(elapsed_ms / max(len(batch), 1), 2)
+            for i, name in enumerate(("completion", "confidence", "latency_ms")):
+                out[name] = [row[i] for row in found]
             yield out
 
     return df.mapInPandas(run, schema)
@@ -61,6 +99,7 @@ def score_records(
     normalize_gold: bool = True,
     prompts: bool = True,
     partitions: int | None = None,
+    batch_chars: int = BATCH_CHARS,
 ) -> DataFrame:
     """``(id, label, prediction, confidence, latency_ms)`` for labeled rows.
 
@@ -68,7 +107,8 @@ def score_records(
     label checks and parsing stay in Spark; only the scorer itself runs in Python.
     Rows with blank text are scored too. Without ``normalize_gold`` the gold label
     passes through unchanged. ``partitions`` spreads the rows evenly over that many
-    tasks first, for models that cost more than moving the texts.
+    tasks first, for models that cost more than moving the texts. The scorer gets texts of about
+    equal lengths, ``batch_chars`` at a time.
     """
     text = coalesce_text(*text_candidates(df))
     label = F.col("label").cast("string")
@@ -84,6 +124,7 @@ def score_records(
         factory,
         "input",
         partitions,
+        batch_chars,
     )
     prediction = parse_or_raw(F.col("completion")).alias("prediction")
     return scored.select("id", "label", prediction, "confidence", "latency_ms")
@@ -97,6 +138,7 @@ def service_predictions(
     keep: Sequence[str] = (),
     prompts: bool = True,
     partitions: int | None = None,
+    batch_chars: int = BATCH_CHARS,
 ) -> DataFrame:
     """``keep`` plus ``(label, raw, confidence, latency_ms, backend, model)`` per text.
 
@@ -108,6 +150,7 @@ def service_predictions(
         factory,
         "input",
         partitions,
+        batch_chars,
     )
     return scored.select(
         *keep,

@@ -21,6 +21,7 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Texts may be long: keep the batches that go to Python scorers small.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

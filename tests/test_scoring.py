@@ -138,3 +138,33 @@ def test_classifier_chain(spark):
     row = evaluate(scored, base).first()
     assert row["accuracy"] == 1.0 and row["relative_accuracy_lift"] == 2.0003
     assert 0.34 < scored.agg(F.min("confidence")).first()[0] <= 1.0
+
+
+def sized_scorer():
+    def score(texts):
+        cost = len(texts) * max(map(len, texts))
+        return [(f"positive {len(t)}", float(cost if len(texts) > 1 else 0)) for t in texts]
+
+    return score
+
+
+def test_batches_by_length_stay_in_the_budget(spark):
+    rows = spark.range(3_000).selectExpr(
+        "string(id) AS id",
+        "IF(id = 7, repeat('x', 50000000), repeat('x', int(pow(id % 50, 2)))) AS text", "'neutral' AS label",
+    )
+    scored = sc.score_records(rows.repartition(3), sized_scorer, prompts=False, batch_chars=10_000)
+    assert scored.agg(F.max("confidence")).first()[0] <= 10_000  # of batches, by the padded size
+    found = {r["id"]: r["prediction"] for r in scored.collect()}
+    want = {str(i): 50_000_000 if i == 7 else (i % 50) ** 2 for i in range(3_000)}
+    assert found == {i: "positive" for i in want}
+    parts = sc.service_predictions(rows.where("id != 7"), sized_scorer, "b", "m", ["id"], False, None, 500)
+    assert {r["id"]: int(r["raw"].split()[1]) for r in parts.collect()} == {
+        i: n for i, n in want.items() if i != "7"
+    }
+
+
+def test_length_batches():
+    deal = sc.length_batcher()
+    assert deal([5, 1, 1, 9, 2], 6) == [[1, 2, 4], [0], [3]]
+    assert deal([], 5) == [] and deal([0, 0, 7], 5) == [[0, 1], [2]]
