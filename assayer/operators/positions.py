@@ -45,21 +45,24 @@ def with_position(
 ) -> DataFrame:
     """Add the 0-based position of each row in ``order_by`` order, which must be unique.
 
-    The rows are range-partitioned and sorted in parallel and written once with their
-    partition and their place in it; a second pass over that one narrow column counts
-    the rows per partition. ``partitions`` defaults to ``spark.sql.shuffle.partitions``.
+    The rows are range-partitioned and sorted in parallel and written once, see
+    ``number_partitions``. ``partitions`` defaults to ``spark.sql.shuffle.partitions``.
     """
     ranged = (
         df.repartitionByRange(partitions, *order_by)
         if partitions
         else df.repartitionByRange(*order_by)
     )
-    placed = written(
-        ranged.sortWithinPartitions(*order_by).withColumn(
-            "__place", F.monotonically_increasing_id()
-        ),
-        "placed",
-    )
+    return number_partitions(ranged.sortWithinPartitions(*order_by), name)
+
+
+def number_partitions(df: DataFrame, name: str = "position") -> DataFrame:
+    """Add the 0-based position of each row, partition after partition, as the rows stand in them.
+
+    The rows are written once with their partition and their place in it; a second pass over
+    that one narrow column counts the rows per partition.
+    """
+    placed = written(df.withColumn("__place", F.monotonically_increasing_id()), "placed")
     split = placed.withColumns(
         {
             "__part": F.shiftright("__place", _ROW_BITS),

@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegralType
 
 from ..functions.vocabulary import DEFAULT_SEED, DEFAULT_TEST_SIZE
 from ..session import written
-from .positions import with_position
+from .positions import number_partitions, with_position
 
 _RANGES = 4096
 # A range with at most this many rows is sorted as it is, without further narrowing.
@@ -41,21 +41,74 @@ def _content_code(df: DataFrame) -> Column:
 def permute(df: DataFrame, id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """The rows with their 0-based ``position`` in a seeded pseudo-random order.
 
-    Rows that share an id follow each other in content order. A number given to each
-    row in a first write tells copies of one row apart, so that even a large group of
-    copies is spread over many range partitions.
+    Rows that share an id follow each other in content order. The rows go straight to the
+    partitions of their hashes' prefixes, which a count of the prefixes has cut into equal parts,
+    are sorted there and written once. Copies of one row that fill partitions of their own are
+    dealt out over several: their order among each other is nobody's concern.
     """
-    keyed = written(
-        df.select(
-            "*",
-            permutation_hash(id_col, seed).alias("__hash"),
-            _content_code(df).alias("__content"),
-            F.monotonically_increasing_id().alias("__copy"),
-        ),
-        "permuted",
+    keyed = df.withColumns(
+        {"__hash": permutation_hash(id_col, seed), "__content": _content_code(df)}
     )
-    order = ["__hash", "__content", "__copy"]
-    return with_position(keyed, order).drop(*order)
+    prefix = F.substring("__hash", 1, _PREFIX_DIGITS)
+    cuts, parts = _permutation_cuts(keyed.select(prefix.alias("__prefix"), "__hash", "__content"))
+    named = df.sparkSession.createDataFrame(
+        cuts, "__prefix string, __part int, __hot array<struct<hash string, content long, part int, parts int>>"
+    )
+    # A row per prefix, and at most some copies' rows per partition.
+    joined = keyed.withColumn("__prefix", prefix).join(F.broadcast(named), "__prefix")
+    own = F.struct(F.col("__hash").alias("hash"), F.col("__content").alias("content"))
+
+    def behind(part: Column, hot: Column) -> Column:
+        """The partition of a row: that of the last copies not after it, or the one behind."""
+        other = F.struct(hot["hash"].alias("hash"), hot["content"].alias("content"))
+        dealt = hot["part"] + F.pmod(F.col("__copy"), hot["parts"]).cast("int")
+        return F.when(other == own, dealt).when(other < own, hot["part"] + hot["parts"]).otherwise(part)
+
+    part = F.aggregate("__hot", F.col("__part"), behind)
+    placed = (
+        joined.withColumn("__copy", F.monotonically_increasing_id())
+        .withColumn("__to", part)
+        .select(*df.columns, "__hash", "__content", "__to")
+        .repartitionById(parts, "__to")
+        .sortWithinPartitions("__hash", "__content")
+    )
+    return number_partitions(placed.drop("__hash", "__content", "__to"))
+
+
+#: Hex digits of a prefix of the hash: 65,536 counts come to the driver.
+_PREFIX_DIGITS = 4
+
+
+def _permutation_cuts(keys: DataFrame) -> tuple[list[tuple], int]:
+    """Per prefix of the hash the partition where its rows begin, and the copies in it that have
+    partitions of their own, in order; and the number of partitions."""
+    counts = dict(keys.groupBy("__prefix").count().collect())
+    wanted = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    target = max(1, -(-sum(counts.values()) // wanted))
+    hot: dict[str, list] = {}
+    large = [prefix for prefix, n in counts.items() if n > target]
+    if large:
+        copies = (
+            keys.where(F.col("__prefix").isin(large))
+            .groupBy("__hash", "__content")
+            .count()
+            .where(F.col("count") > target)
+        )
+        for row in copies.collect():  # fewer than partitions are wanted
+            hot.setdefault(row["__hash"][:_PREFIX_DIGITS], []).append(tuple(row))
+    cuts, part, filled = [], 0, 0
+    for prefix in sorted(counts):
+        rest = counts[prefix] - sum(n for _, _, n in hot.get(prefix, []))
+        if filled and filled + rest > target:
+            part, filled = part + 1, 0
+        start, own = part, []
+        filled += rest
+        for digest, content, n in sorted(hot.get(prefix, [])):
+            parts = -(-n // target)
+            own.append((digest, content, part + 1, parts))
+            part, filled = part + 1 + parts, 0
+        cuts.append((prefix, start, own))
+    return cuts, part + 1
 
 
 @dataclass(frozen=True)

@@ -186,3 +186,26 @@ def test_a_thousand_sources_are_read_in_a_few_scans(spark, tmp_path):
     assert found.count() == sum(i % 12 for i in range(1000))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count(str(tmp_path)) <= 2
+
+
+def test_permutation_of_copies_and_hot_ids(spark):
+    rows = [(7, "copy")] * 400 + [(7, f"x{i}") for i in range(50)] + [(i, "y") for i in range(100, 500)]
+    rows += [(None, "z"), (None, "z"), (9, None)] + [(8, "w")] * 200
+    df = spark.createDataFrame(rows, "id long, text string").repartition(6)
+    found = sel.permute(df).collect()
+    assert sorted(r["position"] for r in found) == list(range(len(rows)))
+    assert sorted((str(r["id"]), str(r["text"])) for r in found) == sorted((str(a), str(b)) for a, b in rows)
+    by_place = [r["id"] for r in sorted(found, key=lambda r: r["position"])]
+    expected = sorted(
+        (i for i, _ in rows),
+        key=lambda i: hashlib.md5(f"7:{'' if i is None else i}".encode()).hexdigest(),
+    )
+    assert by_place == expected
+    # Copies fill several partitions, and the texts of an id stand in one order.
+    parts = sel._permutation_cuts(
+        df.select(F.lit("abcd").alias("__prefix"), F.lit("abcdef").alias("__hash"), F.lit(1).cast("long").alias("__content"))
+    )
+    assert parts[1] >= 8 and parts[0][0][2][0][3] >= 8
+    again = [r["text"] for r in sorted(sel.permute(df.repartition(2)).collect(), key=lambda r: r["position"])]
+    assert again == [r["text"] for r in sorted(found, key=lambda r: r["position"])]
+    assert sel.permute(df.limit(0)).count() == 0
