@@ -176,7 +176,42 @@ def build_graph(nodes: np.ndarray, degree: int = DEGREE) -> np.ndarray:
         scores = beam_search(nodes, adjacent, nodes[own], starts, BEAM)
         adjacent[own] = robust_prune(nodes, own, scores, degree)
         _enter(nodes, adjacent, own)
-    return adjacent
+    return _connected(nodes, adjacent, start[0])
+
+
+#: Lost nodes that are entered at one node at once.
+_ENTERED = 4
+
+
+def _reached(adjacent: np.ndarray, start: int) -> np.ndarray:
+    seen = np.zeros(len(adjacent), bool)
+    todo = np.array([start])
+    while len(todo):
+        seen[todo] = True
+        near = np.unique(adjacent[todo])
+        near = near[near >= 0]
+        todo = near[~seen[near]]
+    return seen
+
+
+def _connected(nodes: np.ndarray, adjacent: np.ndarray, start: int) -> np.ndarray:
+    """The lists with what pruning lost: a node that nobody reaches from the medoid is entered at
+    the nearest one that its search meets, again and again until all are reached."""
+    while True:
+        lost = np.flatnonzero(~_reached(adjacent, start))[:QUERIES]
+        if not len(lost):
+            return adjacent
+        starts = np.full((len(lost), 1), start)
+        scores = beam_search(nodes, adjacent, nodes[lost], starts, BEAM)
+        at, best = scores.argmax(axis=1), scores.max(axis=1)
+        order = np.lexsort((-best, at))
+        lost, at = lost[order], at[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        entered = place < _ENTERED
+        more = np.full((len(nodes), int(place[entered].max()) + 1), -1)
+        more[at[entered], place[entered]] = lost[entered]
+        adjacent = np.concatenate([adjacent, more], axis=1)
 
 
 def _enter(nodes: np.ndarray, adjacent: np.ndarray, own: np.ndarray) -> None:

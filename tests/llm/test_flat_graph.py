@@ -98,6 +98,22 @@ def test_graph_finds_what_is_within_range():
     assert np.isneginf(scores).mean() > 0.1  # by far not all nodes are met
 
 
+def test_every_node_is_reached_from_the_medoid():
+    rng = np.random.default_rng(8)
+    dense = rng.normal(size=32) + 0.001 * rng.normal(size=(900, 32))
+    nodes = fg.unit(np.concatenate([dense, rng.normal(size=(600, 32))])).astype(np.float32)
+    adjacent = fg.build_graph(nodes)
+    assert fg._reached(adjacent, fg.medoid(nodes)).all()
+    islands = np.full((len(nodes), 3), -1)
+    islands[:, 0] = np.arange(len(nodes)) ^ 1  # pairs that nobody else points to
+    joined = fg._connected(nodes, islands, fg.medoid(nodes))
+    assert fg._reached(joined, fg.medoid(nodes)).all() and (joined[:, 0] == islands[:, 0]).all()
+    start = np.full((len(nodes), 1), fg.medoid(nodes))
+    scores = fg.beam_search(nodes, adjacent, nodes, start, fg.BEAM, 0.9)
+    truth = nodes @ nodes.T >= 0.9
+    assert (truth & (scores >= 0.9)).sum() >= 0.999 * truth.sum()
+
+
 def test_audit_counts_what_is_missing(spark):
     rows = cloud(5, [50], 20)
     nodes = fg.distinct_vectors(fg._keyed(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")).cache()
