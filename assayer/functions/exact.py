@@ -7,8 +7,10 @@ rounded: as ``math.fsum``, but over any partitioning.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +102,17 @@ def exact_total(bins: Column) -> Column:
     return F.aggregate(F.reverse(partials), start, down, rounded)
 
 
+def exact_total_of(name: str) -> Column:
+    """``exact_total`` of a column by name. The expression takes half a second to put together, so
+    it is kept for the session's JVM."""
+    return _total_of(name, id(SparkContext._gateway))
+
+
+@functools.cache
+def _total_of(name: str, gateway: int) -> Column:
+    return exact_total(F.col(name))
+
+
 def part_sums(parts: Sequence[Column], name: str) -> list[Column]:
     return [F.sum(part).alias(f"{name}_{i}") for i, part in enumerate(parts)]
 
@@ -121,4 +134,4 @@ def exact_sums(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         F.collect_list(F.when(F.col("__bin").isNotNull(), one)).alias("__bins"),
         F.sum("__special").alias("__special"),
     )
-    return found.select(*by, F.coalesce("__special", exact_total(F.col("__bins"))).alias("total"))
+    return found.select(*by, F.coalesce("__special", exact_total_of("__bins")).alias("total"))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exact import PARTS, exact_bin, exact_parts, exact_total, part_sums
+from ..functions.exact import PARTS, exact_bin, exact_parts, exact_total_of, part_sums
 from ..functions.numeric import clamp_confidence, confidence_bin, is_finite, round_exact
 from ..functions.text import (
     has_unsupported_token,
@@ -293,7 +293,7 @@ def metrics(cells: DataFrame, by: Sequence[str] = (), bins: int = DEFAULT_BINS)
         *[F.expr(f"sum(IF(bin = {b}, {_GAP}, 0))").alias(f"gap_{b}") for b in range(bins)],
         *_label_counts(),
     )
-    latency = F.col("small_latency") + exact_total(F.col("large_latency"))
+    latency = F.col("small_latency") + exact_total_of("large_latency")
     scored = totals.withColumn("latency", latency).withColumns(
         {
             f"{name}_{label}": _ratio(f"tp_{label}", f"{of}_{label}", name)
