@@ -94,7 +94,7 @@ def test_scoring_a_stream_of_files(spark, tmp_path):
     assert {r["label"] for r in found} == {"positive"}
 
 
-@pytest.mark.parametrize("name", ["streamed_preference_pairs"])
+@pytest.mark.parametrize("name", ["streamed_preference_pairs", "streamed_scores"])
 def test_streamed_table_may_be_a_folder_of_files(spark, tmp_path, name):
     rows = [(1, 0, "user", "the gain"), (1, 1, "assistant", " "), (2, 0, "user", None), (None, 3, None, "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
