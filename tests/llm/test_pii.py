@@ -82,3 +82,13 @@ def test_octets_of_any_length():
     zeros = b"0" * 5_000
     text = b"1.2.3." + zeros + b"4 1.2.3." + b"9" * 5_000 + b" 1.2." + zeros + b".255"
     assert [kind for kind, _, _ in pii.base_spans(text)] == ["ip", "ip"]
+
+
+def test_every_candidate_is_learned_from_or_calibrated_on(spark):
+    kept = [(row, ("number", row % 2, [float(row % 2), 7.0])) for row in range(24_003)]
+    schema = "row long, c struct<kind:string,label:int,features:array<double>>"
+    found = pii.labelled(spark.createDataFrame(kept, schema))
+    sums = {(r["learned"], r["label"]): r["n"] for r in found.collect()}
+    assert len(sums) == 4 and sum(sums.values()) == 24_003
+    assert all(9_000 < n < 10_200 for (learned, _), n in sums.items() if learned)
+    assert [sum(n for (_, label), n in sums.items() if label == i) for i in (0, 1)] == [12_002, 12_001]
