@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.vocabulary import ABLATION_ID_FORMAT
 
+#: Combinations that a task makes, on average, of sweeps that have more.
+ROWS_PER_TASK = 1_000_000
+
 _SCALAR = (T.StringType, T.NumericType, T.BooleanType)
 
 
@@ -95,6 +101,11 @@ def scalar_metrics(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _combinations(sweeps: DataFrame, lists: Sequence[str]) -> float:
+    sizes = [F.greatest(F.size(column), F.lit(0)).cast("double") for column in lists]
+    return sweeps.agg(F.sum(reduce(mul, sizes))).first()[0] or 0.0
+
+
 def expand_grid(
     sweeps: DataFrame,
     dimensions: Mapping[str, str],
@@ -104,9 +115,14 @@ def expand_grid(
     """All combinations of each sweep's lists, the last dimension varying fastest.
 
     ``dimensions`` maps output columns to array columns of ``sweeps``. ``run_id``
-    numbers the combinations of a sweep from 1. Each row expands where it is: there is
-    neither a join nor a shuffle.
+    numbers the combinations of a sweep from 1. There is no join: the combinations are counted
+    first, and the sweeps, not their combinations, are dealt evenly over tasks that make about
+    ``ROWS_PER_TASK`` each. Streams and fewer combinations than that are not shuffled.
     """
+    if not sweeps.isStreaming:
+        tasks = math.ceil(_combinations(sweeps, list(dimensions.values())) / ROWS_PER_TASK)
+        if tasks > 1:
+            sweeps = sweeps.select(*dict.fromkeys([*keep, *dimensions.values()])).repartition(tasks)
     index: Column = F.lit(0).cast("bigint")
     sizes = {f"__size_{name}": F.size(column) for name, column in dimensions.items()}
     expanded = sweeps.select(

@@ -2,6 +2,7 @@ import csv
 from itertools import product
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from assayer.operators import experiments as ex
 from assayer.sources import log_runs, read_runs, write_csv
@@ -61,6 +62,16 @@ def test_expand_grid_per_row(spark):
                      ("s", "ablation-003", "b", 1), ("s", "ablation-004", "b", 2)]
 
 
+def test_large_grids_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ex, "ROWS_PER_TASK", 1000, raising=False)
+    rows = spark.range(100).selectExpr("id", "sequence(1, 10) AS x", "IF(id = 7, NULL, sequence(1, 10)) AS y")
+    grid = ex.expand_grid(rows.coalesce(1), {"p": "x", "q": "y"}, ["id"])
+    tasks = grid.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 9_900 and max(r["count"] for r in tasks) <= 2_000
+    assert grid.where("run_id != format_string('ablation-%03d', 10 * p + q - 10)").count() == 0
+    assert grid.distinct().count() == 9_900
+
+
 def test_tracking_appends(spark, tmp_path):
     path = str(tmp_path / "runs")
     # r1 is logged again with another accuracy, r2 as it was
