@@ -11,9 +11,6 @@ import numpy as np
 #: Words remembered per task; beyond that the memory starts anew.
 REMEMBERED = 300_000
 
-# A text falls into pieces before its single spaces, and the byte-level BPE splits it there
-# too, unless the space has white space on a side.
-_LOOSE_SPACE = re.compile(r"\s[ ]|[ ]\s|^[ ]|[ ]$")
 # tiktoken recurses over a run of white space, and dies of some hundreds of thousands.
 LONG_RUN = 10_000
 _LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
@@ -111,19 +108,16 @@ def bpe_words(encoding) -> Callable[[list[str]], list[bytes]]:
 def text_encoder() -> Callable[[str], bytes]:
     """Ids of ``byte_bpe_50k.json`` for a whole text, as little-endian unsigned 32-bit numbers.
 
-    The same vocabulary is run by tiktoken, and by distinct words where spaces part them, which is
-    several times faster; tests hold the ids against those of ``tokenizers``. Only texts that
-    spell the special token or hold a very long run of white space are left to ``tokenizers``.
+    The same vocabulary is run by tiktoken, on the text at once: parting it into words and
+    remembering theirs costs more than it saves; tests hold the ids against those of
+    ``tokenizers``. Only texts that spell the special token or hold a very long run of white
+    space are left to ``tokenizers``.
     """
-    encoding = byte_bpe()
-    by_tokenizers, words = tokenizers_encoder(), bpe_words(encoding)
+    encoding, by_tokenizers = byte_bpe(), tokenizers_encoder()
 
     def run(text: str) -> bytes:
         if SPECIAL in text or has_long_space(text):
             return by_tokenizers(text)
-        if _LOOSE_SPACE.search(text):
-            return as_bytes(encoding.encode_to_numpy(text))
-        first, *rest = text.split(" ")
-        return as_bytes(encoding.encode_to_numpy(first)) + b"".join(words(rest))
+        return as_bytes(encoding.encode_to_numpy(text))
 
     return run

@@ -139,3 +139,20 @@ def test_pieces_and_sequences(docs, prose, edges):
     whole = packing.sequences(packed).collect()
     assert sorted(len(r["ids"]) for r in whole) == sorted(at.values())
     assert packing.pack_documents(docs([])).count() == 0
+
+
+def test_a_text_is_encoded_at_once(monkeypatch):
+    bpe, texts = tokens.byte_bpe(), ["one two three", " a  b\n c ", "", "é two " * 300]
+    met = []
+
+    class Counted:
+        n_vocab, decode_single_token_bytes = bpe.n_vocab, bpe.decode_single_token_bytes
+
+        def encode_to_numpy(self, text):
+            met.append(text)
+            return bpe.encode_to_numpy(text)
+
+    monkeypatch.setattr(tokens, "byte_bpe", Counted)
+    encode, want = tokens.text_encoder(), tokens.tokenizers_encoder()
+    assert [encode(text) for text in texts] == list(map(want, texts))
+    assert met == texts
