@@ -10,11 +10,14 @@ the batches and an entry moves that often. Then each batch's array is merge-scan
 all levels for suffixes that begin in a smaller document.
 
 Only suffixes that can match are indexed. First, each string of ``LENGTH`` bytes names its least
-``GRAM``-byte substring by hash, its anchor; equal strings have equal anchors, so one whose
-anchor is in no other document needs no entry. Consecutive strings with one anchor make a
-stretch; if a smaller document has the whole stretch, or the whole text, its strings are
-repeats that need no entries either. Only ends of passages and their first occurrences
-are left.
+``GRAM``-byte substring by hash, its anchor; equal strings have equal anchors. Consecutive
+strings with one anchor make a stretch. If a smaller document has the whole stretch, or the
+whole text, its strings are repeats that need no entries. If all stretches with its anchor are
+equal, or first occur in one document, no other string can match. Only ends of passages and
+their first occurrences there are left, and chance hits of anchors.
+
+Batches are of some megabytes, as each sends a row to every range, and there are as many ranges
+as the corpus is large.
 
 Defined results: a null or empty text has no bytes; rows with the same id do not remove each
 other's bytes; a null id counts as greater than any other; an empty table gives an empty
@@ -25,35 +28,41 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from . import windows
+from .common import arrow_schema
 from .windows import (
+    ANSWERS,
     NO_ID,
     Answers,
-    Asked,
     Batch,
-    answer,
     ask,
-    covered,
-    distinct,
+    joined,
+    meet,
     mixed,
-    ranges_for,
-    results,
-    rolled,
+    packed_numbers,
+    read_batches,
     seen_before,
+    unpacked_numbers,
     write_batches,
 )
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
+#: Bytes and documents of a batch, which sends one row at most to each range.
+BATCH_BYTES = 1 << 23
+BATCH_DOCS = 1 << 16
 #: Expected entries per byte of text, for the numbers of ranges only.
-_ANCHORS, _SUFFIXES = 0.06, 0.1
-
-_CODES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+_ANCHORS, _SUFFIXES = 0.07, 0.1
+#: Strings whose hashes are made at once, so that they stay in the cache.
+_BLOCK = 1 << 15
 
 
 class Levels:
@@ -96,12 +105,55 @@ def scan_levels(keys: list[np.ndarray], ids: list[np.ndarray]) -> list[np.ndarra
     return [index.least(own) < least for own, least in zip(keys, ids)]
 
 
-def _elsewhere(keys: list[np.ndarray]) -> list[np.ndarray]:
-    """Whether another batch has a key, too; each batch has distinct ones."""
-    found, place, counts = np.unique(
-        np.concatenate(keys), return_inverse=True, return_counts=True
-    )
-    return np.split(counts[place] > 1, np.cumsum([len(k) for k in keys])[:-1])
+def _order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of numbers, and the numbers in it: sorts places in their low bits along."""
+    low = np.uint64(max(1, len(keys) - 1).bit_length())
+    mask = (np.uint64(1) << low) - np.uint64(1)
+    order = np.sort((keys & ~mask) | np.arange(len(keys), dtype=np.uint64))
+    order = (order & mask).astype(np.int64)
+    found = keys[order]
+    if (found[1:] < found[:-1]).any():  # numbers that differ in the low bits only
+        order = np.argsort(keys, kind="stable")
+        found = keys[order]
+    return order, found
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return new
+
+
+class _Distinct:
+    """The distinct keys of a batch, sorted, with the smallest id and one occurrence of each;
+    ``place`` has each key's place among them."""
+
+    def __init__(self, keys: np.ndarray, ids: np.ndarray):
+        order, found = _order(keys)
+        new = _starts(found)
+        starts = np.flatnonzero(new)
+        self.keys, self.one = found[starts], order[starts]
+        self.ids = np.minimum.reduceat(ids[order], starts) if len(starts) else ids[:0]
+        self.place = np.empty(len(keys), np.int64)
+        self.place[order] = np.cumsum(new) - 1
+
+
+def _compared(keys: list, anchors: list, ids: list) -> list[np.ndarray]:
+    """For each stretch of each batch, whether a smaller id than the batch's smallest has it,
+    and then whether strings of it can be in other stretches: its anchor has several that first
+    occur in different documents."""
+    all_keys, all_ids = np.concatenate(keys), np.concatenate(ids)
+    found = _Distinct(all_keys, all_ids)
+    seen = all_ids > found.ids[found.place]
+    order, ordered = _order(np.concatenate(anchors)[found.one])
+    new = _starts(ordered)
+    starts, least = np.flatnonzero(new), found.ids[order]
+    several = np.minimum.reduceat(least, starts) != np.maximum.reduceat(least, starts)
+    open_ = np.empty(len(order), bool)
+    open_[order] = several[np.cumsum(new) - 1]
+    cuts = np.cumsum([len(k) for k in keys])[:-1]
+    both = zip(np.split(seen, cuts), np.split(open_[found.place], cuts))
+    return [np.concatenate(pair) for pair in both]
 
 
 def _least_of(values: np.ndarray, size: int) -> np.ndarray:
@@ -113,61 +165,199 @@ def _least_of(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (size - width)], values[size - width :])
 
 
+def _spanned(codes: np.ndarray, width: int, size: int) -> np.ndarray:
+    """Rabin-Karp hashes of all strings of ``size`` from the codes of those of ``width``, which
+    may overlap at the end."""
+    while 2 * width <= size:
+        codes = joined(codes[:-width], codes[width:], width)
+        width *= 2
+    rest = size - width
+    return joined(codes[:-rest], codes[rest:], rest) if rest else codes
+
+
 class _Suffixes:
-    """The strings of ``length`` bytes of a batch, and their anchors."""
+    """The strings of ``length`` bytes of a batch in runs with one anchor, which lie in one
+    document: ``first`` string and ``counts``, ``doc``, ``anchor`` and the ``stretch``, a hash
+    of all bytes of the run's strings."""
 
-    def __init__(self, batch: Batch, length: int, gram: int, bits: int):
-        self.data = np.frombuffer(b"".join(batch.texts), np.uint8)
+    def __init__(self, batch: Batch, length: int, gram: int):
+        self.data = b"".join(batch.texts)
         self.sizes = np.array([len(t) for t in batch.texts], np.int64)
         self.ends = np.cumsum(self.sizes)
         self.length = length
+        self.word = min(8, gram, length)
+        self.padded = self.data + bytes(8)
         n = max(0, len(self.data) - length + 1)
-        self.codes = _CODES[self.data]
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.doc = doc[:n]
-        self.inside = self.doc == doc[length - 1 :]
-        # As many of the hash's bits as make chance hits rare: a hit costs work, not truth.
-        drop = np.uint64(64 - bits)
-        grams = (mixed(rolled(self.codes, gram)) >> drop) << drop
-        anchors = _least_of(grams, length - gram + 1) if n else grams[:0]
-        # Runs of strings with the same anchor in the same document.
-        new = np.ones(n, bool)
-        if n:
-            new[1:] = (anchors[1:] != anchors[:-1]) | (self.doc[1:] != self.doc[:-1])
-            new[1:] |= self.inside[1:] != self.inside[:-1]
-        self.first = np.flatnonzero(new)
-        self.counts = np.diff(np.append(self.first, n))
-        self.anchor = anchors[self.first]
-        self.run_doc = self.doc[self.first]
-        self.run_inside = self.inside[self.first]
-
-    def stretches(self) -> np.ndarray:
-        """Hash of all bytes of each run's strings, from sums of codes by powers of a base."""
-        base = 0x9E3779B97F4A7C15
-        n = len(self.codes)
-        up = np.cumprod(np.full(n, base, np.uint64))
-        down = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(self.codes * up, dtype=np.uint64)])
-        sizes = self.counts + self.length - 1
-        hashes = (sums[self.first + sizes] - sums[self.first]) * down[self.first]
-        return mixed(hashes + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        edges = np.concatenate(
+            [self.ends - self.sizes, np.maximum(self.ends - self.sizes, self.ends - length + 1)]
+        )
+        edges = np.unique(edges[edges < n])
+        none = np.zeros(0, np.uint64)
+        firsts, anchors, heads, tails = [], [none], [none], [none]
+        before = none
+        for a in range(0, n, _BLOCK):
+            b = min(n, a + _BLOCK)
+            codes = self._codes(slice(a, b + length - self.word))
+            grams = _spanned(codes, self.word, gram)
+            hashes = _spanned(codes, self.word, length)
+            least = _least_of(grams, length - gram + 1)
+            new = np.ones(b - a, bool)
+            new[1:] = least[1:] != least[:-1]
+            if len(before):
+                new[0] = least[0] != before[0]
+            new[edges[slice(*np.searchsorted(edges, [a, b]))] - a] = True
+            found = np.flatnonzero(new)
+            firsts.append(found + a)
+            anchors.append(least[found])
+            heads.append(hashes[found])
+            # The last string of the run before each.
+            tails += [before[1:]] if new[0] else []
+            tails.append(hashes[found[int(new[0]) :] - 1])
+            before = np.array([least[-1], hashes[-1]], np.uint64)
+        first = np.concatenate([*firsts, np.zeros(0, np.int64)])
+        counts = np.diff(np.append(first, n))
+        doc = np.searchsorted(self.ends, first, "right")
+        inside = first + length <= self.ends[doc] if n else np.zeros(0, bool)
+        last = np.concatenate([*tails, before[1:]])
+        self.first, self.counts, self.doc = first[inside], counts[inside], doc[inside]
+        self.anchor = mixed(np.concatenate(anchors)[inside])
+        heads = joined(np.concatenate(heads)[inside], last[inside], length)
+        # First and last string have all bytes of a run, but of a long one.
+        self.stretch = mixed(heads ^ mixed(self.counts.astype(np.uint64)))
+        for i in np.flatnonzero(self.counts > length).tolist():
+            self.stretch[i] = self._hash(int(self.first[i]), int(self.counts[i]) + length - 1)
+
+    def _codes(self, at: slice | np.ndarray) -> np.ndarray:
+        """Hashes of the words of up to 8 bytes that start at the given places."""
+        codes = np.ndarray((len(self.data),), "<u8", self.padded, 0, (1,))[at].astype(np.uint64)
+        if self.word < 8:
+            codes &= np.uint64((1 << 8 * self.word) - 1)
+        codes ^= codes >> np.uint64(32)
+        codes *= np.uint64(0xFF51AFD7ED558CCD)
+        codes ^= codes >> np.uint64(29)
+        codes *= np.uint64(0xC4CEB9FE1A85EC53)
+        codes ^= codes >> np.uint64(32)
+        return codes
+
+    def _hash(self, start: int, size: int) -> int:
+        import xxhash
+
+        return xxhash.xxh64_intdigest(memoryview(self.data)[start : start + size])
 
     def strings(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, hash and document of each string in the given runs."""
-        wanted = np.repeat(runs, self.counts)
-        starts = np.flatnonzero(wanted)
-        keys = mixed(rolled(self.codes, self.length)[starts])
-        return starts, keys, self.doc[starts]
-
-
-def _copies(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct whole-text hashes, the first document of each, each document's place among
-    them, and whether a smaller id in the batch has the same text."""
+        counts = self.counts[runs]
+        starts = np.repeat(self.first[runs] - np.cumsum(counts) + counts, counts)
+        starts += np.arange(len(starts))
+        # Where the words are whose codes ``_spanned`` joins.
+        offsets, width = [0], self.word
+        while 2 * width <= self.length:
+            offsets += [o + width for o in offsets]
+            width *= 2
+        if self.length > width:
+            offsets += [o + self.length - width for o in offsets]
+        hashes = np.empty(len(starts), np.uint64)
+        for a in range(0, len(starts), _BLOCK):
+            at = starts[a : a + _BLOCK]
+            held = np.zeros(len(at), np.uint64)
+            for offset in offsets:
+                held = joined(self._codes(at + offset), held, self.length - self.word - offset)
+            hashes[a : a + _BLOCK] = held
+        return starts, mixed(hashes), np.repeat(self.doc[runs], counts)
+
+
+def _copies(batch: Batch) -> _Distinct:
+    """The hashes of whole texts."""
     import xxhash
 
     hashes = np.array([xxhash.xxh64_intdigest(t) for t in batch.texts], np.uint64)
-    found, first, place = distinct(hashes, np.arange(len(hashes)))
-    return found, first, place, batch.ids > batch.ids[first[place]]
+    return _Distinct(hashes, batch.ids)
+
+
+def _by_range(by: np.ndarray, bits: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of keys with numbers ``by`` of so many bits, range by range, in the keys' order
+    within each, and where each range begins."""
+    if bits > 32:
+        by, bits = by >> np.uint64(bits - 32), 32
+    held = (by * np.uint64(ranges)) >> np.uint64(bits)
+    held = held.astype(np.uint16 if ranges <= 1 << 16 else np.uint32)
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=ranges))])
+    return np.argsort(held, kind="stable"), cuts
+
+
+#: A set of questions: the distinct keys of a batch, the numbers that deal them out and their
+#: bits, the first range that is theirs, the number of their ranges, and whether the numbers are
+#: sent with the keys, to be compared, too.
+_Asked = tuple[_Distinct, np.ndarray, int, int, int, bool]
+
+_QUESTIONS = "range int, batch long, n int, least long, keys binary, ids binary, anchors binary"
+
+
+def _rows(target: pa.Schema) -> Callable[[Batch, list[_Asked]], pa.RecordBatch]:
+    def rows(batch: Batch, sets: list[_Asked]) -> pa.RecordBatch:
+        columns: list[list] = [[] for _ in target]
+        for found, by, bits, first, ranges, sent in sets:
+            order, cuts = _by_range(by, bits, ranges)
+            least = int(found.ids.min(initial=NO_ID))
+            own = np.flatnonzero(cuts[1:] > cuts[:-1])
+            sizes = (cuts[own + 1] - cuts[own]).tolist()
+            keys = packed_numbers(found.keys[order], cuts, steps=True)
+            ids = packed_numbers((found.ids[order] - least).astype(np.uint64), cuts)
+            anchors = packed_numbers(by[order], cuts) if sent else [b""] * len(own)
+            values = [
+                (own + first).tolist(), [batch.number] * len(own), sizes, [least] * len(own),
+                keys, ids, anchors,
+            ]
+            for column, more in zip(columns, values):
+                column += more
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, target)], schema=target
+        )
+
+    return rows
+
+
+def _answer(questions: DataFrame, compare: Callable) -> DataFrame:
+    """Bits for each row of questions, which ``compare`` finds from a range's number, and the
+    keys, anchors and ids of its batches."""
+    target = arrow_schema(ANSWERS)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("batch")
+        numbers = table.column("range").to_pylist()
+        keys, anchors, ids = [], [], []
+        for row in table.select(["n", "least", "keys", "ids", "anchors"]).to_pylist():
+            keys.append(unpacked_numbers(row["keys"], row["n"], steps=True))
+            ids.append(unpacked_numbers(row["ids"], row["n"]).astype(np.int64) + row["least"])
+            anchors.append(unpacked_numbers(row["anchors"], row["n"]) if row["anchors"] else None)
+        found = compare(numbers[0], keys, anchors, ids)
+        bits = pa.array([np.packbits(b).tobytes() for b in found], pa.binary())
+        columns = [table.column("batch"), table.column("range"), bits]
+        return pa.Table.from_arrays(columns, schema=target)
+
+    return questions.groupBy("range").applyInArrow(run, ANSWERS)
+
+
+def _told(answers: Answers, asked: _Asked, each: int = 1) -> np.ndarray:
+    """``each`` rows of booleans, one for each key of the questions."""
+    found, by, bits, first, ranges, _ = asked
+    order, cuts = _by_range(by, bits, ranges)
+    out = np.zeros((each, len(found.keys)), bool)
+    for i in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        n = int(cuts[i + 1] - cuts[i])
+        own = np.unpackbits(np.frombuffer(answers.bits[first + i], np.uint8), count=each * n)
+        out[:, order[cuts[i] : cuts[i + 1]]] = own.reshape(each, n)
+    return out
+
+
+def _spans(starts: np.ndarray, ends: np.ndarray, docs: np.ndarray) -> tuple:
+    """The spans, and their documents, that the given ones make where they overlap or touch."""
+    order = np.argsort(starts, kind="stable")
+    starts, docs, ends = starts[order], docs[order], np.maximum.accumulate(ends[order])
+    new = np.ones(len(starts), bool)
+    new[1:] = (starts[1:] > ends[:-1]) | (docs[1:] != docs[:-1])
+    at = np.flatnonzero(new)
+    return starts[at], ends[np.append(at[1:], len(ends)) - 1] if len(at) else ends, docs[at]
 
 
 def remove_repeats(
@@ -182,92 +372,107 @@ def remove_repeats(
 
     ``removed`` has the maximal removed runs of bytes. Kept bytes need not be valid text.
     """
-    batches = write_batches(docs, id_col, text_col)
+    batches = write_batches(docs, id_col, text_col, BATCH_BYTES, BATCH_DOCS)
     total = batches.agg(F.sum("bytes")).first()[0] or 0
-    bits = min(64, 34 + math.ceil(math.log2(total + 2) / 2))
-    # The ranges of anchors, of stretches, of whole texts, and then of suffixes.
-    anchor_ranges = ranges_for(batches, _ANCHORS)
-    text_ranges = ranges_for(batches, 1 / length / 8)
-    suffix_ranges = ranges_for(batches, _SUFFIXES)
-    stretches_from = anchor_ranges
-    texts_from = stretches_from + anchor_ranges
+    # As many of the anchors' bits as make chance hits rare: a hit costs work, not truth.
+    bits = min(63, 8 + math.ceil(math.log2(total + 2)))
+    # The ranges of anchors, of whole texts, and then of suffixes.
+    anchor_ranges, text_ranges, suffix_ranges = (
+        max(1, int(total * density / windows.RANGE_KEYS))
+        for density in (_ANCHORS, 1 / length / 8, _SUFFIXES)
+    )
+    texts_from = anchor_ranges
     suffixes_from = texts_from + text_ranges
 
-    def parts(batch: Batch):
-        own = _Suffixes(batch, length, gram, bits)
-        inside = own.run_inside
-        docs = own.run_doc[inside]
-        return own, inside, docs, own.anchor[inside], distinct(own.stretches()[inside], docs)
+    def first_question(batch: Batch) -> tuple[_Suffixes, _Asked, _Asked]:
+        own = _Suffixes(batch, length, gram)
+        stretches = _Distinct(own.stretch, batch.ids[own.doc])
+        anchors = own.anchor[stretches.one] >> np.uint64(64 - bits)
+        texts = _copies(batch)
+        return (
+            own,
+            (stretches, anchors, bits, 0, anchor_ranges, True),
+            (texts, texts.keys, 64, texts_from, text_ranges, False),
+        )
 
-    def first_question(batch: Batch, _: Answers) -> list[Asked]:
-        _, _, _, anchors, (stretches, stretch_docs, _) = parts(batch)
-        anchors = np.unique(anchors)
-        texts, text_docs, _, _ = _copies(batch)
-        return [
-            (anchors, np.zeros(len(anchors), np.int64), 0, anchor_ranges),
-            (stretches, stretch_docs, stretches_from, anchor_ranges),
-            (texts, text_docs, texts_from, text_ranges),
-        ]
-
-    def first_answer(number: int, keys: list, ids: list) -> list[np.ndarray]:
-        return _elsewhere(keys) if number < stretches_from else seen_before(keys, ids)
+    def first_answer(number: int, keys: list, anchors: list, ids: list) -> list[np.ndarray]:
+        return _compared(keys, anchors, ids) if number < texts_from else seen_before(keys, ids)
 
     def indexed(batch: Batch, answers: Answers):
-        """The strings that are known to be repeats, and those that need an entry."""
-        own, inside, docs, anchors, (stretches, first, at) = parts(batch)
-        texts, _, text_at, copy = _copies(batch)
-        copy |= answers.of(texts, texts_from, text_ranges)[text_at]
-        known = batch.ids[docs] > batch.ids[first[at]]
-        known |= answers.of(stretches, stretches_from, anchor_ranges)[at]
-        anchors, first, place = distinct(anchors, docs)
-        last = np.full(len(anchors), -1)
-        np.maximum.at(last, place, docs)
-        shared = (answers.of(anchors, 0, anchor_ranges) | (last > first))[place]
-        repeats, runs = np.zeros((2, len(inside)), bool)
-        repeats[inside] = known
-        runs[inside] = shared & ~known & ~copy[docs]
-        starts, keys, docs = own.strings(runs)
-        hits = np.repeat(repeats, own.counts)
-        return own, copy, hits, starts, docs, distinct(keys, docs)
-
-    def second_question(batch: Batch, answers: Answers) -> list[Asked]:
-        *_, (found, first, _) = indexed(batch, answers)
-        return [(found, first, suffixes_from, suffix_ranges)]
-
-    def finish(batch: Batch, answers: Answers) -> list[dict]:
-        own, copy, hits, starts, docs, (found, first, place) = indexed(batch, answers)
-        before = answers.of(found, suffixes_from, suffix_ranges)[place]
-        before |= batch.ids[docs] > batch.ids[first[place]]
-        hits[starts[before]] = True
-        gone = covered(hits, length) if len(hits) else np.zeros(len(own.data), bool)
-        rows = []
-        for i, (end, size) in enumerate(zip(own.ends.tolist(), own.sizes.tolist())):
-            mine = gone[end - size : end]
-            if copy[i] and size >= length:
-                mine = np.ones(size, bool)
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mine.astype(np.int8), [0]])))
-            kept = own.data[end - size : end][~mine].tobytes() if len(edges) else batch.texts[i]
-            rows.append(
-                {
-                    "id": int(batch.ids[i]),
-                    "n_bytes": size,
-                    "n_removed": int(mine.sum()),
-                    "removed": [
-                        {"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])
-                    ],
-                    "kept_sha256": hashlib.sha256(kept).hexdigest(),
-                    **({"kept": kept} if keep_bytes else {}),
-                }
-            )
-        return rows
+        """The runs and texts that are known to be repeats, and the strings that need an entry."""
+        own, stretches, texts = first_question(batch)
+        found = texts[0]
+        copy = _told(answers, texts)[0][found.place]
+        copy |= batch.ids > found.ids[found.place]
+        found, ids = stretches[0], batch.ids[own.doc]
+        known, several = _told(answers, stretches, 2)[:, found.place]
+        known |= ids > found.ids[found.place]
+        starts, keys, docs = own.strings(several & ~known & ~copy[own.doc])
+        strings = _Distinct(keys, batch.ids[docs])
+        return own, copy, known, starts, docs, (
+            strings, strings.keys, 64, suffixes_from, suffix_ranges, False,
+        )
+
+    def finish(batch: Batch, answers: Answers) -> list:
+        own, copy, known, starts, docs, asked = indexed(batch, answers)
+        strings = asked[0]
+        before = _told(answers, asked)[0][strings.place]
+        before |= batch.ids[docs] > strings.ids[strings.place]
+        copies = np.flatnonzero(copy & (own.sizes >= length))
+        known &= ~copy[own.doc]
+        begins = own.ends - own.sizes
+        firsts, hits = own.first[known], starts[before]
+        starts, ends, docs = _spans(
+            np.concatenate([begins[copies], firsts, hits]),
+            np.concatenate(
+                [own.ends[copies], firsts + own.counts[known] + length - 1, hits + length]
+            ),
+            np.concatenate([copies, own.doc[known], docs[before]]),
+        )
+        cuts = np.searchsorted(docs, np.arange(len(batch.ids) + 1))
+        removed = np.concatenate([[0], np.cumsum(ends - starts)])
+        removed = removed[cuts[1:]] - removed[cuts[:-1]]
+        kept = list(batch.texts)
+        for doc in np.flatnonzero(removed).tolist():
+            spans = slice(cuts[doc], cuts[doc + 1])
+            froms = [int(begins[doc]), *ends[spans].tolist()]
+            tos = [*starts[spans].tolist(), int(own.ends[doc])]
+            kept[doc] = b"".join([own.data[a:b] for a, b in zip(froms, tos)])
+        spans = pa.StructArray.from_arrays(
+            [pa.array(starts - begins[docs]), pa.array(ends - begins[docs])], ["start", "end"]
+        )
+        return [
+            pa.array(batch.ids),
+            pa.array(own.sizes),
+            pa.array(removed),
+            pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), spans),
+            pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
+            *([pa.array(kept, pa.binary())] if keep_bytes else []),
+        ]
 
     schema = (
         "id long, n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, "
         "kept_sha256 string" + ", kept binary" * keep_bytes
     )
-    shared = written(answer(ask(batches, None, first_question), first_answer), "anchor-answers")
-    repeats = answer(
-        ask(batches, shared, second_question), lambda _, keys, ids: scan_levels(keys, ids)
+    target = arrow_schema(schema)
+    rows = _rows(arrow_schema(_QUESTIONS))
+
+    def again(table: pa.Table, answers: pa.Table) -> pa.Table:
+        (batch,) = read_batches(table)
+        asked = indexed(batch, Answers(answers.to_pylist()))[-1]
+        return pa.Table.from_batches([rows(batch, [asked])])
+
+    def last(table: pa.Table, answers: pa.Table) -> pa.Table:
+        (batch,) = read_batches(table)
+        columns = finish(batch, Answers(answers.to_pylist()))
+        columns = [column.cast(field.type) for column, field in zip(columns, target)]
+        return pa.Table.from_arrays(columns, schema=target)
+
+    questions = ask(batches, None, lambda batch, _: first_question(batch)[1:], rows, _QUESTIONS)
+    shared = written(_answer(questions, first_answer), "anchor-answers")
+    repeats = _answer(
+        meet(batches, shared, again, _QUESTIONS),
+        lambda _, keys, anchors, ids: scan_levels(keys, ids),
     )
-    found = results(batches, shared.union(repeats), finish, schema)
+    found = meet(batches, shared.union(repeats), last, schema)
     return found.withColumn("id", F.nullif("id", F.lit(NO_ID)))

@@ -46,8 +46,19 @@ class Batch:
     texts: list[bytes]
 
 
-def write_batches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``batch, bytes, ids, ends, payload``; ids are whole numbers."""
+def write_batches(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    most_bytes: int | None = None,
+    most_docs: int | None = None,
+) -> DataFrame:
+    """``batch, bytes, ids, ends, payload``; ids are whole numbers.
+
+    A batch ends with the document that reaches ``BATCH_BYTES`` or ``BATCH_DOCS``, or the numbers
+    given instead.
+    """
+    most_bytes, most_docs = most_bytes or BATCH_BYTES, most_docs or BATCH_DOCS
     texts = docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
@@ -78,7 +89,7 @@ def write_batches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for doc, text in zip(batch.column(0).to_pylist(), found):
                 held.append((doc, text))
                 size += len(text)
-                if size >= BATCH_BYTES or len(held) == BATCH_DOCS:
+                if size >= most_bytes or len(held) == most_docs:
                     yield row()
                     number, held, size = number + 1, [], 0
         if held:
@@ -87,7 +98,7 @@ def write_batches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(texts.mapInArrow(run, schema), "batches")
 
 
-def _read(table: pa.RecordBatch | pa.Table) -> Iterator[Batch]:
+def read_batches(table: pa.RecordBatch | pa.Table) -> Iterator[Batch]:
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
@@ -148,6 +159,32 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def packed_numbers(numbers: np.ndarray, cuts: np.ndarray, steps: bool = False) -> list[bytes]:
+    """The numbers between each two ``cuts`` that differ, byte by byte, without the high bytes
+    that all lack; with ``steps`` they ascend there, and their differences are.
+
+    Not compressed: low bytes are random, and equal high ones are left to Spark's shuffle.
+    """
+    own = np.flatnonzero(cuts[1:] > cuts[:-1])
+    if steps:
+        held = np.diff(numbers, prepend=np.uint64(0))
+        held[cuts[own]] = numbers[cuts[own]]
+        numbers = held
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    held = numbers.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
+    planes = np.ascontiguousarray(held[:, :width].T)
+    edges = zip(cuts[own].tolist(), cuts[own + 1].tolist())
+    return [planes[:, a:b].tobytes() for a, b in edges]
+
+
+def unpacked_numbers(data: bytes, n: int, steps: bool = False) -> np.ndarray:
+    numbers = np.zeros((n, 8), np.uint8)
+    planes = np.frombuffer(data, np.uint8).reshape(-1, n)
+    numbers[:, : len(planes)] = planes.T
+    numbers = numbers.view("<u8").reshape(-1)
+    return np.cumsum(numbers, dtype=np.uint64) if steps else numbers
+
+
 def distinct(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the first document of each, and for each given key its place among them.
 
@@ -217,26 +254,33 @@ _QUESTIONS = pa.schema(
 )
 
 
-def ask(batches: DataFrame, answers: DataFrame | None, question: Ask) -> DataFrame:
-    """The questions of all batches, which may build on the answers to earlier ones."""
+def ask(
+    batches: DataFrame,
+    answers: DataFrame | None,
+    question: Ask,
+    make: Callable[[Batch, list], pa.RecordBatch] = _questions,
+    schema: str = QUESTIONS,
+) -> DataFrame:
+    """The questions of all batches, which may build on the answers to earlier ones; ``make``
+    makes their rows of sets."""
     if answers is None:
 
         def run(tables: Batches) -> Batches:
             for table in tables:
-                for batch in _read(table):
-                    yield _questions(batch, question(batch, Answers([])))
+                for batch in read_batches(table):
+                    yield make(batch, question(batch, Answers([])))
 
-        return batches.mapInArrow(run, QUESTIONS)
+        return batches.mapInArrow(run, schema)
 
     def again(table: pa.Table, rows: pa.Table) -> pa.Table:
-        (batch,) = _read(table)
+        (batch,) = read_batches(table)
         sets = question(batch, Answers(rows.to_pylist()))
-        return pa.Table.from_batches([_questions(batch, sets)])
+        return pa.Table.from_batches([make(batch, sets)])
 
-    return _meet(batches, answers, again, QUESTIONS)
+    return meet(batches, answers, again, schema)
 
 
-def _meet(batches: DataFrame, answers: DataFrame, function: Callable, schema: str) -> DataFrame:
+def meet(batches: DataFrame, answers: DataFrame, function: Callable, schema: str) -> DataFrame:
     return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(function, schema)
 
 
@@ -273,10 +317,10 @@ def results(batches: DataFrame, answers: DataFrame, finish: Callable, schema: st
     target = arrow_schema(schema)
 
     def run(table: pa.Table, rows: pa.Table) -> pa.Table:
-        (batch,) = _read(table)
+        (batch,) = read_batches(table)
         return pa.Table.from_pylist(finish(batch, Answers(rows.to_pylist())), schema=target)
 
-    return _meet(batches, answers, run, schema)
+    return meet(batches, answers, run, schema)
 
 
 def covered(starts: np.ndarray, size: int) -> np.ndarray:
